@@ -80,3 +80,139 @@ def q_daily(spark, sf):
 @query("mart_profile")
 def q_profile(spark, sf):
     return rounded(wh_f2(spark, sf).mart_hourly_profile)
+
+
+# ---------------------------------------------------------------- data quality
+
+from ..operators import anchor as anc  # noqa: E402
+from ..operators import quality as dq  # noqa: E402
+from ..operators import reports as rp  # noqa: E402
+
+
+@query("dq_suite")
+def q_dq_suite(spark, sf):
+    return dq.run_suite(dq.warehouse_checks(wh_f2(spark, sf)))
+
+
+@query("dq_suite_f1")
+def q_dq_suite_f1(spark, sf):
+    return dq.run_suite(dq.warehouse_checks(wh_f1(spark, sf)))
+
+
+@query("dq_duplicate_ids")
+def q_dq_dup_ids(spark, sf):
+    return dq.unique(fx.f2_counts(spark, sf), ["id"])
+
+
+@query("dq_duplicate_cells")
+def q_dq_dup_cells(spark, sf):
+    stg = staging.stage_counts(fx.f2_counts(spark, sf))
+    return dq.unique_combination(stg, ["location_id", "sensing_date", "hour_of_day"])
+
+
+@query("dq_orphans")
+def q_dq_orphans(spark, sf):
+    wh = wh_f2(spark, sf)
+    return dq.relationships(wh.fct_hourly_counts, "location_id", wh.dim_sensors, "location_id")
+
+
+# ---------------------------------------------------------------- anchor and reports
+
+
+def daily_at_anchor(wh):
+    """The daily mart, its anchor (scalar column) and the mart cut at it."""
+    daily = wh.mart_daily_location
+    a = anc.anchor_value(daily, weight="hours_reported")
+    return anc.cut_at(daily, a), a
+
+
+@query("anchor_date")
+def q_anchor(spark, sf):
+    wh = wh_f2(spark, sf)
+    return anc.anchor_date(wh.mart_daily_location, weight="hours_reported")
+
+
+@query("anchor_date_f1")
+def q_anchor_f1(spark, sf):
+    return anc.anchor_date(wh_f1(spark, sf).fct_hourly_counts)
+
+
+@query("coverage_threshold")
+def q_cov_thr(spark, sf):
+    cov = anc.coverage(wh_f2(spark, sf).fct_hourly_counts)
+    return rounded(anc.coverage_threshold(cov))
+
+
+@query("kpis")
+def q_kpis(spark, sf):
+    daily, a = daily_at_anchor(wh_f1(spark, sf))
+    return rounded(rp.kpis(daily, a))
+
+
+@query("kpis_f2")
+def q_kpis_f2(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rounded(rp.kpis(daily, a))
+
+
+@query("kpi_labels")
+def q_kpi_labels(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rp.kpi_labels(rp.kpis(daily, a))
+
+
+@query("busiest")
+def q_busiest(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rp.busiest(daily, a)
+
+
+@query("top_locations")
+def q_top(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rp.top_locations(daily, a)
+
+
+@query("location_map")
+def q_map(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rounded(rp.location_map(daily, a))
+
+
+@query("city_trend_90")
+def q_city90(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rounded(rp.city_trend(daily, a, 90))
+
+
+@query("city_trend_all")
+def q_city_all(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rounded(rp.city_trend(daily, a, 10_000))
+
+
+@query("location_trend")
+def q_loc_trend(spark, sf):
+    daily, a = daily_at_anchor(wh_f2(spark, sf))
+    return rounded(rp.location_trend(daily, a, 365))
+
+
+@query("week_rhythm")
+def q_rhythm(spark, sf):
+    return rounded(rp.week_rhythm(wh_f2(spark, sf).mart_hourly_profile))
+
+
+@query("week_rhythm_f1")
+def q_rhythm_f1(spark, sf):
+    return rounded(rp.week_rhythm(wh_f1(spark, sf).mart_hourly_profile))
+
+
+@query("location_profile")
+def q_loc_profile(spark, sf):
+    return rounded(rp.location_profile(wh_f2(spark, sf).mart_hourly_profile))
+
+
+@query("location_names")
+def q_names(spark, sf):
+    daily, _ = daily_at_anchor(wh_f2(spark, sf))
+    return rp.location_names(daily)
