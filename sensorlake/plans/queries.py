@@ -216,3 +216,70 @@ def q_loc_profile(spark, sf):
 def q_names(spark, sf):
     daily, _ = daily_at_anchor(wh_f2(spark, sf))
     return rp.location_names(daily)
+
+
+# ---------------------------------------------------------------- refresh and export
+
+from ..sources import export as ex  # noqa: E402
+from ..sources import fs  # noqa: E402
+from ..sources import readers as rd  # noqa: E402
+from ..sources import refresh as rf  # noqa: E402
+
+
+def _f2_dates(spark, sf):
+    src = fx.f2_counts(spark, sf)
+    stored = src.agg(F.max("sensing_date").alias("stored_max"))
+    today = F.date_add(stored.scalar(), 3)
+    return src, stored, today
+
+
+@query("month_plan")
+def q_month_plan(spark, sf):
+    """Months re-read by an incremental run (7-day lookback from the stored max,
+    ``today`` = stored max + 3) and by a full run, over F2."""
+    src, stored, today = _f2_dates(spark, sf)
+    smin = rf.source_min_date(src)
+    inc = rf.months(rf.refresh_window(stored, smin, today)).withColumn("mode", F.lit("incremental"))
+    full = rf.months(rf.refresh_window(stored, smin, today, full=True)).withColumn("mode", F.lit("full"))
+    return inc.unionByName(full)
+
+
+@query("refresh_counts")
+def q_refresh(spark, sf):
+    """Full refresh of F2 into a fresh folder, then an incremental one from a
+    source whose last two stored months changed; the stored table must equal
+    the current source."""
+    src = fx.f2_counts(spark, sf)
+    dest = fs.scratch_dir(spark, "refresh")
+    last = src.agg(F.max("sensing_date")).collect()[0][0]
+    rf.refresh(spark, src, dest, today=last, full=True)
+    # Second run: the newest rows arrive late with changed counts.
+    changed = src.withColumn(
+        "pedestriancount",
+        F.when(F.col("sensing_date") > F.date_sub(F.lit(last), 5), F.col("pedestriancount") + 1).otherwise(
+            F.col("pedestriancount")
+        ),
+    )
+    rf.refresh(spark, changed, dest, today=last)
+    return rd.read_counts(spark, dest)
+
+
+@query("export_audit")
+def q_export(spark, sf):
+    """Export the three marts of F2 and return the rows written per mart."""
+    wh = wh_f2(spark, sf)
+    tables = {
+        "dim_sensors": wh.dim_sensors,
+        "mart_daily_location": wh.mart_daily_location,
+        "mart_hourly_profile": wh.mart_hourly_profile,
+    }
+    return ex.export_marts(spark, tables, fs.scratch_dir(spark, "marts"))
+
+
+@query("export_roundtrip")
+def q_export_roundtrip(spark, sf):
+    """Daily mart of F1 written as a zstd mart and read back."""
+    d = fs.scratch_dir(spark, "marts")
+    wh = wh_f1(spark, sf)
+    ex.export_marts(spark, {"mart_daily_location": wh.mart_daily_location}, d)
+    return rounded(spark.read.parquet(f"{d}/mart_daily_location"))
