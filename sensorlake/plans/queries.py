@@ -283,3 +283,80 @@ def q_export_roundtrip(spark, sf):
     wh = wh_f1(spark, sf)
     ex.export_marts(spark, {"mart_daily_location": wh.mart_daily_location}, d)
     return rounded(spark.read.parquet(f"{d}/mart_daily_location"))
+
+
+# ---------------------------------------------------------------- features and naive backtest
+
+from ..functions import calendar as cal  # noqa: E402
+from ..operators import backtest as bt  # noqa: E402
+from ..operators import features as ft  # noqa: E402
+from ..schemas import TARGET  # noqa: E402
+
+
+def obs_of(raw):
+    return rd.observations(marts.hourly_fact(staging.stage_counts(raw)))
+
+
+def obs_f1(spark, sf):
+    return obs_of(fx.f1_counts(spark, sf))
+
+
+def obs_f2d(spark, sf):
+    return obs_of(fx.f2d_counts(spark, sf))
+
+
+LAG_OUT = ["location_id", "sensing_date", "hour_of_day", TARGET, *ft.LAG_COLS, "lag_mean_4w"]
+
+
+@query("holidays")
+def q_holidays(spark, sf):
+    return cal.holidays(spark, cal.years_of(fx.f2_counts(spark, sf), "sensing_date"))
+
+
+@query("holidays_f1")
+def q_holidays_f1(spark, sf):
+    return cal.holidays(spark, cal.years_of(fx.f1_counts(spark, sf), "sensing_date"))
+
+
+def _lags(obs, method):
+    out = ft.add_lags(obs, obs, method=method)
+    return rounded(out.withColumn("lag_mean_4w", ft.row_mean(ft.LAG_COLS)).select(*LAG_OUT))
+
+
+@query("lag_features")
+def q_lags_join(spark, sf):
+    return _lags(obs_f1(spark, sf), "join")
+
+
+@query("lag_features_shift")
+def q_lags_shift(spark, sf):
+    return _lags(obs_f1(spark, sf), "shift")
+
+
+@query("lag_features_f2d")
+def q_lags_f2d(spark, sf):
+    return _lags(obs_f2d(spark, sf), "shift")
+
+
+@query("calendar_features")
+def q_calendar(spark, sf):
+    obs = obs_f1(spark, sf)
+    return rounded(ft.featurize(obs, obs))
+
+
+@query("future_frame")
+def q_future(spark, sf):
+    obs = obs_f1(spark, sf)
+    return rounded(ft.future_frame(obs, anc.anchor_value(obs)))
+
+
+@query("naive_backtest")
+def q_naive(spark, sf):
+    obs = obs_f1(spark, sf)
+    return rounded(bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=3))
+
+
+@query("naive_backtest_f2d")
+def q_naive_f2d(spark, sf):
+    obs = obs_f2d(spark, sf)
+    return rounded(bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=4))
