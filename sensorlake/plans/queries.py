@@ -360,3 +360,101 @@ def q_naive(spark, sf):
 def q_naive_f2d(spark, sf):
     obs = obs_f2d(spark, sf)
     return rounded(bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=4))
+
+
+# ---------------------------------------------------------------- forecast reports
+
+from ..operators import forecast_reports as fr  # noqa: E402
+
+
+def naive_forecast_mart(obs, anchor, horizon_days=7):
+    """Forecast-mart stand-in for the report checks: the seasonal-naive
+    forecast (p50 = lag_7d, band = min/max of the four weekly lags) for the
+    future frame, in the mart's columns."""
+    fut = ft.future_frame(obs, anchor, horizon_days).filter(F.col("lag_mean_4w").isNotNull())
+    lags = [F.col(c) for c in ft.LAG_COLS]
+    return fut.select(
+        F.col("location_id").cast("int").alias("location_id"),
+        "sensing_date",
+        "hour_of_day",
+        F.least(*lags).cast("double").alias("p10"),
+        F.coalesce(F.col("lag_7d"), F.col("lag_mean_4w")).cast("double").alias("p50"),
+        F.greatest(*lags).cast("double").alias("p90"),
+        anchor.alias("anchor_date"),
+    )
+
+
+def forecast_setup(spark, sf, today_offset=1):
+    """F1 warehouse, its daily mart cut at the anchor, a seasonal-naive
+    forecast mart, and ``today`` = anchor + ``today_offset`` days."""
+    wh = wh_f1(spark, sf)
+    daily, a = daily_at_anchor(wh)
+    obs = rd.observations(wh.fct_hourly_counts)
+    fc = naive_forecast_mart(obs, anc.anchor_value(obs))
+    return daily, fc, a, F.date_add(a, today_offset)
+
+
+@query("forecast_status")
+def q_fc_status(spark, sf):
+    _, fc, a, today = forecast_setup(spark, sf)
+    return fr.forecast_status(fc, a, today)
+
+
+@query("forecast_status_stale")
+def q_fc_status_stale(spark, sf):
+    _, fc, a, today = forecast_setup(spark, sf, today_offset=30)
+    return fr.forecast_status(fc, a, today)
+
+
+@query("forecast_panel")
+def q_fc_panel(spark, sf):
+    daily, fc, a, today = forecast_setup(spark, sf, today_offset=3)
+    return rounded(fr.forecast_panel(daily, fc, a, today))
+
+
+@query("forecast_coverage")
+def q_fc_cov(spark, sf):
+    daily, fc, a, today = forecast_setup(spark, sf, today_offset=2)
+    return rounded(fr.forecast_coverage(daily, fc, a, today))
+
+
+@query("location_forecast")
+def q_loc_fc(spark, sf):
+    daily, fc, a, today = forecast_setup(spark, sf)
+    return rounded(fr.location_forecast(daily, fc, a, today))
+
+
+@query("compare_methods_naive")
+def q_compare_naive(spark, sf):
+    """Method comparison over the naive backtest (model columns null)."""
+    obs = obs_f1(spark, sf)
+    m = bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=3)
+    return rounded(fr.compare_methods(m))
+
+
+# ---------------------------------------------------------------- quantile models (rows-only checks)
+
+from ..operators.quantile import BoostParams  # noqa: E402
+from .forecast import forecast as run_forecast  # noqa: E402
+
+CHECK_PARAMS = BoostParams(rounds=4)
+
+
+@query("quantile_forecast")
+def q_quantile_forecast(spark, sf):
+    """Forecast mart of F1 from the boosted quantile models (no backtest)."""
+    res = run_forecast(obs_f1(spark, sf), folds=0, params=CHECK_PARAMS)
+    return res.forecast.drop("generated_at")
+
+
+@query("model_backtest")
+def q_model_backtest(spark, sf):
+    """Two-fold backtest of the boosted quantile models vs seasonal-naive on F1."""
+    res = run_forecast(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
+    return res.metrics
+
+
+@query("compare_methods")
+def q_compare(spark, sf):
+    res = run_forecast(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
+    return fr.compare_methods(res.metrics)
