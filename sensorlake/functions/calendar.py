@@ -122,28 +122,20 @@ def _weekend_to_monday(d: Column) -> Column:
     return F.when(wd == 5, F.date_add(d, 2)).when(wd == 6, F.date_add(d, 1))
 
 
-def holidays(spark: SparkSession, years: DataFrame) -> DataFrame:
-    """Public holidays (state of Victoria rules) for each year in ``years``.
-
-    ``years`` is a one-column frame ``year``; the caller derives it from the
-    data (``years_of(frame, "sensing_date")``).  Output: ``holiday_date``,
-    ``holiday_name``, one row per (date, name), distinct on date via
-    ``distinct_holiday_dates``.  Rows are generated by ``explode``; no join.
-    """
-    y = F.col("year").cast("int")
+def _holiday_entries(y: Column) -> list[tuple[str, Column]]:
+    """(name, date) of every rule for year column ``y``; a date is null when
+    the rule does not apply that year (weekday substitutes, unknown final)."""
+    y = y.cast("int")
     jan1 = F.make_date(y, F.lit(1), F.lit(1))
     jan26 = F.make_date(y, F.lit(1), F.lit(26))
     easter = _easter_sunday(y)
     dec25 = F.make_date(y, F.lit(12), F.lit(25))
     dec26 = F.make_date(y, F.lit(12), F.lit(26))
     gf_map = F.create_map(*[x for yr, d in GRAND_FINAL_EVE.items() for x in (F.lit(yr), F.lit(d).cast("date"))])
-    # Christmas / Boxing Day substitutes: the first weekdays after the
-    # weekend, Christmas first.
-    wd25 = F.weekday(dec25)
-    xmas_sub = F.when(wd25 == 5, F.date_add(dec25, 2)).when(wd25 == 6, F.date_add(dec25, 2))
-    wd26 = F.weekday(dec26)
-    boxing_sub = F.when(wd26 == 5, F.date_add(dec26, 2)).when(wd26 == 6, F.date_add(dec26, 2))
-    entries = [
+    # Christmas / Boxing Day on a weekend: substitute on the second day after.
+    xmas_sub = F.when(F.weekday(dec25) >= 5, F.date_add(dec25, 2))
+    boxing_sub = F.when(F.weekday(dec26) >= 5, F.date_add(dec26, 2))
+    return [
         ("New Year's Day", jan1),
         ("New Year's Day (observed)", _weekend_to_monday(jan1)),
         ("Australia Day", jan26),
@@ -162,7 +154,18 @@ def holidays(spark: SparkSession, years: DataFrame) -> DataFrame:
         ("Boxing Day", dec26),
         ("Boxing Day (observed)", boxing_sub),
     ]
-    arr = F.array(*[F.struct(d.alias("holiday_date"), F.lit(n).alias("holiday_name")) for n, d in entries])
+
+
+def holidays(spark: SparkSession, years: DataFrame) -> DataFrame:
+    """Public holidays (state of Victoria rules) for each year in ``years``.
+
+    ``years`` is a one-column frame ``year``; the caller derives it from the
+    data (``years_of(frame, "sensing_date")``).  Output: ``holiday_date``,
+    ``holiday_name``.  Rows are generated by ``explode``; no join.
+    """
+    arr = F.array(
+        *[F.struct(d.alias("holiday_date"), F.lit(n).alias("holiday_name")) for n, d in _holiday_entries(F.col("year"))]
+    )
     return (
         years.select(F.explode(arr).alias("h"))
         .select("h.holiday_date", "h.holiday_name")
@@ -170,6 +173,14 @@ def holidays(spark: SparkSession, years: DataFrame) -> DataFrame:
     )
 
 
+def is_holiday(d: ColumnOrName) -> Column:
+    """Whether a date is a public holiday, evaluated from the rules of its
+    own year: a pure projection (no join, no pass over the data)."""
+    d = _c(d)
+    dates = F.array(*[x for _, x in _holiday_entries(F.year(d))])
+    return F.when(d.isNotNull(), F.coalesce(F.array_contains(dates, d), F.lit(False)))
+
+
 def years_of(df: DataFrame, date_col: str) -> DataFrame:
     """Every calendar year between the min and max of ``date_col``."""
     return df.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).select(

@@ -48,6 +48,12 @@ def anchor_value(df: DataFrame, **kw) -> Column:
     return anchor_date(df, **kw).scalar()
 
 
+def anchor_literal(df: DataFrame, **kw) -> Column:
+    """The anchor computed once on the driver (one scalar) as a literal, so
+    every later predicate on it is a constant the optimizer can push down."""
+    return F.lit(anchor_date(df, **kw).first()[0]).cast("date")
+
+
 def cut_at(df: DataFrame, anchor: Column, date_col: str = "sensing_date") -> DataFrame:
     """Rows on or before the anchor."""
     return df.filter(F.col(date_col) <= anchor)

@@ -71,26 +71,32 @@ def score(scored: DataFrame, anchor: Column, folds: int, with_model: bool) -> Da
         F.col("id").cast("int").alias("fold"), F.explode(F.array(*[F.lit(n) for n in names])).alias("method")
     )
     per_fold = F.broadcast(grid).join(per_fold, ["fold", "method"], "left").select(
-        F.lit("fold").alias("scope"),
-        F.date_sub(anchor, F.col("fold") * 7).alias("fold_cutoff"),
+        "fold",
         "method",
         F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
         F.coalesce("sum_abs_err", F.lit(0.0)).alias("sum_abs_err"),
         F.coalesce("sum_actual", F.lit(0.0)).alias("sum_actual"),
         F.when(F.col("method") == MODEL, F.col("band_coverage")).alias("band_coverage"),
     )
-    overall = per_fold.groupBy("method").agg(
-        F.lit("overall").alias("scope"),
-        F.lit(None).cast("date").alias("fold_cutoff"),
-        F.sum("n_rows").cast("bigint").alias("n_rows"),
-        F.sum("sum_abs_err").alias("sum_abs_err"),
-        F.sum("sum_actual").alias("sum_actual"),
-        F.avg("band_coverage").alias("band_coverage"),
+    # Each (fold, method) row also feeds its method's overall row; one small
+    # aggregate yields both (sums of sums, unweighted mean of fold coverages).
+    scopes = F.array(
+        F.struct(F.lit("fold").alias("scope"), F.col("fold").alias("key")),
+        F.struct(F.lit("overall").alias("scope"), F.lit(None).cast("int").alias("key")),
+    )
+    both = (
+        per_fold.select("*", F.explode(scopes).alias("s"))
+        .groupBy(F.col("s.scope").alias("scope"), F.col("s.key").alias("fold"), "method")
+        .agg(
+            F.sum("n_rows").cast("bigint").alias("n_rows"),
+            F.sum("sum_abs_err").alias("sum_abs_err"),
+            F.sum("sum_actual").alias("sum_actual"),
+            F.avg("band_coverage").alias("band_coverage"),
+        )
     )
-    both = per_fold.unionByName(overall)
     return both.select(
         "scope",
-        "fold_cutoff",
+        F.date_sub(anchor, F.col("fold") * 7).alias("fold_cutoff"),
         "method",
         "n_rows",
         F.try_divide(F.col("sum_abs_err"), F.col("n_rows").cast("double")).alias("mae"),

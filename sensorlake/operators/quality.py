@@ -102,29 +102,49 @@ def _row(model: str, check: Check, failures: Column) -> list[Column]:
     ]
 
 
+def _row_condition(c: Check) -> Column:
+    if c.kind == "not_null":
+        return not_null_condition(c.columns[0])
+    return range_condition(c.columns[0], c.args.get("min"), c.args.get("max"))
+
+
 def _model_results(mc: ModelChecks) -> list[DataFrame]:
+    """Result rows of one model's checks.
+
+    The model's first key check (unique / unique_combination) and all its
+    row-level checks share ONE grouped aggregate keyed by that key: per group
+    the row count and the violation counts, then a global sum.  A model with
+    no key check gets one global ``count_if`` aggregate (R6).
+    """
     out: list[DataFrame] = []
     row_level = [c for c in mc.checks if c.kind in ("not_null", "accepted_range")]
-    if row_level:
-        # One scan for every row-level check of the model.
-        conds = []
-        for c in row_level:
-            if c.kind == "not_null":
-                conds.append(not_null_condition(c.columns[0]))
-            else:
-                conds.append(range_condition(c.columns[0], c.args.get("min"), c.args.get("max")))
-        counts = mc.df.agg(*[F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(conds)])
-        rows = F.array(*[F.struct(*_row(mc.model, c, F.col(f"c{i}"))) for i, c in enumerate(row_level)])
-        out.append(counts.select(F.explode(rows).alias("r")).select("r.*"))
-    for c in mc.checks:
+    keyed = [c for c in mc.checks if c.kind in ("unique", "unique_combination")]
+    counts = [F.count_if(_row_condition(c)).alias(f"c{i}") for i, c in enumerate(row_level)]
+    results: list[tuple[Check, Column]] = []
+    if keyed:
+        key = keyed.pop(0)
+        per_key = mc.df.groupBy(*key.columns).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        dup = F.col("_n") > 1
+        if key.kind == "unique":
+            dup = dup & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key.columns])
+        agg = per_key.agg(
+            F.count_if(dup).alias("k"),
+            *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(row_level))],
+        )
+        results.append((key, F.col("k")))
+    elif row_level:
+        agg = mc.df.agg(*counts)
+    if results or row_level:
+        results += [(c, F.col(f"c{i}")) for i, c in enumerate(row_level)]
+        rows = F.array(*[F.struct(*_row(mc.model, c, v)) for c, v in results])
+        out.append(agg.select(F.explode(rows).alias("r")).select("r.*"))
+    for c in keyed + [c for c in mc.checks if c.kind == "relationships"]:
         if c.kind == "unique":
             failing = unique(mc.df, c.columns)
         elif c.kind == "unique_combination":
             failing = unique_combination(mc.df, c.columns)
-        elif c.kind == "relationships":
-            failing = relationships(mc.df, c.columns[0], c.args["to"], c.args["field"])
         else:
-            continue
+            failing = relationships(mc.df, c.columns[0], c.args["to"], c.args["field"])
         out.append(failing.agg(*_row(mc.model, c, F.count(F.lit(1)))))
     return out
 

@@ -65,6 +65,8 @@ def forecast(
     anchor = anc.anchor_date(obs).first()[0]
     if anchor is None:
         raise ValueError("no observations to anchor on")
+    if lag_method == "auto":
+        lag_method = "shift" if ft.grain_is_unique(obs) else "join"
     feat = ft.featurize(obs, obs, lag_method=lag_method).checkpoint(eager=True)
     indexer = qt.fit_indexer(obs)
     metrics = model_backtest(feat, anchor, folds, indexer, params) if folds > 0 else None

@@ -120,9 +120,11 @@ def q_dq_orphans(spark, sf):
 
 
 def daily_at_anchor(wh):
-    """The daily mart, its anchor (scalar column) and the mart cut at it."""
-    daily = wh.mart_daily_location
-    a = anc.anchor_value(daily, weight="hours_reported")
+    """The daily mart materialised once (reliable checkpoint, as the
+    reference's reports read a stored mart), its anchor as a literal, and the
+    mart cut at the anchor."""
+    daily = wh.mart_daily_location.checkpoint(eager=True)
+    a = anc.anchor_literal(daily, weight="hours_reported")
     return anc.cut_at(daily, a), a
 
 
@@ -341,25 +343,27 @@ def q_lags_f2d(spark, sf):
 @query("calendar_features")
 def q_calendar(spark, sf):
     obs = obs_f1(spark, sf)
-    return rounded(ft.featurize(obs, obs))
+    return rounded(ft.featurize(obs, obs, lag_method="shift"))
 
 
 @query("future_frame")
 def q_future(spark, sf):
     obs = obs_f1(spark, sf)
-    return rounded(ft.future_frame(obs, anc.anchor_value(obs)))
+    return rounded(ft.future_frame(obs, anc.anchor_literal(obs), lag_method="shift"))
 
 
 @query("naive_backtest")
 def q_naive(spark, sf):
     obs = obs_f1(spark, sf)
-    return rounded(bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=3))
+    feat = ft.featurize(obs, obs, lag_method="shift")
+    return rounded(bt.naive_backtest(feat, anc.anchor_literal(obs), folds=3))
 
 
 @query("naive_backtest_f2d")
 def q_naive_f2d(spark, sf):
     obs = obs_f2d(spark, sf)
-    return rounded(bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=4))
+    feat = ft.featurize(obs, obs, lag_method="shift")
+    return rounded(bt.naive_backtest(feat, anc.anchor_literal(obs), folds=4))
 
 
 # ---------------------------------------------------------------- forecast reports
@@ -371,7 +375,7 @@ def naive_forecast_mart(obs, anchor, horizon_days=7):
     """Forecast-mart stand-in for the report checks: the seasonal-naive
     forecast (p50 = lag_7d, band = min/max of the four weekly lags) for the
     future frame, in the mart's columns."""
-    fut = ft.future_frame(obs, anchor, horizon_days).filter(F.col("lag_mean_4w").isNotNull())
+    fut = ft.future_frame(obs, anchor, horizon_days, lag_method="shift").filter(F.col("lag_mean_4w").isNotNull())
     lags = [F.col(c) for c in ft.LAG_COLS]
     return fut.select(
         F.col("location_id").cast("int").alias("location_id"),
@@ -389,8 +393,8 @@ def forecast_setup(spark, sf, today_offset=1):
     forecast mart, and ``today`` = anchor + ``today_offset`` days."""
     wh = wh_f1(spark, sf)
     daily, a = daily_at_anchor(wh)
-    obs = rd.observations(wh.fct_hourly_counts)
-    fc = naive_forecast_mart(obs, anc.anchor_value(obs))
+    obs = rd.observations(wh.fct_hourly_counts).checkpoint(eager=True)
+    fc = naive_forecast_mart(obs, anc.anchor_literal(obs))
     return daily, fc, a, F.date_add(a, today_offset)
 
 
@@ -428,7 +432,7 @@ def q_loc_fc(spark, sf):
 def q_compare_naive(spark, sf):
     """Method comparison over the naive backtest (model columns null)."""
     obs = obs_f1(spark, sf)
-    m = bt.naive_backtest(ft.featurize(obs, obs), anc.anchor_value(obs), folds=3)
+    m = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), anc.anchor_literal(obs), folds=3)
     return rounded(fr.compare_methods(m))
 
 
