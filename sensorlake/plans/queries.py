@@ -462,3 +462,27 @@ def q_model_backtest(spark, sf):
 def q_compare(spark, sf):
     res = run_forecast(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
     return fr.compare_methods(res.metrics)
+
+
+# ---------------------------------------------------------------- streaming ingest
+
+from ..streaming import landing as ls  # noqa: E402
+
+
+@query("landing_stream_ingest")
+def q_landing_stream(spark, sf):
+    """F2 landed as month exports in two waves (older months, then the rest
+    with the last months re-exported); an available-now stream after each wave
+    maintains the raw table, which must equal the source."""
+    src = fx.f2_counts(spark, sf).drop("month")
+    landing, dest = fs.scratch_dir(spark, "landing"), fs.scratch_dir(spark, "landed")
+    ckpt = fs.scratch_dir(spark, "landing-ckpt")
+    cut = src.agg(F.max("sensing_date")).collect()[0][0]
+    cut = cut.replace(day=1)
+    ls.land_months(src.filter(F.col("sensing_date") < F.lit(cut)), landing)
+    ls.start_landing_ingest(spark, landing, dest, ckpt).awaitTermination()
+    # Second wave: the newest month, plus a complete re-export of the month before.
+    prev = F.add_months(F.lit(cut), -1)
+    ls.land_months(src.filter(F.col("sensing_date") >= prev), landing)
+    ls.start_landing_ingest(spark, landing, dest, ckpt).awaitTermination()
+    return staging.stage_counts(rd.read_counts(spark, dest))
