@@ -51,6 +51,24 @@ def model_backtest(
     return bt.score(scored, a, folds, with_model=True)
 
 
+def prepare(obs: DataFrame, lag_method: str = "auto"):
+    """Anchor (one scalar), checkpointed feature frame and location indexer."""
+    anchor = anc.anchor_date(obs).first()[0]
+    if anchor is None:
+        raise ValueError("no observations to anchor on")
+    if lag_method == "auto":
+        lag_method = "shift" if ft.grain_is_unique(obs) else "join"
+    feat = ft.featurize(obs, obs, lag_method=lag_method).checkpoint(eager=True)
+    return anchor, feat, qt.fit_indexer(obs), lag_method
+
+
+def backtest_only(obs: DataFrame, folds: int = 4, params: qt.BoostParams | None = None,
+                  lag_method: str = "auto") -> DataFrame:
+    """Backtest metrics without the final fit (M6)."""
+    anchor, feat, indexer, _ = prepare(obs, lag_method)
+    return model_backtest(feat, anchor, folds, indexer, params)
+
+
 def forecast(
     obs: DataFrame,
     horizon_days: int = 7,
@@ -62,13 +80,7 @@ def forecast(
     """Backtest, fit on history through the anchor, forecast ``horizon_days``
     per active location and hour (M7).  Returns lazily defined marts whose
     models are already fitted."""
-    anchor = anc.anchor_date(obs).first()[0]
-    if anchor is None:
-        raise ValueError("no observations to anchor on")
-    if lag_method == "auto":
-        lag_method = "shift" if ft.grain_is_unique(obs) else "join"
-    feat = ft.featurize(obs, obs, lag_method=lag_method).checkpoint(eager=True)
-    indexer = qt.fit_indexer(obs)
+    anchor, feat, indexer, lag_method = prepare(obs, lag_method)
     metrics = model_backtest(feat, anchor, folds, indexer, params) if folds > 0 else None
     final_train = bt.trainable(feat.filter(F.col("sensing_date") <= F.lit(anchor)))
     models = qt.fit_all(final_train, indexer, params)

@@ -439,6 +439,7 @@ def q_compare_naive(spark, sf):
 # ---------------------------------------------------------------- quantile models (rows-only checks)
 
 from ..operators.quantile import BoostParams  # noqa: E402
+from .forecast import backtest_only  # noqa: E402
 from .forecast import forecast as run_forecast  # noqa: E402
 
 CHECK_PARAMS = BoostParams(rounds=4)
@@ -454,14 +455,12 @@ def q_quantile_forecast(spark, sf):
 @query("model_backtest")
 def q_model_backtest(spark, sf):
     """Two-fold backtest of the boosted quantile models vs seasonal-naive on F1."""
-    res = run_forecast(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
-    return res.metrics
+    return backtest_only(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
 
 
 @query("compare_methods")
 def q_compare(spark, sf):
-    res = run_forecast(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
-    return fr.compare_methods(res.metrics)
+    return fr.compare_methods(backtest_only(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS))
 
 
 # ---------------------------------------------------------------- streaming ingest
