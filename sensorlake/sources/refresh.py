@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_start
@@ -21,10 +21,17 @@ LOOKBACK_DAYS = 7
 
 
 def stored_max_date(spark: SparkSession, dest: str) -> DataFrame:
-    """One row ``stored_max``: latest stored date, null when nothing is stored."""
-    if not fs.list_dirs(spark, dest):
+    """One row ``stored_max``: latest stored date, null when nothing is stored.
+
+    Only the newest ``month=`` partition can hold the maximum, so only that
+    partition is read (partition pruning): the cost is one month of dates,
+    not the whole history.
+    """
+    months_stored = sorted(d.split("=", 1)[1] for d in fs.list_dirs(spark, dest) if d.startswith(f"{PARTITION}="))
+    if not months_stored:
         return spark.range(1).select(F.lit(None).cast("date").alias("stored_max"))
-    return spark.read.parquet(dest).agg(F.max("sensing_date").alias("stored_max"))
+    latest = spark.read.parquet(dest).filter(F.col(PARTITION) == months_stored[-1])
+    return latest.agg(F.max("sensing_date").alias("stored_max"))
 
 
 def source_min_date(source: DataFrame) -> DataFrame:
@@ -62,17 +69,18 @@ def months(window: DataFrame) -> DataFrame:
 
 
 def in_months(df: DataFrame, planned: list, date_col: str = "sensing_date") -> DataFrame:
-    """Rows whose date falls in one of the planned months, half-open.
+    """Rows whose date falls in the planned months, half-open.
 
-    ``planned`` is the collected month plan (a few rows).  Bounds are
-    literals, so they reach the Parquet scan as pushed filters; a source that
-    is itself partitioned by ``month`` is also pruned to the planned months.
+    ``planned`` is the collected month plan (a few rows).  The months of a
+    plan are consecutive, so the predicate is one literal range
+    ``[first month start, last next month)`` that reaches the Parquet scan as
+    a pushed filter; a source that is itself partitioned by ``month`` is also
+    pruned to the planned months.
     """
     d = F.col(date_col)
-    cond = F.lit(False)
-    for r in planned:
-        cond = cond | ((d >= F.lit(r["month_start"])) & (d < F.lit(r["next_month"])))
-    out = df.filter(cond)
+    lo = min(r["month_start"] for r in planned)
+    hi = max(r["next_month"] for r in planned)
+    out = df.filter((d >= F.lit(lo)) & (d < F.lit(hi)))
     if PARTITION in df.columns:
         out = out.filter(F.col(PARTITION).isin([r[PARTITION] for r in planned]))
     return out
@@ -90,7 +98,10 @@ def refresh_counts(spark: SparkSession, source: DataFrame, dest: str, window: Da
     if not planned:
         return spark.createDataFrame([], "month_start date, next_month date, month string, rows bigint")
     rows = in_months(source, planned).withColumn(PARTITION, F.date_format("sensing_date", "yyyy_MM"))
-    present = {r[0] for r in rows.select(PARTITION).distinct().collect()}
+    # The months actually written are observed during the write (a set of at
+    # most len(planned) values), so no separate pass over the source.
+    written = Observation(f"months_{abs(hash(dest))}")
+    rows = rows.observe(written, F.collect_set(PARTITION).alias("months"))
     # Range partitioning by (month, date, id): large months are split over
     # many writers, small ones share a task, and each file covers a narrow
     # date range (tight Parquet min/max statistics for later date filters).
@@ -102,6 +113,7 @@ def refresh_counts(spark: SparkSession, source: DataFrame, dest: str, window: Da
         .partitionBy(PARTITION)
         .parquet(dest)
     )
+    present = set(written.get["months"] or [])
     for r in planned:
         if r[PARTITION] not in present:
             fs.delete(spark, f"{dest}/{PARTITION}={r[PARTITION]}")
@@ -129,14 +141,23 @@ def refresh(
     spark: SparkSession,
     source: DataFrame,
     dest: str,
-    today: dt.date | Column,
+    today: dt.date,
     lookback_days: int = LOOKBACK_DAYS,
     full: bool = False,
 ) -> DataFrame:
-    """Plan the window from stored state and refresh."""
-    window = refresh_window(
-        stored_max_date(spark, dest), source_min_date(source), today, lookback_days, full
-    )
-    # The window must be fixed before the destination changes under it.
-    window = spark.createDataFrame(window.collect(), window.schema)
+    """Plan the window from stored state and refresh.
+
+    The window is two driver scalars, fixed before the destination changes.
+    The source's first date is read only for a full run or an empty
+    destination, as in the reference; an incremental run never scans the
+    whole source.
+    """
+    stored = None if full else stored_max_date(spark, dest).first()[0]
+    if stored is not None:
+        start = stored - dt.timedelta(days=lookback_days)
+    else:
+        start = source_min_date(source).first()[0]
+    if start is None:
+        return spark.createDataFrame([], "month_start date, next_month date, month string, rows bigint")
+    window = spark.createDataFrame([(start, today)], "window_start date, window_end date")
     return refresh_counts(spark, source, dest, window)
