@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of RDDs no longer referenced are removed, so boosting
+    # rounds do not accumulate in the shared checkpoint folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

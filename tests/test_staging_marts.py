@@ -83,3 +83,16 @@ def test_dim_daily_profile(spark):
     prof = marts.hourly_profile(fct, dim)
     assert rows(prof, "location_id", "hour_of_day", "avg_count", "n_observations") == [
         (1, 0, 2.0, 1), (1, 1, 4.0, 1), (2, 1, 5.0, 1)]
+
+
+def test_marts_preserve_totals_on_fixture(spark):
+    from sensorlake.sources import fixtures as fx
+    from sensorlake.plans.warehouse import build_warehouse
+
+    sf = "/root/testdata/sf0.001"
+    wh = build_warehouse(fx.f2_counts(spark, sf), fx.f3_sensors(spark, sf))
+    fct_total = wh.fct_hourly_counts.agg(F.sum("pedestrian_count")).first()[0]
+    daily_total = wh.mart_daily_location.agg(F.sum("daily_count")).first()[0]
+    assert fct_total == daily_total > 0                                       # sum(daily) = sum(fct)
+    assert wh.mart_daily_location.agg(F.sum("hours_reported")).first()[0] == wh.fct_hourly_counts.count()
+    assert wh.stg_counts.count() == fx.f2_counts(spark, sf).select("id").distinct().count()
