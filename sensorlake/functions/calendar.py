@@ -73,7 +73,8 @@ def trailing(df: DataFrame, date_col: str, anchor: Column, days: int) -> DataFra
 # ---------------------------------------------------------------- holidays (M9)
 #
 # The Friday before the football grand final has no rule; it is
-# announced each year.  Dates as published by the state government.
+# announced each year.  Dates as published by the state government.  Easter
+# Sunday is a public holiday from 2016 on.
 GRAND_FINAL_EVE = {
     2015: "2015-10-02",
     2016: "2016-09-30",
@@ -143,7 +144,7 @@ def _holiday_entries(y: Column) -> list[tuple[str, Column]]:
         ("Labour Day", _nth_weekday(y, 3, 0, 2)),
         ("Good Friday", F.date_sub(easter, 2)),
         ("Easter Saturday", F.date_sub(easter, 1)),
-        ("Easter Sunday", easter),
+        ("Easter Sunday", F.when(y >= 2016, easter)),
         ("Easter Monday", F.date_add(easter, 1)),
         ("ANZAC Day", F.make_date(y, F.lit(4), F.lit(25))),
         ("King's Birthday", _nth_weekday(y, 6, 0, 2)),

@@ -485,3 +485,36 @@ def q_landing_stream(spark, sf):
     ls.land_months(src.filter(F.col("sensing_date") >= prev), landing)
     ls.start_landing_ingest(spark, landing, dest, ckpt).awaitTermination()
     return staging.stage_counts(rd.read_counts(spark, dest))
+
+
+# ---------------------------------------------------------------- publication and read-back
+
+from ..functions import labels as lb  # noqa: E402
+
+
+@query("forecast_readback")
+def q_fc_readback(spark, sf):
+    """Forecast and metrics marts written (S13) and read back with ``ts``."""
+    obs = obs_f1(spark, sf)
+    a = anc.anchor_literal(obs)
+    fc = naive_forecast_mart(obs, a)
+    metrics = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), a, folds=3)
+    d = fs.scratch_dir(spark, "fc-marts")
+    ex.export_marts(spark, {"mart_forecast": fc, "mart_forecast_metrics": metrics}, d)
+    got, _ = rd.read_forecast(spark, d)
+    return rounded(got)
+
+
+@query("staged_table")
+def q_staged_table(spark, sf):
+    """``stg_counts`` of F2 published as a table (S16) and read back."""
+    stg = staging.stage_counts(fx.f2_counts(spark, sf))
+    return ex.publish(stg, "stg_counts_f2", "table", fs.scratch_dir(spark, "stg"))
+
+
+@query("rhythm_cells")
+def q_rhythm_cells(spark, sf):
+    """Weekly rhythm as heatmap cells with zero-padded hour labels."""
+    prof = wh_f2(spark, sf).mart_hourly_profile
+    cells = prof.groupBy("day_name", "hour_of_day").agg(F.sum("avg_count").alias("avg_count"))
+    return rounded(cells.select("day_name", lb.hour_label(F.col("hour_of_day")).alias("hour_label"), "avg_count"))
