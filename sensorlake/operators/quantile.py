@@ -109,6 +109,8 @@ class QuantileBoostedTrees:
         )
 
     def fit(self, df: DataFrame) -> QuantileBoostedModel:
+        """Fit on ``df`` (features, label).  Pass a checkpointed or persisted
+        frame: it is read once per round."""
         p, a = self.params, self.alpha
         ensure_checkpoint_dir(df.sparkSession)
         data = df.select(
@@ -118,7 +120,9 @@ class QuantileBoostedTrees:
         if init is None:
             raise ValueError("cannot fit a quantile model on an empty training set")
         model = QuantileBoostedModel(alpha=a, init=float(init), learning_rate=p.learning_rate)
-        cur = data.withColumn("score", F.lit(float(init))).checkpoint(eager=True)
+        # ``data`` is already checkpointed by the caller; the starting score is
+        # a projection over it.
+        cur = data.withColumn("score", F.lit(float(init))).persist(StorageLevel.MEMORY_AND_DISK)
         resid = F.col("label") - F.col("score")
         for r in range(p.rounds):
             train = cur.withColumn("gradient", F.when(resid > 0, F.lit(a)).otherwise(F.lit(a - 1.0)))

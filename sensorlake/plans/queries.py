@@ -14,8 +14,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import calendar as cal
+from ..functions import labels as lb
+from ..operators import anchor as anc
+from ..operators import backtest as bt
+from ..operators import features as ft
+from ..operators import forecast_reports as fr
 from ..operators import marts, staging
+from ..operators import quality as dq
+from ..operators import reports as rp
+from ..operators.quantile import BoostParams
+from ..schemas import TARGET
+from ..sources import export as ex
 from ..sources import fixtures as fx
+from ..sources import fs
+from ..sources import readers as rd
+from ..sources import refresh as rf
+from ..streaming import landing as ls
+from .forecast import backtest_only
+from .forecast import forecast as run_forecast
 from .warehouse import build_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,9 +101,6 @@ def q_profile(spark, sf):
 
 # ---------------------------------------------------------------- data quality
 
-from ..operators import anchor as anc  # noqa: E402
-from ..operators import quality as dq  # noqa: E402
-from ..operators import reports as rp  # noqa: E402
 
 
 @query("dq_suite")
@@ -222,10 +236,6 @@ def q_names(spark, sf):
 
 # ---------------------------------------------------------------- refresh and export
 
-from ..sources import export as ex  # noqa: E402
-from ..sources import fs  # noqa: E402
-from ..sources import readers as rd  # noqa: E402
-from ..sources import refresh as rf  # noqa: E402
 
 
 def _f2_dates(spark, sf):
@@ -289,10 +299,6 @@ def q_export_roundtrip(spark, sf):
 
 # ---------------------------------------------------------------- features and naive backtest
 
-from ..functions import calendar as cal  # noqa: E402
-from ..operators import backtest as bt  # noqa: E402
-from ..operators import features as ft  # noqa: E402
-from ..schemas import TARGET  # noqa: E402
 
 
 def obs_of(raw):
@@ -368,7 +374,6 @@ def q_naive_f2d(spark, sf):
 
 # ---------------------------------------------------------------- forecast reports
 
-from ..operators import forecast_reports as fr  # noqa: E402
 
 
 def naive_forecast_mart(obs, anchor, horizon_days=7):
@@ -438,9 +443,6 @@ def q_compare_naive(spark, sf):
 
 # ---------------------------------------------------------------- quantile models (rows-only checks)
 
-from ..operators.quantile import BoostParams  # noqa: E402
-from .forecast import backtest_only  # noqa: E402
-from .forecast import forecast as run_forecast  # noqa: E402
 
 CHECK_PARAMS = BoostParams(rounds=4)
 
@@ -465,7 +467,6 @@ def q_compare(spark, sf):
 
 # ---------------------------------------------------------------- streaming ingest
 
-from ..streaming import landing as ls  # noqa: E402
 
 
 @query("landing_stream_ingest")
@@ -489,7 +490,6 @@ def q_landing_stream(spark, sf):
 
 # ---------------------------------------------------------------- publication and read-back
 
-from ..functions import labels as lb  # noqa: E402
 
 
 @query("forecast_readback")
