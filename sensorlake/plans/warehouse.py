@@ -22,9 +22,19 @@ class Warehouse:
         return dict(self.__dict__)
 
 
-def build_warehouse(raw_counts: DataFrame, raw_sensors: DataFrame, profile_days: int = 90) -> Warehouse:
-    """Lazily chain every model; nothing runs until a mart is written or read."""
+def build_warehouse(
+    raw_counts: DataFrame, raw_sensors: DataFrame, profile_days: int = 90, materialize: bool = False
+) -> Warehouse:
+    """Chain every model lazily.
+
+    With ``materialize`` the deduplicated staging counts (the one model that
+    needs a full shuffle of the readings) are written once with a reliable
+    checkpoint and every later model, check and subquery reads them, the way
+    the pipeline reads its staging table.
+    """
     stg_c = staging.stage_counts(raw_counts)
+    if materialize:
+        stg_c = stg_c.checkpoint(eager=True)
     stg_s = staging.stage_sensors(raw_sensors)
     fct = marts.hourly_fact(stg_c)
     dim = marts.sensor_dim(stg_s, stg_c)
