@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..schemas import TARGET
-from ..session import ensure_checkpoint_dir
+from ..session import checkpointed, ensure_checkpoint_dir
 from .features import CALENDAR_COLS, LAG_COLS
 
 QUANTILES = {"p10": 0.10, "p50": 0.50, "p90": 0.90}
@@ -148,7 +148,7 @@ class QuantileBoostedTrees:
                 (F.col("score") + F.lit(p.learning_rate) * F.element_at(lookup, F.col("leaf_id") + 1)).alias("score"),
             )
             if (r + 1) % p.checkpoint_interval == 0:
-                nxt = nxt.checkpoint(eager=True)
+                nxt = checkpointed(nxt)
             else:
                 nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
             cur.unpersist()
@@ -200,7 +200,7 @@ def fit_all(
     driver threads so the cluster schedules them side by side.
     """
     data = assemble(train, indexer).select("features", F.log1p(F.col(TARGET).cast("double")).alias("label"))
-    data = data.checkpoint(eager=True)
+    data = checkpointed(data)
     max_bins = max(32, len(indexer.labels) + 1)
 
     def one(item):

@@ -19,6 +19,7 @@ from ..operators import anchor as anc
 from ..operators import backtest as bt
 from ..operators import features as ft
 from ..operators import quantile as qt
+from ..session import checkpointed
 
 
 @dataclass
@@ -52,20 +53,27 @@ def model_backtest(
 
 
 def prepare(obs: DataFrame, lag_method: str = "auto"):
-    """Anchor (one scalar), checkpointed feature frame and location indexer."""
+    """Checkpointed observations, anchor (one scalar), checkpointed feature
+    frame, location indexer and the resolved lag method.
+
+    The observations feed about eight reads (anchor, grain check, lag
+    branches, indexer, active locations, future lags), so they are
+    materialised once instead of re-deriving them from their source each time.
+    """
+    obs = checkpointed(obs)
     anchor = anc.anchor_date(obs).first()[0]
     if anchor is None:
         raise ValueError("no observations to anchor on")
     if lag_method == "auto":
         lag_method = "shift" if ft.grain_is_unique(obs) else "join"
-    feat = ft.featurize(obs, obs, lag_method=lag_method).checkpoint(eager=True)
-    return anchor, feat, qt.fit_indexer(obs), lag_method
+    feat = checkpointed(ft.featurize(obs, obs, lag_method=lag_method))
+    return obs, anchor, feat, qt.fit_indexer(obs), lag_method
 
 
 def backtest_only(obs: DataFrame, folds: int = 4, params: qt.BoostParams | None = None,
                   lag_method: str = "auto") -> DataFrame:
     """Backtest metrics without the final fit (M6)."""
-    anchor, feat, indexer, _ = prepare(obs, lag_method)
+    _, anchor, feat, indexer, _ = prepare(obs, lag_method)
     return model_backtest(feat, anchor, folds, indexer, params)
 
 
@@ -80,7 +88,7 @@ def forecast(
     """Backtest, fit on history through the anchor, forecast ``horizon_days``
     per active location and hour (M7).  Returns lazily defined marts whose
     models are already fitted."""
-    anchor, feat, indexer, lag_method = prepare(obs, lag_method)
+    obs, anchor, feat, indexer, lag_method = prepare(obs, lag_method)
     metrics = model_backtest(feat, anchor, folds, indexer, params) if folds > 0 else None
     final_train = bt.trainable(feat.filter(F.col("sensing_date") <= F.lit(anchor)))
     models = qt.fit_all(final_train, indexer, params)

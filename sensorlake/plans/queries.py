@@ -33,6 +33,7 @@ from ..sources import refresh as rf
 from ..streaming import landing as ls
 from .forecast import backtest_only
 from .forecast import forecast as run_forecast
+from ..session import checkpointed
 from .warehouse import build_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,7 +138,7 @@ def daily_at_anchor(wh):
     """The daily mart materialised once (reliable checkpoint, as the
     reference's reports read a stored mart), its anchor as a literal, and the
     mart cut at the anchor."""
-    daily = wh.mart_daily_location.checkpoint(eager=True)
+    daily = checkpointed(wh.mart_daily_location)
     a = anc.anchor_literal(daily, weight="hours_reported")
     return anc.cut_at(daily, a), a
 
@@ -398,7 +399,7 @@ def forecast_setup(spark, sf, today_offset=1):
     forecast mart, and ``today`` = anchor + ``today_offset`` days."""
     wh = wh_f1(spark, sf)
     daily, a = daily_at_anchor(wh)
-    obs = rd.observations(wh.fct_hourly_counts).checkpoint(eager=True)
+    obs = checkpointed(rd.observations(wh.fct_hourly_counts))
     fc = naive_forecast_mart(obs, anc.anchor_literal(obs))
     return daily, fc, a, F.date_add(a, today_offset)
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from ..operators import marts, staging
+from ..session import checkpointed
 
 
 @dataclass
@@ -34,7 +35,7 @@ def build_warehouse(
     """
     stg_c = staging.stage_counts(raw_counts)
     if materialize:
-        stg_c = stg_c.checkpoint(eager=True)
+        stg_c = checkpointed(stg_c)
     stg_s = staging.stage_sensors(raw_sensors)
     fct = marts.hourly_fact(stg_c)
     dim = marts.sensor_dim(stg_s, stg_c)

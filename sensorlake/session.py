@@ -69,3 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "spark.checkpoint.dir is not set: point it at a shared folder the executors can reach"
         )
     return sc.getCheckpointDir()
+
+
+def checkpointed(df):
+    """Eager reliable checkpoint of ``df`` into the shared checkpoint folder
+    (lineage cut; survives lost executors).  Never ``localCheckpoint``."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
