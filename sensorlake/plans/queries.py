@@ -59,12 +59,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def wh_f2(spark: SparkSession, sf: str):
-    return build_warehouse(fx.f2_counts(spark, sf), fx.f3_sensors(spark, sf))
+def wh_f2(spark: SparkSession, sf: str, materialize: bool = False):
+    return build_warehouse(fx.f2_counts(spark, sf), fx.f3_sensors(spark, sf), materialize=materialize)
 
 
-def wh_f1(spark: SparkSession, sf: str):
-    return build_warehouse(fx.f1_counts(spark, sf), fx.f3_sensors(spark, sf))
+def wh_f1(spark: SparkSession, sf: str, materialize: bool = False):
+    return build_warehouse(fx.f1_counts(spark, sf), fx.f3_sensors(spark, sf), materialize=materialize)
 
 
 # ---------------------------------------------------------------- staging and marts
@@ -106,12 +106,14 @@ def q_profile(spark, sf):
 
 @query("dq_suite")
 def q_dq_suite(spark, sf):
-    return dq.run_suite(dq.warehouse_checks(wh_f2(spark, sf)))
+    # The suite reads the staging counts about eight times (checks, fact,
+    # dimension, marts): materialise them once, as the pipeline does.
+    return dq.run_suite(dq.warehouse_checks(wh_f2(spark, sf, materialize=True)))
 
 
 @query("dq_suite_f1")
 def q_dq_suite_f1(spark, sf):
-    return dq.run_suite(dq.warehouse_checks(wh_f1(spark, sf)))
+    return dq.run_suite(dq.warehouse_checks(wh_f1(spark, sf, materialize=True)))
 
 
 @query("dq_duplicate_ids")
@@ -280,7 +282,7 @@ def q_refresh(spark, sf):
 @query("export_audit")
 def q_export(spark, sf):
     """Export the three marts of F2 and return the rows written per mart."""
-    wh = wh_f2(spark, sf)
+    wh = wh_f2(spark, sf, materialize=True)
     tables = {
         "dim_sensors": wh.dim_sensors,
         "mart_daily_location": wh.mart_daily_location,
