@@ -262,8 +262,8 @@ def q_month_plan(spark, sf):
 @query("refresh_counts")
 def q_refresh(spark, sf):
     """Full refresh of F2 into a fresh folder, then an incremental one from a
-    source whose last two stored months changed; the stored table must equal
-    the current source."""
+    source whose last five days of counts changed (late corrections); the
+    stored table must equal the current source."""
     src = fx.f2_counts(spark, sf)
     dest = fs.scratch_dir(spark, "refresh")
     last = src.agg(F.max("sensing_date")).collect()[0][0]
@@ -380,9 +380,10 @@ def q_naive_f2d(spark, sf):
 
 
 def naive_forecast_mart(obs, anchor, horizon_days=7):
-    """Forecast-mart stand-in for the report checks: the seasonal-naive
-    forecast (p50 = lag_7d, band = min/max of the four weekly lags) for the
-    future frame, in the mart's columns."""
+    """Forecast-mart stand-in for the report checks: a seasonal-naive
+    forecast (p50 = lag_7d, or the four-week lag mean when that week is
+    missing; band = min/max of the weekly lags) for the future frame, in the
+    mart's columns."""
     fut = ft.future_frame(obs, anchor, horizon_days, lag_method="shift").filter(F.col("lag_mean_4w").isNotNull())
     lags = [F.col(c) for c in ft.LAG_COLS]
     return fut.select(
@@ -398,8 +399,10 @@ def naive_forecast_mart(obs, anchor, horizon_days=7):
 
 def forecast_setup(spark, sf, today_offset=1):
     """F1 warehouse, its daily mart cut at the anchor, a seasonal-naive
-    forecast mart, and ``today`` = anchor + ``today_offset`` days."""
-    wh = wh_f1(spark, sf)
+    forecast mart, and ``today`` = anchor + ``today_offset`` days.  The
+    staging counts feed both the mart and the observations, so they are
+    materialised once."""
+    wh = wh_f1(spark, sf, materialize=True)
     daily, a = daily_at_anchor(wh)
     obs = checkpointed(rd.observations(wh.fct_hourly_counts))
     fc = naive_forecast_mart(obs, anc.anchor_literal(obs))
