@@ -404,7 +404,7 @@ def forecast_setup(spark, sf, today_offset=1):
     materialised once."""
     wh = wh_f1(spark, sf, materialize=True)
     daily, a = daily_at_anchor(wh)
-    obs = checkpointed(rd.observations(wh.fct_hourly_counts))
+    obs = rd.observations(wh.fct_hourly_counts)  # a projection of the materialised staging
     fc = naive_forecast_mart(obs, anc.anchor_literal(obs))
     return daily, fc, a, F.date_add(a, today_offset)
 
