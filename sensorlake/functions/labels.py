@@ -1,8 +1,11 @@
 """Display labels as column expressions.
 
-Rounding is half-up on the IEEE value (``floor(x * 10^k + 0.5)``), written in
-integer steps so any engine produces the same text; the reference's Python
-formatting rounds binary ties half-even, so the two differ only on exact ties.
+Numbers are rounded the way Python formats floats: the exact binary value,
+ties to even.  That is reproduced with IEEE double arithmetic only:
+``q * 10`` is computed error-free as ``8q + 2q`` (multiplying by a power of
+two is exact) with Knuth's TwoSum giving the exact rounding error, and the
+fraction ``q - floor(q)`` is exact.  Every engine that follows IEEE 754
+therefore prints the same text as the reference's f-strings.
 """
 
 from __future__ import annotations
@@ -11,8 +14,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _tenths(x: Column) -> Column:
-    return F.floor(x * F.lit(10.0) + F.lit(0.5))
+def round_half_even(q: Column) -> Column:
+    """Nearest integer to the exact value of double ``q``, ties to even."""
+    fl = F.floor(q)
+    frac = q - fl
+    up = (frac > 0.5) | ((frac == 0.5) & ((fl % 2) != 0))
+    return F.when(up, fl + 1).otherwise(fl)
+
+
+def round_tenths(q: Column) -> Column:
+    """Nearest integer to the exact value of ``10 * q``, ties to even."""
+    a, b = q * F.lit(8.0), q * F.lit(2.0)
+    s = a + b
+    bb = s - a
+    err = (a - (s - bb)) + (b - bb)  # 10q = s + err exactly
+    fl = F.floor(s)
+    frac = s - fl
+    up = (frac > 0.5) | ((frac == 0.5) & ((err > 0) | ((err == 0) & ((fl % 2) != 0))))
+    return F.when(up, fl + 1).otherwise(fl)
 
 
 def _one_decimal(tenths: Column) -> Column:
@@ -28,22 +47,23 @@ def compact_number(x: Column) -> Column:
     """``1.2M`` / ``35K`` / ``812``."""
     x = x.cast("double")
     return (
-        F.when(x >= 1_000_000, F.concat(_one_decimal(_tenths(x / F.lit(1_000_000.0))), F.lit("M")))
-        .when(x >= 1_000, F.concat(F.floor(x / F.lit(1000.0) + F.lit(0.5)).cast("bigint").cast("string"), F.lit("K")))
-        .otherwise(F.floor(x + F.lit(0.5)).cast("bigint").cast("string"))
+        F.when(x >= 1_000_000, F.concat(_one_decimal(round_tenths(x / F.lit(1_000_000.0))), F.lit("M")))
+        .when(x >= 1_000, F.concat(round_half_even(x / F.lit(1000.0)).cast("bigint").cast("string"), F.lit("K")))
+        .otherwise(round_half_even(x).cast("bigint").cast("string"))
     )
 
 
 def signed_percent(pct: Column) -> Column:
     """``+12.3%`` / ``-4.0%``; null stays null."""
-    t = _tenths(pct.cast("double"))
-    sign = F.when(t < 0, F.lit("-")).otherwise(F.lit("+"))
-    return F.concat(sign, _one_decimal(F.abs(t)), F.lit("%"))
+    p = pct.cast("double")
+    negative = (p < 0) | ((p == 0) & p.cast("string").startswith("-"))  # -0.0 prints as "-0.0"
+    sign = F.when(negative, F.lit("-")).otherwise(F.lit("+"))
+    return F.concat(sign, _one_decimal(round_tenths(F.abs(p))), F.lit("%"))
 
 
 def thousands(x: Column) -> Column:
     """Rounded integer with thousands separators, ``12,345``."""
-    return F.format_number(F.floor(x.cast("double") + F.lit(0.5)).cast("bigint"), 0)
+    return F.format_number(round_half_even(x.cast("double")).cast("bigint"), 0)
 
 
 def hour_label(h: Column) -> Column:
