@@ -124,9 +124,14 @@ class QuantileBoostedTrees:
         # a projection over it.
         cur = data.withColumn("score", F.lit(float(init))).persist(StorageLevel.MEMORY_AND_DISK)
         resid = F.col("label") - F.col("score")
+        prev = None
         for r in range(p.rounds):
             train = cur.withColumn("gradient", F.when(resid > 0, F.lit(a)).otherwise(F.lit(a - 1.0)))
             tree = self._tree(r).fit(train)
+            # The fit has materialised ``cur``; the frame it was derived from
+            # can go now (releasing it earlier would force a recomputation).
+            if prev is not None:
+                prev.unpersist()
             leafed = (
                 tree.copy()
                 .setPredictionCol("")
@@ -151,8 +156,9 @@ class QuantileBoostedTrees:
                 nxt = checkpointed(nxt)
             else:
                 nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            cur.unpersist()
-            cur = nxt
+            prev, cur = cur, nxt
+        if prev is not None:
+            prev.unpersist()
         cur.unpersist()
         return model
 
