@@ -25,7 +25,7 @@ from ..session import checkpointed
 @dataclass
 class ForecastResult:
     forecast: DataFrame
-    metrics: DataFrame
+    metrics: DataFrame | None  # None when folds = 0
     anchor: dt.date
 
 
