@@ -79,3 +79,15 @@ def test_future_scaffold(spark):
     assert sc.count() == 2 * 7 * 24
     assert rows(sc.agg(F.min("sensing_date"), F.max("sensing_date"), F.max("hour_of_day"))) == [
         (D("2024-01-31"), D("2024-02-06"), 23)]
+
+
+def test_future_frame_join_and_shift_agree_with_bounded_history(spark):
+    base = D("2024-01-01")
+    data = [(l, base + dt.timedelta(days=d), h, l * 10 + d + h) for l in (1, 2) for d in range(0, 60) for h in (0, 7)]
+    o = obs(spark, data)
+    a = F.lit(base + dt.timedelta(days=59))
+    j = rows(ft.future_frame(o, a, 7, lag_method="join"))
+    s = rows(ft.future_frame(o, a, 7, lag_method="shift"))
+    assert j == s and len(j) == 2 * 7 * 24
+    # every horizon row with history 7 days back got its lag
+    assert all(r[3] is not None for r in s if r[2] in (0, 7))
