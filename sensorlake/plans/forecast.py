@@ -56,8 +56,8 @@ def prepare(obs: DataFrame, lag_method: str = "auto"):
     """Checkpointed observations, anchor (one scalar), checkpointed feature
     frame, location indexer and the resolved lag method.
 
-    The observations feed about eight reads (anchor, grain check, lag
-    branches, indexer, active locations, future lags), so they are
+    The observations feed several reads (anchor, lag branches, indexer,
+    active locations, future lags), so they are
     materialised once instead of re-deriving them from their source each time.
     """
     obs = checkpointed(obs)
@@ -65,8 +65,18 @@ def prepare(obs: DataFrame, lag_method: str = "auto"):
     if anchor is None:
         raise ValueError("no observations to anchor on")
     if lag_method == "auto":
-        lag_method = "shift" if ft.grain_is_unique(obs) else "join"
-    feat = checkpointed(ft.featurize(obs, obs, lag_method=lag_method))
+        # Build with the one-shuffle method and read the duplicate flag back
+        # from the checkpointed result (a scan that stops at the first hit);
+        # only a non-unique grain pays for the join method.
+        feat = checkpointed(ft.featurize(obs, obs, lag_method="shift", dup_flag=True))
+        if feat.filter(F.col("_dup")).limit(1).collect():
+            lag_method = "join"
+            feat = checkpointed(ft.featurize(obs, obs, lag_method="join"))
+        else:
+            lag_method = "shift"
+            feat = feat.drop("_dup")
+    else:
+        feat = checkpointed(ft.featurize(obs, obs, lag_method=lag_method))
     return obs, anchor, feat, qt.fit_indexer(obs), lag_method
 
 

@@ -65,3 +65,13 @@ def test_empty_fold_raises(spark, obs):
     feat = ft.featurize(obs, obs)
     with pytest.raises(ValueError, match="no training rows"):
         model_backtest(feat, D("2024-02-11"), 5, qt.fit_indexer(obs), qt.BoostParams(rounds=1))   # T15
+
+
+def test_prepare_detects_duplicate_grain_from_the_features(spark, obs):
+    from sensorlake.plans.forecast import prepare
+
+    _, _, feat, _, method = prepare(obs)
+    assert method == "shift" and "_dup" not in feat.columns
+    dup = obs.unionByName(obs.limit(1))
+    _, _, feat2, _, method2 = prepare(dup)
+    assert method2 == "join" and feat2.count() == feat.count() + 1 + 4   # T6: the join multiplies rows
