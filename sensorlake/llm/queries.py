@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle
+from . import oracle, toxicity
 from .common import table
 from .decontamination import contamination
 from .mixture import mix_sources
@@ -37,5 +37,13 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.held_out("doc_id", 5, 0)
+    machine = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~out))
+    scored = toxicity.score(docs, machine)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op10_toxicity)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
