@@ -40,10 +40,10 @@ BITS = 18
 SAMPLE = 20_000
 KEEP = 4096
 FACTORS = 4
-EPOCHS = 8
+EPOCHS = 20
 VALUE = np.float32(0.3)
-#: A toxic example counts as several clean ones, which are more frequent.
-TOXIC_WEIGHT = 4.0
+#: Least deviation, in standard errors, at which a bin is kept.
+DEVIATION = 4.0
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -82,7 +82,7 @@ class FactorizationMachine:
         return _logistic(self.slope * self.raw(bins) + self.shift)
 
     def fit(self, examples: list[np.ndarray], labels: np.ndarray, epochs: int, rate: float = 0.1) -> None:
-        """AdaGrad on the weighted logistic loss."""
+        """AdaGrad on the logistic loss."""
         rng = np.random.default_rng(11)
         kept = [p[p >= 0] for p in (self.place[x] for x in examples)]
         gb, gw, gv = 1e-6, np.full(len(self.w), 1e-6, np.float32), np.full(len(self.w), 1e-6, np.float32)
@@ -90,7 +90,7 @@ class FactorizationMachine:
             for i in rng.permutation(len(kept)):
                 x, y = kept[i], labels[i]
                 z, v, s = self._raw(x)
-                g = (_logistic(z) - y) * (TOXIC_WEIGHT if y else 1.0)
+                g = _logistic(z) - y
                 if abs(g) < 0.01:
                     continue
                 step = g * VALUE + 1e-5 * self.w[x]
@@ -146,7 +146,7 @@ def strongest_bins(examples: list[np.ndarray], labels: np.ndarray, keep: int) ->
     z = np.abs(np.bincount(toxic, minlength=1 << BITS) - expected) / spread
     z[df < 3] = 0
     order = np.argsort(-z, kind="stable")[:keep]
-    return np.sort(order[z[order] > 2])
+    return np.sort(order[z[order] > DEVIATION])
 
 
 def train(examples: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS) -> FactorizationMachine:
