@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import oracle, toxicity
 from .common import table
 from .decontamination import contamination
+from .jaccard_join import near_duplicates
 from .mixture import mix_sources
 from .token_counts import token_counts
 
@@ -37,6 +38,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.held_out("doc_id", 5, 0)
@@ -45,5 +51,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op9_jaccard_join, op10_toxicity)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
