@@ -3,6 +3,7 @@ row keys, word ids."""
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -50,6 +51,12 @@ class Scratch:
         r = self.spark.read
         return (r.schema(schema) if schema is not None else r).parquet(f"{self.root}/{name}")
 
+    def release(self) -> None:
+        """Let Spark remove the shuffle files of plans that are done: it does
+        so once the driver has collected the plans' objects."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         for n in names:
             delete(self.spark, f"{self.root}/{n}")
@@ -69,15 +76,6 @@ def text_hash(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
-def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z alone.  Plain ``lower`` does that for ASCII texts; other
-    texts go through ``translate``, which leaves their other letters alone."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(
-        F.translate(c, upper, upper.lower())
-    )
-
-
 def ascii_words(text: str | None, lower: bool = False) -> list[bytes]:
     r"""Words ``[^\x20\x09-\x0D]+`` of a text as UTF-8; ``lower`` lower-cases
     A-Z first.  ``bytes.split``/``bytes.lower`` know exactly these characters."""

@@ -12,6 +12,7 @@ from .common import table
 from .decontamination import contamination
 from .jaccard_join import near_duplicates
 from .mixture import mix_sources
+from .substring_dedup import remove_repeats
 from .token_counts import token_counts
 
 
@@ -38,6 +39,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, text=False)
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -51,5 +57,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op9_jaccard_join, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op6_substring_dedup, op9_jaccard_join, op10_toxicity)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
