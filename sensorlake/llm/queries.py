@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracle, toxicity
+from . import katz_lm, oracle, toxicity
 from .common import table
 from .decontamination import contamination
 from .jaccard_join import near_duplicates
@@ -44,6 +44,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, text=False)
 
 
+def op8_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz_lm.score(docs, toxicity.held_out("doc_id", 7, 2))
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
@@ -57,5 +62,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op6_substring_dedup, op9_jaccard_join, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op6_substring_dedup, op8_katz_lm, op9_jaccard_join, op10_toxicity)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
