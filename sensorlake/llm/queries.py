@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import katz_lm, oracle, permutation_index, toxicity
 from .common import table
 from .decontamination import contamination
+from .html_text import extract
 from .jaccard_join import near_duplicates
 from .mixture import mix_sources
 from .substring_dedup import remove_repeats
@@ -44,6 +45,10 @@ def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation_index.search(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, text=False)
@@ -67,5 +72,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op6_substring_dedup, op8_katz_lm, op9_jaccard_join, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op8_katz_lm, op9_jaccard_join, op10_toxicity)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
