@@ -362,8 +362,9 @@ def linked(checked: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, set_id, n_shingles, component_id), one row per row
-    of ``docs``."""
+    """(doc_id, text_hash, component, n_shingles, component_id), one row per row
+    of ``docs``; ``component`` is a set of the component, the same for all its
+    documents."""
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "jaccard")
@@ -401,7 +402,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     out = node.join(least, "component", "left").select(
         "doc_id",
         "text_hash",
-        "set_id",
+        "component",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
@@ -410,6 +411,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group of near-duplicates: the one of
+    the smallest doc_id (null last), then text hash.  Documents without words
+    all stay."""
+    found = near_duplicates(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+    kept = found.filter("n_shingles > 0").groupBy("component").agg(first.alias("first"))
+    kept = kept.select("first.doc_id", "first.text_hash").unionByName(
+        found.filter("n_shingles = 0").select("doc_id", "text_hash").distinct()
+    )
+    kept = kept.withColumnsRenamed({"doc_id": "__id", "text_hash": "__kept"})
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__kept"))
+    out = docs.withColumn("__hash", text_hash()).join(kept, same, "left_semi")
+    # Rows that repeat a document with words are copies of it like any other.
+    repeated = found.filter("n_shingles > 0").groupBy("doc_id", "text_hash").count().filter("count > 1")
+    if repeated.limit(1).count():
+        bare = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        out = out.filter(~bare).dropDuplicates(["doc_id", "__hash"]).unionByName(out.filter(bare))
+    return out.drop("__hash")
+
+
 def _across(hot: DataFrame, checked: DataFrame, labels: DataFrame) -> DataFrame:
     """Unchecked pairs of a hot bucket whose sets the checks so far leave in
     different components.  If the distances of a and b to their hub differ by
