@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.llm import decontamination, jaccard_join, mixture, substring_dedup, toxicity
-from sensorlake.llm.common import Scratch, table, text_hash
+from sensorlake.llm.common import Scratch, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +41,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.filter("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hit")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__hit"))
-    return docs.withColumn("__hash", text_hash()).join(hit, same, "left_anti").select(*docs.columns)
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

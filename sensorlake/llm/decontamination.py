@@ -31,14 +31,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, text_hash
+from .common import Scratch
 
 # Characters that part words: all of ASCII but digits and letters.
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _PARTS = "".join(chr(c) for r in ((0x00, 0x30), (0x3A, 0x41), (0x5B, 0x61), (0x7B, 0x80)) for c in range(*r))
 PROBES = 2
 BROADCAST_ROWS = 2_000_000
-KEY = ["doc_id", "text_hash"]
+#: Identifies a document without nulls: a null id hashes unlike any other.
+KEY = ["doc_key", "text_hash"]
 
 
 def words(text: str = "text") -> Column:
@@ -64,9 +65,17 @@ def windows(items: DataFrame, width: int) -> DataFrame:
     return w.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
+def _key() -> tuple[Column, Column]:
+    return F.coalesce("doc_id", F.lit(0)), F.xxhash64(F.coalesce("text", F.lit("")), F.isnull("doc_id"))
+
+
+def keyed(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select("doc_id", *[c.alias(k) for k, c in zip(KEY, _key())], *more)
+
+
 def tokens(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, words, pos, term) of every word of every document."""
-    held = docs.select("doc_id", text_hash().alias("text_hash"), words().alias("words"))
+    """(doc key, words, pos, term) of every word of every document."""
+    held = keyed(docs, words().alias("words")).drop("doc_id")
     return held.select("*", F.posexplode("words").alias("pos", "term"))
 
 
@@ -138,7 +147,7 @@ class PhraseIndex:
         return exact.groupBy(*KEY).agg(F.sort_array(F.collect_set(place)).alias("matches"))
 
     def proximity_matches(self, slop: int) -> DataFrame:
-        """(doc_id, text_hash, window_id, start) where the window's two rarest
+        """(doc key, window_id, start) where the window's two rarest
         terms stand within ``slop`` words of their places to each other."""
         cell = F.floor(F.col("start") / (slop + 1))
         first = self.starts(1).withColumn("cell", cell)
@@ -160,26 +169,32 @@ def covered(matches: Column) -> Column:
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
-    """One row per document: doc_id, text_hash, n_words, n_hit (words inside
+    """One row per document: doc_id, its key, n_words, n_hit (words inside
     any occurrence of a window), items (ids of the items with occurring
     windows, sorted), contaminated."""
     index = PhraseIndex(docs, items, width)
-    found = index.scratch.write(
-        index.matches().select(
-            F.col("doc_id").alias("__id"),
-            F.col("text_hash").alias("__hash"),
-            covered(F.col("matches")).cast("long").alias("n_hit"),
-            F.sort_array(F.array_distinct(F.flatten(F.col("matches.items")))).alias("items"),
-        ),
-        "found",
+    found = index.matches().select(
+        *KEY,
+        covered(F.col("matches")).cast("long").alias("n_hit"),
+        F.sort_array(F.array_distinct(F.flatten(F.col("matches.items")))).alias("items"),
     )
+    found = index.scratch.write(found, "found")
     index.scratch.drop("windows", "probes", "postings")
-    every = docs.select("doc_id", text_hash().alias("text_hash"), F.size(words()).cast("long").alias("n_words"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    return every.join(found, same, "left").select(
+    every = keyed(docs, F.size(words()).cast("long").alias("n_words"))
+    return every.join(found, KEY, "left").select(
+        "doc_id",
         *KEY,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-        (F.col("n_hit").isNotNull()).alias("contaminated"),
+        F.col("n_hit").isNotNull().alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
+    """``docs`` without the documents that hold a window of an item."""
+    hit = contamination(docs, items, width).filter("contaminated")
+    hit = hit.select(*[F.col(c).alias(f"__{c}") for c in KEY]).distinct()
+    own, hashed = _key()
+    kept = docs.join(hit, (own == F.col("__doc_key")) & (hashed == F.col("__text_hash")), "left_anti")
+    return kept.select(*docs.columns)
