@@ -314,7 +314,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, text: bool = True) -> Data
     text column is dropped."""
     spans = repeated_spans(docs, span)
     added = ["n_words", "n_removed", "kept_sha256"]
-    joined = _with_text(docs.drop(*added), spans, "left")
+    joined = _with_text(docs.drop(*added), spans.withColumnRenamed("spans", "__spans"), "left")
 
     @F.pandas_udf("n_words long, n_removed long, kept_sha256 string" + ", text string" * text)
     def cut(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -336,7 +336,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, text: bool = True) -> Data
             yield pd.DataFrame(out, columns=[*added, *(["text"] if text else [])])
 
     columns = [c for c in docs.columns if c not in added]
-    joined = joined.withColumn("__cut", cut("text", "spans"))
+    joined = joined.withColumn("__cut", cut("text", "__spans"))
     new = F.col("__cut.text").alias("text") if text else None
     kept = [(new if c == "text" else F.col(c)) for c in columns if c != "text" or text]
     return joined.select(*kept, *[F.col(f"__cut.{c}").alias(c) for c in added])

@@ -33,7 +33,7 @@ def awkward(n=400):
     rows += [(n + i, rows[0][1]) for i in range(30)]  # equal vectors: ties
     rows += [rows[3], rows[3], (None, rows[5][1]), (1000, None), (1001, []), (1002, [0.0] * 8)]
     rows += [(1003, [1.0, None] + [0.0] * 6), (1004, [float("nan")] * 8), (1005, [float("inf")] + [1.0] * 7), (1006, [1.0, 2.0])]
-    rows += [(1010, [1e30] * 8), (1020, [1e-30] * 8)]
+    rows += [(1010, [1e30] * 7 + [2e30]), (1020, [-1e-30] * 7 + [3e-30])]
     return rows
 
 
