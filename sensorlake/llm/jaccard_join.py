@@ -18,7 +18,9 @@ on a segment that is also indexed by its one-deletion neighbourhood.
   segments too.  Two such sets meet in the first round in which one is not
   short.
 * Buckets: sets with a signature in common are candidates.  A bucket of up to
-  ``LIMIT`` sets gives its pairs.  A larger ("hot") bucket is not needed by a
+  ``LIMIT`` sets gives its pairs.  Every segment on which a pair disagrees
+  costs it a difference, so the number of signatures a linked pair shares has
+  a lower bound, which rules most other pairs out.  A larger ("hot") bucket is not needed by a
   set whose other segments still absorb all differences: a pair is missed
   only if both its sets have lost more segments to hot buckets than they can
   spare.  Such sets are checked, within each hot bucket they share, against
@@ -48,7 +50,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, ascii_words, gram_ids, mix64, ship, shuffle_partitions, text_hash, word_ids
@@ -287,7 +289,8 @@ def _filed(docs: DataFrame, cells: int) -> DataFrame:
 
 def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of one task's cells: the pairs of the small buckets (hot is false; a, b
-    are sets) and the members of the hot ones (a is the signature, b the set)."""
+    are sets, shared their common signatures with the tag) and the members of
+    the hot ones (a is the signature, b the set)."""
     cells: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in batches:
         for row in batch.to_pylist():
@@ -304,21 +307,49 @@ def _bucketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, sid, start, size = _grouped(*(np.concatenate(x) for x in zip(*parts)))
         hot = np.repeat(size > LIMIT, size)
         yield _rows(True, sig[hot], sid[hot])
-        a, b = [], []
+        pairs = [[], [], []]
         for g in np.unique(size[(size > 1) & (size <= LIMIT)]):
-            members = sid[start[size == g][:, None] + np.arange(g)]
+            at = start[size == g]
+            members = sid[at[:, None] + np.arange(g)]
             i, j = np.triu_indices(g, 1)
-            a.append(members[:, i].ravel())
-            b.append(members[:, j].ravel())
-        if a:
-            a, b, _, _ = _grouped(np.concatenate(a), np.concatenate(b))
-            yield _rows(False, a, b)
+            found = (members[:, i], members[:, j], np.repeat((sig[at] & TAG)[:, None], len(i), axis=1))
+            for held, new in zip(pairs, found):
+                held.append(new.ravel())
+        if pairs[0]:
+            a, b, tag = (np.concatenate(x) for x in pairs)
+            order = np.lexsort((b, a, tag))
+            a, b, tag = a[order], b[order], tag[order]
+            first = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (tag[1:] != tag[:-1])])
+            yield _rows(False, a[first], b[first], tag[first], np.diff(np.r_[first, len(a)]))
+
+
+def _rows(hot: bool, a: np.ndarray, b: np.ndarray, tag: np.ndarray | None = None, shared: np.ndarray | None = None):
+    tag = a & TAG if tag is None else tag
+    shared = np.ones(len(a), np.int64) if shared is None else shared
+    columns = (np.full(len(a), hot), a, b, tag.astype(np.int32), shared)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["hot", "a", "b", "tag", "shared"])
+
+
+def _by_tag(value, most: int) -> Column:
+    """A number of a band, by the tag of its signatures; ``most``: the size of
+    the largest set."""
+    entries, index = [], 0
+    while index < 64 and band(index).low <= max(most, 4):
+        for turn in range(ROUNDS):
+            entries += [F.lit(index * 4 + turn), F.lit(int(value(band(index))))]
+        index += 1
+    return F.create_map(*entries)[F.col("tag")]
 
 
-def _rows(hot: bool, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(a), hot)), pa.array(a), pa.array(b)], names=["hot", "a", "b"]
-    )
+def _candidates(small: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of the small buckets that share enough signatures.  Of the
+    segments that a set keeps outside hot buckets (``kept``), a linked pair
+    disagrees on (a + b) / 9 at most."""
+    shared = small.groupBy("tag", "a", "b").agg(F.sum("shared").alias("shared"))
+    side = lambda c: sets.select("tag", F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("kept").alias(f"kept_{c}"))
+    pairs = shared.join(side("a"), ["tag", "a"]).join(side("b"), ["tag", "b"])
+    pairs = pairs.filter("100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)")
+    return pairs.filter("shared >= greatest(kept_a, kept_b) - (n_a + n_b) div 9").select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
@@ -374,18 +405,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     tasks = max(shuffle_partitions(spark), math.ceil(0.5 * total / PER_TASK))
 
     filed = _filed(docs, min(tasks * CELLS, 2**15)).repartition(tasks, "cell")
-    found = scratch.write(filed.mapInArrow(_bucketed, "hot boolean, a long, b long"), "buckets")
-    pairs = found.filter("not hot").select("a", "b").distinct()
-
-    # Sets that have lost more to hot buckets than they can spare.
-    index = F.col("a").bitwiseAND(F.lit(TAG)).cast("int")
-    each = F.col("n_hot") * 2  # a deletion segment absorbs two
-    lost = found.filter("hot").groupBy(F.col("b").alias("set_id"), index.alias("band")).agg(F.count("*").alias("n_hot"))
-    spare = members.select("set_id", "spare").dropDuplicates(["set_id"]).select("set_id", F.explode("spare").alias("band", "spare"))
-    short = lost.join(spare, ["set_id", "band"]).filter(each > F.col("spare"))
-    short = short.select(F.col("set_id").alias("b"), "band")
-    hot = found.filter("hot").select("a", "b", index.alias("band")).join(short, ["b", "band"], "left_semi")
-    hub = hot.groupBy("a").agg(F.min("b").alias("hub"))
+    found = filed.mapInArrow(_bucketed, "hot boolean, a long, b long, tag int, shared long")
+    found = scratch.write(found, "buckets")
+    scratch.release()
+    most = members.select(F.max("n")).first()[0] or 0
+
+    # What each set has lost to hot buckets, and those that cannot spare it.
+    lost = found.filter("hot").groupBy(F.col("b").alias("set_id"), "tag").agg(F.count("*").alias("n_hot"))
+    sets = members.dropDuplicates(["set_id"]).select("set_id", "n", F.explode("spare").alias("tag", "spare"))
+    sets = sets.join(lost, ["set_id", "tag"], "left").withColumn("n_hot", F.coalesce("n_hot", F.lit(0)))
+    deletes = _by_tag(lambda b: b.deletion > 0, most) == 1
+    # A deletion segment absorbs two differences, and shares up to all its signatures.
+    sets = sets.withColumn("gone", F.col("n_hot") * F.when(deletes, 2).otherwise(1))
+    kept = F.when(deletes, 0).otherwise(F.col("spare") + _by_tag(lambda b: b.need, most) - F.col("n_hot"))
+    sets = scratch.write(sets.withColumn("kept", kept), "sets")
+    pairs = _candidates(found.filter("not hot"), sets)
+
+    short = sets.filter("gone > spare and n_hot > 0").select(F.col("set_id").alias("b"), "tag", "n_hot")
+    hot = found.filter("hot").select("a", "b", "tag").join(short, ["b", "tag"])
+    # The set with the most hot signatures is the likeliest centre of a group.
+    hub = hot.groupBy("a").agg(F.max(F.struct("n_hot", "b"))["b"].alias("hub"))
     hot = scratch.write(hot.join(hub, "a").select(F.col("a").alias("sig"), "hub", F.col("b").alias("set_id")), "hot")
     stars = hot.filter("hub != set_id").select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
 
@@ -407,7 +446,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
     out = scratch.write(out, "result")
-    scratch.drop("members", "buckets", "hot", "checked", "across", "again")
+    scratch.drop("members", "buckets", "sets", "hot", "checked", "across", "again")
     return out
 
 
