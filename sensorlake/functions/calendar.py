@@ -50,11 +50,6 @@ def month_start(d: ColumnOrName) -> Column:
     return F.trunc(_c(d), "MM")
 
 
-def next_month_start(d: ColumnOrName) -> Column:
-    """First day of the following month."""
-    return F.add_months(F.trunc(_c(d), "MM"), 1)
-
-
 def days_inclusive(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Number of days in [start, end]."""
     return F.datediff(_c(end), _c(start)) + 1
@@ -89,6 +84,11 @@ GRAND_FINAL_EVE = {
     2025: "2025-09-26",
 }
 
+#: Public holidays declared once.
+ONE_OFF = {"National Day of Mourning": "2022-09-22"}
+#: Years for which the holidays are complete; later finals are not announced.
+LAST_YEAR = max(GRAND_FINAL_EVE)
+
 
 def _nth_weekday(year: Column, month: int, weekday0: int, n: int) -> Column:
     """The n-th given weekday (Monday = 0) of a month."""
@@ -149,6 +149,7 @@ def _holiday_entries(y: Column) -> list[tuple[str, Column]]:
         ("ANZAC Day", F.make_date(y, F.lit(4), F.lit(25))),
         ("King's Birthday", _nth_weekday(y, 6, 0, 2)),
         ("Friday before the AFL Grand Final", F.element_at(gf_map, y)),
+        *[(n, F.when(y == int(d[:4]), F.lit(d).cast("date"))) for n, d in ONE_OFF.items()],
         ("Melbourne Cup Day", _nth_weekday(y, 11, 1, 1)),
         ("Christmas Day", dec25),
         ("Christmas Day (observed)", xmas_sub),
@@ -174,12 +175,10 @@ def holidays(spark: SparkSession, years: DataFrame) -> DataFrame:
     )
 
 
-def is_holiday(d: ColumnOrName) -> Column:
-    """Whether a date is a public holiday, evaluated from the rules of its
-    own year: a pure projection (no join, no pass over the data)."""
-    d = _c(d)
-    dates = F.array(*[x for _, x in _holiday_entries(F.year(d))])
-    return F.when(d.isNotNull(), F.coalesce(F.array_contains(dates, d), F.lit(False)))
+def holiday_calendar(spark: SparkSession, first: int = 1900, last: int = LAST_YEAR) -> DataFrame:
+    """The holiday dates (``holiday_date``) of a range of years: at most 18 a
+    year, generated without reading any data, small enough to broadcast."""
+    return holiday_dates(spark, spark.range(first, last + 1).select(F.col("id").cast("int").alias("year")))
 
 
 def years_of(df: DataFrame, date_col: str) -> DataFrame:

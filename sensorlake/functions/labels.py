@@ -61,6 +61,21 @@ def signed_percent(pct: Column) -> Column:
     return F.concat(sign, _one_decimal(round_tenths(F.abs(p))), F.lit("%"))
 
 
+def percent(fraction: Column, decimals: int = 1) -> Column:
+    """A non-negative fraction as ``12.3%``, or ``12%`` without decimals."""
+    p = fraction.cast("double") * F.lit(100.0)
+    number = _one_decimal(round_tenths(p)) if decimals else round_half_even(p).cast("bigint").cast("string")
+    return F.concat(number, F.lit("%"))
+
+
+def signed_points(pct: Column) -> Column:
+    """``+12%`` / ``-4%``, no decimals."""
+    p = pct.cast("double")
+    negative = (p < 0) | ((p == 0) & p.cast("string").startswith("-"))
+    sign = F.when(negative, F.lit("-")).otherwise(F.lit("+"))
+    return F.concat(sign, round_half_even(F.abs(p)).cast("bigint").cast("string"), F.lit("%"))
+
+
 def thousands(x: Column) -> Column:
     """Rounded integer with thousands separators, ``12,345``."""
     return F.format_number(round_half_even(x.cast("double")).cast("bigint"), 0)

@@ -1,8 +1,8 @@
 """Coverage-based anchor date.
 
-The newest day in the feed is usually still filling in, so reports and the
-forecaster anchor on the latest date whose coverage reaches ``ratio`` times the
-exact median coverage of the last ``tail`` present dates.
+A feed's last days are incomplete while readings keep arriving.  The anchor
+is the latest date with at least ``ratio`` times the median coverage (exact)
+of the last ``tail`` dates present; reports and forecasts count from it.
 """
 
 from __future__ import annotations
@@ -43,11 +43,6 @@ def anchor_date(
     return cov.filter(F.col("coverage") >= thr).agg(F.max("sensing_date").alias("anchor_date"))
 
 
-def anchor_value(df: DataFrame, **kw) -> Column:
-    """The anchor as a scalar-subquery column (computed once per query, R4)."""
-    return anchor_date(df, **kw).scalar()
-
-
 def anchor_literal(df: DataFrame, **kw) -> Column:
     """The anchor computed once on the driver (one scalar) as a literal, so
     every later predicate on it is a constant the optimizer can push down."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_inclusive, local_date, observed_at
+from ..functions import labels as lb
 from .backtest import MODEL, NAIVE
 from .reports import city_daily
 
@@ -103,6 +104,22 @@ def compare_methods(metrics: DataFrame) -> DataFrame:
     return out.withColumn("improvement", 1 - F.try_divide(F.col("model_wape"), F.col("naive_wape")))
 
 
+def forecast_labels(compared: DataFrame, coverage: DataFrame) -> DataFrame:
+    """One row of display labels: overall error, change against the baseline,
+    band coverage, and how much of the expected forecast is there (E20)."""
+    overall = compared.filter("scope = 'overall'").select(
+        lb.percent(F.col("model_wape")).alias("wape_label"),
+        lb.signed_points((1 - F.try_divide(F.col("model_wape"), F.col("naive_wape"))) * 100).alias("improvement_label"),
+        lb.percent(F.col("band_coverage"), 0).alias("band_label"),
+    )
+    rows = coverage.select(
+        lb.percent(F.col("row_coverage")).alias("coverage_label"),
+        F.format_string("%d of %d active locations", "forecast_locations", "active_locations").alias("locations_label"),
+    )
+    # One row on each side.
+    return overall.withColumn("_one", F.lit(1)).join(rows.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 def location_forecast(daily: DataFrame, fc: DataFrame, anchor: Column, today: Column, days: int = 365) -> DataFrame:
     """Hourly band per location name: the name's first id by date over the
     last ``days`` (O4), joined to its still-future forecast, with ``ts`` (E4)."""

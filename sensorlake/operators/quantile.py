@@ -228,6 +228,13 @@ def uncrossed(cols: list[Column]) -> list[Column]:
     return [arr[i] for i in range(len(cols))]
 
 
+def bands(raw: dict[str, Column]) -> list[Column]:
+    """Raw scores by output name, ascending in quantile, as counts: expm1,
+    clipped at 0, sorted row-wise (E13, E14, E16)."""
+    counts = [F.greatest(F.expm1(c), F.lit(0.0)) for c in raw.values()]
+    return [c.alias(n) for c, n in zip(uncrossed(counts), raw, strict=True)]
+
+
 def predict(fc: QuantileForecaster, frame: DataFrame) -> DataFrame:
     """Frame + p10/p50/p90 on the count scale: expm1, clipped at 0, sorted
     row-wise so the band never crosses (M4, E13, E14, E16)."""
@@ -235,7 +242,4 @@ def predict(fc: QuantileForecaster, frame: DataFrame) -> DataFrame:
     names = sorted(fc.models, key=lambda n: fc.models[n].alpha)
     for name in names:
         out = fc.models[name].score_column(out, f"_raw_{name}")
-    counts = [F.greatest(F.expm1(F.col(f"_raw_{n}")), F.lit(0.0)) for n in names]
-    return out.select(
-        *frame.columns, *[c.alias(n) for c, n in zip(uncrossed(counts), names, strict=True)]
-    )
+    return out.select(*frame.columns, *bands({n: F.col(f"_raw_{n}") for n in names}))

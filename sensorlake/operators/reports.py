@@ -136,13 +136,15 @@ def rolling_mean(col: str, order: list[str], partition: list[str] | None = None,
     return F.avg(col).over(w)
 
 
-def city_trend(daily: DataFrame, anchor: Column, days: int = 90) -> DataFrame:
-    """Citywide daily totals over ``days`` with a 7-row rolling mean.
+def city_trend(daily: DataFrame, anchor: Column, days: int | None = 90) -> DataFrame:
+    """Citywide daily totals over ``days`` (None: all) with a 7-row rolling
+    mean (A12, W3).
 
     The range filter runs before the window, as in the reference; the window
     sees one row per date.
     """
-    city = trailing(city_daily(daily), DATE, anchor, days)
+    city = city_daily(daily)
+    city = city if days is None else trailing(city, DATE, anchor, days)
     return city.withColumn("rolling7", rolling_mean("daily_count", [DATE]))
 
 

@@ -23,7 +23,7 @@ from ..operators import forecast_reports as fr
 from ..operators import marts, staging
 from ..operators import quality as dq
 from ..operators import reports as rp
-from ..operators.quantile import BoostParams
+from ..operators.quantile import BoostParams, bands
 from ..schemas import TARGET
 from ..sources import export as ex
 from ..sources import fixtures as fx
@@ -207,7 +207,7 @@ def q_city90(spark, sf):
 @query("city_trend_all")
 def q_city_all(spark, sf):
     daily, a = daily_at_anchor(wh_f2(spark, sf))
-    return rounded(rp.city_trend(daily, a, 10_000))
+    return rounded(rp.city_trend(daily, a, None))
 
 
 @query("location_trend")
@@ -365,7 +365,7 @@ def q_future(spark, sf):
 def q_naive(spark, sf):
     obs = obs_f1(spark, sf)
     feat = ft.featurize(obs, obs, lag_method="shift")
-    return rounded(bt.naive_backtest(feat, anc.anchor_literal(obs), folds=3))
+    return rounded(bt.naive_backtest(feat, anc.anchor_literal(obs), folds=4))
 
 
 @query("naive_backtest_f2d")
@@ -443,7 +443,7 @@ def q_loc_fc(spark, sf):
 def q_compare_naive(spark, sf):
     """Method comparison over the naive backtest (model columns null)."""
     obs = obs_f1(spark, sf)
-    m = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), anc.anchor_literal(obs), folds=3)
+    m = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), anc.anchor_literal(obs), folds=4)
     return rounded(fr.compare_methods(m))
 
 
@@ -477,9 +477,10 @@ def q_compare(spark, sf):
 
 @query("landing_stream_ingest")
 def q_landing_stream(spark, sf):
-    """F2 landed as month exports in two waves (older months, then the rest
-    with the last months re-exported); an available-now stream after each wave
-    maintains the raw table, which must equal the source."""
+    """F2 landed as exports in two waves: first the months before the newest,
+    then the newest with the month before it again, its counts corrected and
+    some ids withdrawn.  An available-now stream after each wave maintains the
+    raw table."""
     src = fx.f2_counts(spark, sf).drop("month")
     landing, dest = fs.scratch_dir(spark, "landing"), fs.scratch_dir(spark, "landed")
     ckpt = fs.scratch_dir(spark, "landing-ckpt")
@@ -488,8 +489,10 @@ def q_landing_stream(spark, sf):
     ls.land_months(src.filter(F.col("sensing_date") < F.lit(cut)), landing)
     ls.start_landing_ingest(spark, landing, dest, ckpt).awaitTermination()
     # Second wave: the newest month, plus a complete re-export of the month before.
-    prev = F.add_months(F.lit(cut), -1)
-    ls.land_months(src.filter(F.col("sensing_date") >= prev), landing)
+    date = F.col("sensing_date")
+    again = (date >= F.add_months(F.lit(cut), -1)) & (date < F.lit(cut))
+    fixed = src.withColumn("pedestriancount", F.col("pedestriancount") + F.when(again, 1).otherwise(0))
+    ls.land_months(fixed.filter((date >= F.lit(cut)) | again & (F.col("id") % 97 != 0)), landing)
     ls.start_landing_ingest(spark, landing, dest, ckpt).awaitTermination()
     return staging.stage_counts(rd.read_counts(spark, dest))
 
@@ -504,7 +507,7 @@ def q_fc_readback(spark, sf):
     obs = obs_f1(spark, sf)
     a = anc.anchor_literal(obs)
     fc = naive_forecast_mart(obs, a)
-    metrics = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), a, folds=3)
+    metrics = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), a, folds=4)
     d = fs.scratch_dir(spark, "fc-marts")
     ex.export_marts(spark, {"mart_forecast": fc, "mart_forecast_metrics": metrics}, d)
     got, _ = rd.read_forecast(spark, d)
@@ -524,3 +527,87 @@ def q_rhythm_cells(spark, sf):
     prof = wh_f2(spark, sf).mart_hourly_profile
     cells = prof.groupBy("day_name", "hour_of_day").agg(F.sum("avg_count").alias("avg_count"))
     return rounded(cells.select("day_name", lb.hour_label(F.col("hour_of_day")).alias("hour_label"), "avg_count"))
+
+
+# ---------------------------------------------------------------- fixed bands, labels, read-backs
+
+
+
+@query("lag_features_f2")
+def q_lags_f2(spark, sf):
+    """Lags on a grain that is not unique: rows multiply."""
+    return _lags(obs_of(fx.f2_counts(spark, sf)), "join")
+
+
+@query("holiday_flags")
+def q_holiday_flags(spark, sf):
+    """Holidays among four days from each shipment, per year."""
+    days = F.array(*[F.date_add(F.to_date("l_shipdate"), d) for d in range(4)])
+    frame = fx.table(spark, sf, "lineitem").select(F.explode(days).alias("sensing_date"))
+    flagged = ft.add_calendar(frame)
+    return flagged.groupBy(F.year("sensing_date").cast("bigint").alias("year")).agg(
+        F.count("*").alias("days"), F.sum(F.col("is_holiday").cast("bigint")).alias("holidays")
+    )
+
+
+def band_test(spark, sf, folds=4):
+    """F2d test rows with a fixed band: least, mean and greatest lag."""
+    obs = obs_f2d(spark, sf)
+    anchor = anc.anchor_literal(obs)
+    rows = bt.test_rows(ft.featurize(obs, obs, lag_method="shift"), anchor, folds)
+    lags = [F.col(c) for c in ft.LAG_COLS]
+    rows = rows.withColumns({"p10": F.least(*lags), "p50": F.col("lag_mean_4w"), "p90": F.greatest(*lags)})
+    return bt.score(rows, anchor, folds, with_model=True)
+
+
+@query("band_scores")
+def q_band_scores(spark, sf):
+    """Output stage of the quantile models on fixed raw scores."""
+    obs = obs_f2d(spark, sf)
+    feat = bt.trainable(ft.featurize(obs, obs, lag_method="shift"))
+    feat = feat.filter(F.col("lag_7d").isNotNull() & F.col("lag_14d").isNotNull() & F.col("lag_21d").isNotNull())
+    raw = {
+        "p10": F.log1p("lag_7d"),
+        "p50": F.log1p("lag_14d") - 0.1,
+        "p90": F.lit(0.3) - F.log1p("lag_21d"),
+    }
+    return rounded(feat.select("location_id", "sensing_date", "hour_of_day", *bands(raw)))
+
+
+@query("band_backtest")
+def q_band_backtest(spark, sf):
+    """Scores of a fixed band and of the baseline."""
+    return rounded(band_test(spark, sf))
+
+
+@query("compare_methods_band")
+def q_compare_band(spark, sf):
+    return rounded(fr.compare_methods(band_test(spark, sf)))
+
+
+@query("forecast_labels")
+def q_forecast_labels(spark, sf):
+    """Labels of the fixed band's scores and of a coverage taken from the suppliers."""
+    n, have = F.count("*"), F.count_if(F.col("s_acctbal") >= 0)
+    coverage = fx.table(spark, sf, "supplier").agg(
+        have.alias("forecast_locations"), n.alias("active_locations"), (have / n).alias("row_coverage")
+    )
+    return fr.forecast_labels(fr.compare_methods(band_test(spark, sf)), coverage)
+
+
+@query("sensors_refresh")
+def q_sensors_refresh(spark, sf):
+    """Sensor table replaced twice and read back."""
+    dest = fs.scratch_dir(spark, "sensors")
+    rf.refresh_sensors(fx.f3_sensors(spark, sf).limit(0), dest)
+    rf.refresh_sensors(fx.f3_sensors(spark, sf), dest)
+    return rounded(rd.read_sensors(spark, dest))
+
+
+@query("marts_readback")
+def q_marts_readback(spark, sf):
+    """Rows of the three marts of F2, read back by their reader (S3)."""
+    wh, d = wh_f2(spark, sf, materialize=True), fs.scratch_dir(spark, "marts")
+    ex.export_marts(spark, {name: getattr(wh, name) for name in rd.MARTS}, d)
+    counts = [df.agg(F.lit(n).alias("table"), F.count("*").alias("rows")) for n, df in rd.read_marts(spark, d).items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])

@@ -19,9 +19,6 @@ class Warehouse:
     mart_daily_location: DataFrame
     mart_hourly_profile: DataFrame
 
-    def tables(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
-
 
 def build_warehouse(
     raw_counts: DataFrame, raw_sensors: DataFrame, profile_days: int = 90, materialize: bool = False

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from . import fs
+
 
 def write_mart(df: DataFrame, path: str, files: int | None = None) -> int:
     """Write one mart as zstd Parquet, replacing it; returns the row count.
@@ -20,8 +22,12 @@ def write_mart(df: DataFrame, path: str, files: int | None = None) -> int:
     out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if files:
         out = out.coalesce(files)
-    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return int(obs.get["rows"])
+    # Written beside the old mart, then swapped in.
+    fresh = f"{path.rstrip('/')}.new"
+    out.write.mode("overwrite").option("compression", "zstd").parquet(fresh)
+    rows = int(obs.get["rows"])
+    fs.replace(df.sparkSession, fresh, path)
+    return rows
 
 
 def export_marts(

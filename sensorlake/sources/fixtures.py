@@ -7,7 +7,7 @@ so its work grows with the table.  The same mappings are spelled in SQL in
 * F1 ``dense_hourly_counts(events)``: unique (location, date, hour) grain.
 * F2 ``readings_with_duplicates(lineitem)``: repeated ids, non-unique grain.
 * F2d ``dense_daily_hour_series(lineitem)``: unique grain, long history.
-* F3 ``sensors_from_suppliers(supplier)``: orphans and moved sensors.
+* F3 ``sensors_from_suppliers(supplier)``: moved sensors.
 """
 
 from __future__ import annotations
@@ -18,11 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed values of the mappings (shared with the SQL spelling).
-F1_LOCATIONS = 10
+F1_LOCATIONS, F1_EVENTS_PER_LOCATION = 10, 1000
 F1_DAY_ZERO = dt.date(2024, 1, 1)
 F1_ID_STRIDE = 1_000_000
 F2_ID_STRIDE = 8
-F2D_LOCATIONS = 5
+F2D_LOCATIONS, F2D_LINES_PER_LOCATION = 5, 12_000
+F2_ORPHAN_EVERY, F2_ORPHAN_SHIFT = 50, 1_000_000
 F2D_DAY_ZERO = dt.date(1990, 1, 1)
 F2D_ID_STRIDE = 100_000_000
 F3_INSTALL_ZERO = dt.date(2010, 1, 1)
@@ -41,10 +42,16 @@ def _directions(n: F.Column) -> list[F.Column]:
     return [d1.alias("direction_1"), (n - d1).cast("bigint").alias("direction_2")]
 
 
+def _locations(table_: DataFrame, least: int, per: int) -> int:
+    """Number of locations, in proportion to the table's rows."""
+    return max(least, table_.count() // per)
+
+
 def dense_hourly_counts(events: DataFrame) -> DataFrame:
-    """events counted per (user_id % 10, date, hour)."""
+    """events counted per (user_id modulo the locations, date, hour)."""
+    n = _locations(events, F1_LOCATIONS, F1_EVENTS_PER_LOCATION)
     cells = events.groupBy(
-        (F.col("user_id") % F1_LOCATIONS).alias("location_id"),
+        (F.col("user_id") % n).alias("location_id"),
         F.to_date("ts").alias("sensing_date"),
         F.hour("ts").cast("bigint").alias("hourday"),
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -62,25 +69,30 @@ def dense_hourly_counts(events: DataFrame) -> DataFrame:
 
 
 def readings_with_duplicates(lineitem: DataFrame) -> DataFrame:
-    """one reading per lineitem; ids repeat, the hourly grain is not unique."""
+    """one reading per lineitem; ids repeat, the hourly grain is not unique,
+    every 50th order's readings name a location no sensor has."""
+    orphan = F.col("l_orderkey") % F2_ORPHAN_EVERY == 0
+    location = F.col("l_suppkey") + F.when(orphan, F.lit(F2_ORPHAN_SHIFT)).otherwise(F.lit(0))
     qty = F.col("l_quantity")
     date = F.to_date("l_shipdate")
     return lineitem.select(
         (F.col("l_orderkey") * F2_ID_STRIDE + F.col("l_linenumber")).alias("id"),
-        F.col("l_suppkey").alias("location_id"),
+        location.alias("location_id"),
         date.alias("sensing_date"),
         (F.col("l_partkey") % 24).alias("hourday"),
         *_directions(qty),
         qty.cast("bigint").alias("pedestriancount"),
-        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("sensor_name"),
+        F.concat(F.lit("S"), location.cast("string")).alias("sensor_name"),
         _month(date).alias("month"),
     )
 
 
 def dense_daily_hour_series(lineitem: DataFrame) -> DataFrame:
-    """F2d: quantities summed per (l_suppkey % 5, date, l_partkey % 24)."""
+    """F2d: quantities summed per (l_suppkey modulo the locations, date,
+    l_partkey % 24)."""
+    n = _locations(lineitem, F2D_LOCATIONS, F2D_LINES_PER_LOCATION)
     cells = lineitem.groupBy(
-        (F.col("l_suppkey") % F2D_LOCATIONS).alias("location_id"),
+        (F.col("l_suppkey") % n).alias("location_id"),
         F.to_date("l_shipdate").alias("sensing_date"),
         (F.col("l_partkey") % 24).alias("hourday"),
     ).agg(F.sum("l_quantity").cast("bigint").alias("n"))
@@ -98,8 +110,8 @@ def dense_daily_hour_series(lineitem: DataFrame) -> DataFrame:
 
 
 def sensors_from_suppliers(supplier: DataFrame) -> DataFrame:
-    """suppliers as sensors; every 10th dropped, every 4th moved a year later."""
-    sup = supplier.filter(F.col("s_suppkey") % 10 != 9)
+    """suppliers as sensors; every 4th moved a year later."""
+    sup = supplier
 
     def shape(df: DataFrame, shift_days: int, suffix: str) -> DataFrame:
         return df.select(

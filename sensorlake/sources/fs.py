@@ -34,6 +34,16 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
+def replace(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``."""
+    fs, p = _fs(spark, path)
+    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fresh)
+    if fs.exists(p):
+        fs.delete(p, True)
+    if not fs.rename(new, p):
+        raise OSError(f"cannot rename {fresh} to {path}")
+
+
 def scratch_dir(spark: SparkSession, prefix: str) -> str:
     """A fresh folder under the shared checkpoint folder (never machine-local
     on a cluster: ``ensure_checkpoint_dir`` refuses that)."""

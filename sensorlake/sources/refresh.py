@@ -9,6 +9,7 @@ the source with a half-open date predicate and replaces its partition whole.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,8 @@ from . import fs
 
 PARTITION = "month"
 LOOKBACK_DAYS = 7
+#: Partition folders that hold dated rows (not the one of null months).
+MONTH_DIR = re.compile(rf"{PARTITION}=\d{{4}}_\d{{2}}")
 
 
 def stored_max_date(spark: SparkSession, dest: str) -> DataFrame:
@@ -27,7 +30,7 @@ def stored_max_date(spark: SparkSession, dest: str) -> DataFrame:
     partition is read (partition pruning): the cost is one month of dates,
     not the whole history.
     """
-    months_stored = sorted(d.split("=", 1)[1] for d in fs.list_dirs(spark, dest) if d.startswith(f"{PARTITION}="))
+    months_stored = sorted(m for d in fs.list_dirs(spark, dest) if MONTH_DIR.fullmatch(d) for m in [d.split("=", 1)[1]])
     if not months_stored:
         return spark.range(1).select(F.lit(None).cast("date").alias("stored_max"))
     latest = spark.read.parquet(dest).filter(F.col(PARTITION) == months_stored[-1])
@@ -133,8 +136,11 @@ def refresh_counts(spark: SparkSession, source: DataFrame, dest: str, window: Da
 
 
 def refresh_sensors(source: DataFrame, dest: str) -> None:
-    """Full replacement of the sensor reference table."""
-    source.write.mode("overwrite").option("compression", "zstd").parquet(dest)
+    """Full replacement of the sensor reference table (S11): written beside
+    the old one, then swapped in, so a failed job leaves the old table."""
+    spark, fresh = source.sparkSession, f"{dest.rstrip('/')}.new"
+    source.write.mode("overwrite").option("compression", "zstd").parquet(fresh)
+    fs.replace(spark, fresh, dest)
 
 
 def refresh(

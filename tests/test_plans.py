@@ -24,13 +24,15 @@ def test_dedup_limits_before_the_shuffle(spark):
     assert p.index("Final") < p.index("Partial")          # final above the exchange, partial below it
 
 
-def test_shift_lags_and_holidays_add_no_join(spark):
+def test_shift_lags_take_one_exchange_and_holidays_a_broadcast(spark):
     obs = spark.createDataFrame(
         [(1, D("2024-01-01"), 0, 3), (1, D("2024-01-08"), 0, 4)],
         "location_id int, sensing_date date, hour_of_day int, pedestrian_count int")
     p = plan(ft.featurize(obs, obs, lag_method="shift"))
-    assert "Join" not in p
-    assert len(re.findall(r"Exchange hashpartitioning\(location_id#\d+, sensing_date#\d+, hour_of_day#\d+", p)) == 1
+    assert p.count("Join") == p.count("BroadcastHashJoin")
+    # One for the lags; the other dedups the generated calendar.
+    assert len(re.findall(r"Exchange hashpartitioning\(location_id#\d+, hour_of_day#\d+, ", p)) == 1
+    assert p.count("Exchange hash") == 2
 
 
 @pytest.mark.parametrize("name", [
