@@ -27,9 +27,13 @@ default.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..schemas import TARGET
-from ..session import checkpointed, ensure_checkpoint_dir
+from ..session import checkpointed, ensure_checkpoint_dir, ship_code
 from .features import CALENDAR_COLS, LAG_COLS
 
 QUANTILES = {"p10": 0.10, "p50": 0.50, "p90": 0.90}
@@ -59,6 +63,64 @@ class BoostParams:
     checkpoint_interval: int = 4
 
 
+class TreeArrays:
+    """A fitted regression tree as arrays over its nodes in pre-order, read
+    from the model's printed form.  Leaves come in the order of leaf ids."""
+
+    LINE = re.compile(r"^ *(If|Else|Predict:) ?(?:\(feature (\d+) (<=|>|in|not in) ([^)]*)\)|(.*))$")
+
+    def __init__(self, printed: str, values: list[float]):
+        feature, threshold, value, groups, right, open_ = [], [], [], [], [], []
+        leaves = 0
+        for line in printed.splitlines():
+            m = self.LINE.match(line)
+            if not m:
+                continue
+            if m[1] == "Else":
+                right[open_.pop()] = len(feature)  # the node that comes next
+                continue
+            right.append(0)
+            leaf, among = m[1] == "Predict:", m[3] in ("in", "not in")
+            if not leaf:
+                open_.append(len(feature))
+            feature.append(-1 if leaf else int(m[2]))
+            threshold.append(float(m[4]) if not leaf and not among else 0.0)
+            groups.append({int(float(c)) for c in m[4].strip("{}").split(",")} if among else None)
+            value.append(values[leaves] if leaf else 0.0)
+            leaves += leaf
+        self.feature, self.right = np.array(feature), np.array(right)
+        self.threshold, self.value = np.array(threshold), np.array(value)
+        self.depth = self._depth()
+        size = 1 + max((c for g in groups if g for c in g), default=0)
+        self.grouped = np.array([g is not None for g in groups])
+        self.member = np.zeros((len(groups), size + 1), bool)  # the last column: any other category
+        for i, g in enumerate(groups):
+            self.member[i, list(g or ())] = True
+
+    def _depth(self) -> int:
+        level, deepest = {0: 0}, 0
+        for i, f in enumerate(self.feature):
+            if f >= 0:
+                level[i + 1] = level[int(self.right[i])] = level[i] + 1
+                deepest = max(deepest, level[i] + 1)
+        return deepest
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        """Leaf values of the rows of a feature matrix."""
+        node = np.zeros(len(x), np.int64)
+        rows = np.arange(len(x))
+        for _ in range(self.depth):
+            f = self.feature[node]
+            v = x[rows, np.maximum(f, 0)]
+            left = v <= self.threshold[node]
+            if self.grouped.any():
+                last = self.member.shape[1] - 1
+                category = np.where((v >= 0) & (v < last), v, last).astype(np.int64)
+                left = np.where(self.grouped[node], self.member[node, category], left)
+            node = np.where(f < 0, node, np.where(left, node + 1, self.right[node]))
+        return self.value[node]
+
+
 @dataclass
 class QuantileBoostedModel:
     alpha: float
@@ -67,19 +129,19 @@ class QuantileBoostedModel:
     trees: list[tuple[RandomForestRegressionModel, list[float]]] = field(default_factory=list)
 
     def score_column(self, df: DataFrame, out_col: str, features_col: str = "features") -> DataFrame:
-        """Add the raw (log-scale) score of every row as ``out_col``."""
-        cur = df
-        leaf_cols, terms = [], []
-        for i, (tree, values) in enumerate(self.trees):
-            leaf = f"_{out_col}_leaf{i}"
-            cur = tree.copy().setFeaturesCol(features_col).setPredictionCol("").setLeafCol(leaf).transform(cur)
-            lookup = F.array(*[F.lit(float(v)) for v in values])
-            terms.append(F.element_at(lookup, vector_to_array(F.col(leaf))[0].cast("int") + 1))
-            leaf_cols.append(leaf)
-        total = F.lit(self.init)
-        if terms:
-            total = total + F.lit(self.learning_rate) * sum(terms[1:], terms[0])
-        return cur.withColumn(out_col, total).drop(*leaf_cols)
+        """Add the raw (log-scale) score of every row as ``out_col``: one
+        vectorised expression over all trees (a few kilobytes each), so
+        planning does not grow with the rounds."""
+        trees = [TreeArrays(tree.toDebugString, values) for tree, values in self.trees]
+        init, rate = self.init, self.learning_rate
+
+        @F.pandas_udf("double")
+        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for rows in batches:
+                x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, 1))
+                yield pd.Series(init + rate * sum((t.score(x) for t in trees), np.zeros(len(x))))
+
+        return df.withColumn(out_col, scored(vector_to_array(F.col(features_col))))
 
 
 class QuantileBoostedTrees:
@@ -193,33 +255,32 @@ def assemble(df: DataFrame, indexer: StringIndexerModel) -> DataFrame:
     return vec.transform(idx).drop("_location_idx", *[f"_f_{c}" for c in NUMERIC_FEATURES])
 
 
+def labelled(train: DataFrame, indexer: StringIndexerModel) -> DataFrame:
+    """Training rows as (sensing_date, features, label = log1p(target)),
+    materialised once; folds filter them by date."""
+    rows = assemble(train, indexer)
+    return checkpointed(rows.select("sensing_date", "features", F.log1p(F.col(TARGET).cast("double")).alias("label")))
+
+
 def fit_all(
-    train: DataFrame,
+    data: DataFrame,
     indexer: StringIndexerModel,
     params: BoostParams | None = None,
     quantiles: dict[str, float] = QUANTILES,
-    parallel: bool = True,
 ) -> QuantileForecaster:
-    """Fit one model per quantile on log1p(target).
+    """Fit one model per quantile on ``labelled`` rows.
 
-    The quantile fits are independent Spark jobs; they are submitted from
-    driver threads so the cluster schedules them side by side.
+    The fits are independent Spark jobs, submitted from driver threads so the
+    cluster schedules them side by side.
     """
-    data = assemble(train, indexer).select("features", F.log1p(F.col(TARGET).cast("double")).alias("label"))
-    data = checkpointed(data)
     max_bins = max(32, len(indexer.labels) + 1)
 
     def one(item):
         name, alpha = item
         return name, QuantileBoostedTrees(alpha, params, max_bins=max_bins).fit(data)
 
-    items = list(quantiles.items())
-    if parallel and len(items) > 1:
-        with ThreadPoolExecutor(max_workers=len(items)) as pool:
-            fitted = dict(pool.map(one, items))
-    else:
-        fitted = dict(map(one, items))
-    return QuantileForecaster(indexer, fitted)
+    with ThreadPoolExecutor(max_workers=len(quantiles)) as pool:
+        return QuantileForecaster(indexer, dict(pool.map(one, quantiles.items())))
 
 
 def uncrossed(cols: list[Column]) -> list[Column]:
@@ -238,6 +299,7 @@ def bands(raw: dict[str, Column]) -> list[Column]:
 def predict(fc: QuantileForecaster, frame: DataFrame) -> DataFrame:
     """Frame + p10/p50/p90 on the count scale: expm1, clipped at 0, sorted
     row-wise so the band never crosses (M4, E13, E14, E16)."""
+    ship_code(frame.sparkSession)
     out = assemble(frame, fc.indexer)
     names = sorted(fc.models, key=lambda n: fc.models[n].alpha)
     for name in names:

@@ -9,6 +9,7 @@ driver, and all folds are scored together in one aggregate.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -35,21 +36,26 @@ def model_backtest(
     folds: int,
     indexer,
     params: qt.BoostParams | None = None,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Metrics of the quantile models and the seasonal-naive baseline on the
-    same test rows, per fold and overall (M6)."""
+    same test rows, per fold and overall (M6).  All folds train on date ranges
+    of one materialised set of rows (``labelled``) and are fitted side by side."""
+    rows = qt.labelled(bt.trainable(feat), indexer) if rows is None else rows
+    cutoffs = {k: anchor - dt.timedelta(days=7 * k) for k in range(1, folds + 1)}
+    first = rows.agg(F.min("sensing_date")).first()[0]
+    if first is None or first > cutoffs[folds]:
+        raise ValueError(f"fold {folds} (cutoff {cutoffs[folds]}) has no training rows; use fewer folds")
+    with ThreadPoolExecutor(max_workers=folds) as pool:
+        models = dict(
+            pool.map(
+                lambda k: (k, qt.fit_all(rows.filter(F.col("sensing_date") <= F.lit(cutoffs[k])), indexer, params)), cutoffs
+            )
+        )
     a = F.lit(anchor)
     tests = bt.test_rows(feat, a, folds)
-    parts = []
-    for k in range(1, folds + 1):
-        cutoff = anchor - dt.timedelta(days=7 * k)
-        train = bt.trainable(feat.filter(F.col("sensing_date") <= F.lit(cutoff)))
-        if not train.limit(1).collect():
-            raise ValueError(f"fold {k} (cutoff {cutoff}) has no training rows; use fewer folds")
-        models = qt.fit_all(train, indexer, params)
-        parts.append(qt.predict(models, tests.filter(F.col("fold") == k)))
-    scored = reduce(DataFrame.unionByName, parts)
-    return bt.score(scored, a, folds, with_model=True)
+    scored = [qt.predict(models[k], tests.filter(F.col("fold") == k)) for k in cutoffs]
+    return bt.score(reduce(DataFrame.unionByName, scored), a, folds, with_model=True)
 
 
 def prepare(obs: DataFrame, lag_method: str = "auto"):
@@ -99,9 +105,9 @@ def forecast(
     per active location and hour (M7).  Returns lazily defined marts whose
     models are already fitted."""
     obs, anchor, feat, indexer, lag_method = prepare(obs, lag_method)
-    metrics = model_backtest(feat, anchor, folds, indexer, params) if folds > 0 else None
-    final_train = bt.trainable(feat.filter(F.col("sensing_date") <= F.lit(anchor)))
-    models = qt.fit_all(final_train, indexer, params)
+    rows = qt.labelled(bt.trainable(feat), indexer)
+    metrics = model_backtest(feat, anchor, folds, indexer, params, rows) if folds > 0 else None
+    models = qt.fit_all(rows.filter(F.col("sensing_date") <= F.lit(anchor)), indexer, params)
     future = ft.future_frame(obs, F.lit(anchor), horizon_days, lag_method=lag_method)
     future = future.filter(F.col("lag_mean_4w").isNotNull())
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()

@@ -23,7 +23,7 @@ from ..operators import forecast_reports as fr
 from ..operators import marts, staging
 from ..operators import quality as dq
 from ..operators import reports as rp
-from ..operators.quantile import BoostParams, bands
+from ..operators.quantile import bands
 from ..schemas import TARGET
 from ..sources import export as ex
 from ..sources import fixtures as fx
@@ -450,25 +450,22 @@ def q_compare_naive(spark, sf):
 # ---------------------------------------------------------------- quantile models (rows-only checks)
 
 
-CHECK_PARAMS = BoostParams(rounds=4)
-
-
 @query("quantile_forecast")
 def q_quantile_forecast(spark, sf):
     """Forecast mart of F1 from the boosted quantile models (no backtest)."""
-    res = run_forecast(obs_f1(spark, sf), folds=0, params=CHECK_PARAMS)
+    res = run_forecast(obs_f1(spark, sf), folds=0)
     return res.forecast.drop("generated_at")
 
 
 @query("model_backtest")
 def q_model_backtest(spark, sf):
-    """Two-fold backtest of the boosted quantile models vs seasonal-naive on F1."""
-    return backtest_only(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS)
+    """Four-fold backtest of the boosted quantile models vs seasonal-naive on F2d."""
+    return backtest_only(obs_f2d(spark, sf), folds=4)
 
 
 @query("compare_methods")
 def q_compare(spark, sf):
-    return fr.compare_methods(backtest_only(obs_f1(spark, sf), folds=2, params=CHECK_PARAMS))
+    return fr.compare_methods(backtest_only(obs_f2d(spark, sf), folds=4))
 
 
 # ---------------------------------------------------------------- streaming ingest
