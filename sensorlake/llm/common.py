@@ -1,41 +1,21 @@
-"""Helpers shared by the corpus operators: shipping the code, scratch tables,
-row keys, word ids."""
+"""Helpers shared by the corpus operators: scratch tables, row keys, word ids."""
 
 from __future__ import annotations
 
 import gc
-import tempfile
-import zipfile
-from pathlib import Path
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_code as ship  # noqa: F401  (for the operators)
 from ..sources.fs import delete, scratch_dir
 
-_PACKAGE = Path(__file__).resolve().parents[1]
-_SHIPPED: set[str] = set()
-
 #: Doc ids that are null sort after every other id.
 NULL_ID_ORDER = 2**63 - 1
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package's code to the executors (once per application), so
-    that their Python workers import it wherever they run."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    archive = Path(tempfile.mkdtemp(prefix="sensorlake-code-")) / "sensorlake-code.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for p in sorted(_PACKAGE.rglob("*.py")):
-            z.write(p, p.relative_to(_PACKAGE.parent))
-    sc.addPyFile(str(archive))
-    _SHIPPED.add(sc.applicationId)
-
-
 class Scratch:
     """Intermediate tables in the shared scratch folder.  ``write`` cuts the
     lineage; ``drop`` removes a table that nothing reads any more."""
