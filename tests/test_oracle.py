@@ -30,3 +30,15 @@ def test_every_query_has_an_oracle_or_is_a_model():
 def test_entry_smoke(spark):
     df = entry(spark)
     assert df.count() > 0 and "daily_count" in df.columns
+
+
+def test_entry_without_the_corpus_operators(monkeypatch):
+    import sys
+
+    for name in [m for m in sys.modules if m.startswith(("sensorlake.llm", "corpus_pipeline"))]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "sensorlake.llm", None)
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    names = set(queries())
+    assert "mart_daily" in names and not any(n == "pipeline" or n.startswith("op") for n in names)
+    assert set(oracle_sql()) <= names
