@@ -12,6 +12,7 @@ from .common import table
 from .decontamination import contamination
 from .html_text import extract
 from .jaccard_join import near_duplicates
+from .license_scan import scan_licenses
 from .mixture import mix_sources
 from .substring_dedup import remove_repeats
 from .token_counts import token_counts
@@ -54,6 +55,18 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, text=False)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = F.try_element_at("licenses", F.lit(1))
+    return found.select(
+        "doc_id",
+        F.size("licenses").cast("long").alias("n_licenses"),
+        best["template"].alias("best_template"),
+        F.coalesce(best["score"], F.lit(0.0)).alias("best_score"),
+        F.array_join("licenses.template", ",").alias("templates"),
+    )
+
+
 def op8_katz_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return katz_lm.score(docs, toxicity.held_out("doc_id", 7, 2))
@@ -72,5 +85,5 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op8_katz_lm, op9_jaccard_join, op10_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
