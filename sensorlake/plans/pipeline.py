@@ -1,9 +1,8 @@
 """End-to-end run: refresh -> warehouse -> data tests -> marts -> forecast.
 
 One driver process replaces the reference's chain of command-line stages.
-The deduplicated staging counts are the one expensive model, so they are
-written once (under ``root/warehouse``) and every later model and check
-reads that table; the fact is a cheap projection of it.
+Staging counts, dimension and marts are written once under ``root/warehouse``
+and tested there; tables that pass are then swapped into ``root/marts``.
 """
 
 from __future__ import annotations
@@ -30,18 +29,24 @@ class PipelineResult:
 
 def build_materialized(spark: SparkSession, raw_counts: DataFrame, raw_sensors: DataFrame, root: str,
                        profile_days: int = 90) -> Warehouse:
-    """Warehouse whose staging counts are written once and re-read."""
-    stg_c = export.publish(staging.stage_counts(raw_counts), "stg_counts", "table", f"{root}/warehouse/stg_counts")
+    """Every model but the staging sensors and the fact (projections of small
+    or written tables) is written once under ``root/warehouse``; later models
+    and the data tests read the written tables."""
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        return export.publish(df, name, "table", f"{root}/warehouse/{name}")
+
+    stg_c = written(staging.stage_counts(raw_counts), "stg_counts")
     stg_s = staging.stage_sensors(raw_sensors)
     fct = marts.hourly_fact(stg_c)
-    dim = marts.sensor_dim(stg_s, stg_c)
+    dim = written(marts.sensor_dim(stg_s, stg_c), "dim_sensors")
     return Warehouse(
         stg_counts=stg_c,
         stg_sensors=stg_s,
         fct_hourly_counts=fct,
         dim_sensors=dim,
-        mart_daily_location=marts.daily_mart(fct, dim),
-        mart_hourly_profile=marts.hourly_profile(fct, dim, profile_days),
+        mart_daily_location=written(marts.daily_mart(fct, dim), "mart_daily_location"),
+        mart_hourly_profile=written(marts.hourly_profile(fct, dim, profile_days), "mart_hourly_profile"),
     )
 
 
@@ -67,7 +72,9 @@ def run_pipeline(
     wh = build_materialized(
         spark, readers.read_counts(spark, raw_counts_dir), readers.read_sensors(spark, raw_sensors_dir), root
     )
-    checks = quality.enforce(quality.run_suite(quality.warehouse_checks(wh)))
+    suite = quality.run_suite(quality.warehouse_checks(wh))
+    # One row per check, run once.
+    checks = quality.enforce(spark.createDataFrame(suite.collect(), suite.schema))
     tables = {
         "dim_sensors": wh.dim_sensors,
         "mart_daily_location": wh.mart_daily_location,

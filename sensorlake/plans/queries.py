@@ -33,7 +33,6 @@ from ..sources import refresh as rf
 from ..streaming import landing as ls
 from .forecast import backtest_only
 from .forecast import forecast as run_forecast
-from ..session import checkpointed
 from .warehouse import build_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,10 +136,13 @@ def q_dq_orphans(spark, sf):
 
 
 def daily_at_anchor(wh):
-    """The daily mart materialised once (reliable checkpoint, as the
-    reference's reports read a stored mart), its anchor as a literal, and the
-    mart cut at the anchor."""
-    daily = checkpointed(wh.mart_daily_location)
+    """The daily mart written once and read back (reports read a stored mart,
+    with its pruning and push-down), its anchor as a literal, and the mart cut
+    at the anchor."""
+    spark = wh.mart_daily_location.sparkSession
+    path = f"{fs.scratch_dir(spark, 'daily')}/mart_daily_location"
+    ex.write_mart(wh.mart_daily_location, path)
+    daily = spark.read.parquet(path)
     a = anc.anchor_literal(daily, weight="hours_reported")
     return anc.cut_at(daily, a), a
 

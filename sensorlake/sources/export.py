@@ -39,14 +39,15 @@ def export_marts(
 
 
 def publish(df: DataFrame, name: str, materialized: str = "view", path: str | None = None) -> DataFrame:
-    """Expose a model under ``name`` (S16): a lazy temp view, or a table
-    written to ``path`` and re-read (so later readers do not recompute it)."""
+    """Expose a model under ``name`` (S16): a lazy temp view, or a catalog
+    table over Parquet at ``path`` (so later readers do not recompute it)."""
+    spark = df.sparkSession
     if materialized == "view":
         df.createOrReplaceTempView(name)
         return df
     if materialized != "table" or not path:
         raise ValueError("materialized must be 'view', or 'table' with a path")
     write_mart(df, path)
-    table = df.sparkSession.read.parquet(path)
-    table.createOrReplaceTempView(name)
-    return table
+    spark.catalog.dropTempView(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
+    return spark.catalog.createTable(name, path, "parquet")

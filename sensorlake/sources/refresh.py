@@ -105,11 +105,12 @@ def refresh_counts(spark: SparkSession, source: DataFrame, dest: str, window: Da
     # most len(planned) values), so no separate pass over the source.
     written = Observation(f"months_{abs(hash(dest))}")
     rows = rows.observe(written, F.collect_set(PARTITION).alias("months"))
-    # Range partitioning by (month, date, id): large months are split over
-    # many writers, small ones share a task, and each file covers a narrow
-    # date range (tight Parquet min/max statistics for later date filters).
+    # Rebalanced by month without sampling the source first: large months are
+    # split over many writers, small ones share a task.  Sorted files have
+    # tight Parquet statistics for later date filters.
     (
-        rows.repartitionByRange(PARTITION, "sensing_date", "id")
+        rows.hint("rebalance", PARTITION)
+        .sortWithinPartitions(PARTITION, "sensing_date", "id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
