@@ -23,9 +23,11 @@ on a segment that is also indexed by its one-deletion neighbourhood.
   a lower bound, which rules most other pairs out.  A larger ("hot") bucket is not needed by a
   set whose other segments still absorb all differences: a pair is missed
   only if both its sets have lost more segments to hot buckets than they can
-  spare.  Such sets are checked, within each hot bucket they share, against
-  one hub; pairs the hub leaves in different components are checked too,
-  unless the triangle inequality of the Jaccard distance rules the link out.
+  spare.  Such sets are checked against the hub of each hot bucket they lie in.
+  The sets around a hub that this leaves in different components are then
+  compared block by block: the pairs' shared hot signatures are counted by a
+  matrix product, and the sets of those are compared that the bound on shared
+  signatures and the triangle inequality of the Jaccard distance leave over.
   No bucket is cut and no link is lost.
 * Verification compares whole sets, recomputed from the texts.
 
@@ -73,6 +75,8 @@ CELLS = 8
 TAG = 0xFF
 #: Pairs that are verified against one hub in one group.
 HUB_PAIRS = 256
+#: Sets in a block around a hub.
+BLOCK = 1024
 U = np.uint64
 
 
@@ -352,22 +356,26 @@ def _candidates(small: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.filter("shared >= greatest(kept_a, kept_b) - (n_a + n_b) div 9").select("a", "b").distinct()
 
 
+def _with_texts(wanted: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
+    """``wanted`` rows with the text of a document that has their ``set_id``
+    (several times if that document is repeated)."""
+    rep = members.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"))
+    keyed = wanted.join(rep, "set_id").withColumns({"__id": F.col("rep.doc_id"), "__hash": F.col("rep.text_hash")})
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    return texts.join(keyed, same).select(*wanted.columns, "text")
+
+
 def _verified(pairs: DataFrame, members: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, common, size_a, size_b) of pairs (a, b) of sets.  The text of
     each b travels to its hub a; a hub with many pairs is split."""
-    rep = members.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("rep"))
     per = pairs.groupBy("a").agg(F.count("*").alias("pairs"))
     part = F.pmod(F.xxhash64("b"), F.ceil(F.col("pairs") / HUB_PAIRS))
     dealt = pairs.join(per, "a").select("a", "b", part.alias("part"))
     wanted = dealt.select("a", "part", F.col("b").alias("set_id")).unionByName(
         dealt.select("a", "part", F.col("a").alias("set_id")).distinct()
     )
-    wanted = wanted.join(rep, "set_id").select(
-        "a", "part", "set_id", F.col("rep.doc_id").alias("__id"), F.col("rep.text_hash").alias("__hash")
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_hash().alias("text_hash"), "text")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    sent = texts.join(wanted, same).select("a", "part", "set_id", "text")
+    sent = _with_texts(wanted, members, docs)
     sent = sent.repartition(shuffle_partitions(docs.sparkSession), "a", "part")
     sent = sent.sortWithinPartitions("a", "part", F.col("set_id") != F.col("a"), "set_id")
 
@@ -417,23 +425,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     deletes = _by_tag(lambda b: b.deletion > 0, most) == 1
     # A deletion segment absorbs two differences, and shares up to all its signatures.
     sets = sets.withColumn("gone", F.col("n_hot") * F.when(deletes, 2).otherwise(1))
-    kept = F.when(deletes, 0).otherwise(F.col("spare") + _by_tag(lambda b: b.need, most) - F.col("n_hot"))
-    sets = scratch.write(sets.withColumn("kept", kept), "sets")
+    # The differences that its segments absorb, all and outside hot buckets.
+    absorbs = F.when(deletes, 0).otherwise(F.col("spare") + _by_tag(lambda b: b.need, most))
+    sets = sets.withColumn("absorbs", absorbs).withColumn("kept", F.greatest(F.col("absorbs") - F.col("n_hot"), F.lit(0)))
+    sets = scratch.write(sets, "sets")
     pairs = _candidates(found.filter("not hot"), sets)
 
-    short = sets.filter("gone > spare and n_hot > 0").select(F.col("set_id").alias("b"), "tag", "n_hot")
+    # A link between sets of n tokens has n / 4 differences at most.
+    short = sets.filter(F.when(deletes, F.col("gone") > F.col("spare")).otherwise(4 * F.col("kept") <= F.col("n")))
+    short = short.filter("n_hot > 0").select(F.col("set_id").alias("b"), "tag", "n_hot")
     hot = found.filter("hot").select("a", "b", "tag").join(short, ["b", "tag"])
     # The set with the most hot signatures is the likeliest centre of a group.
     hub = hot.groupBy("a").agg(F.max(F.struct("n_hot", "b"))["b"].alias("hub"))
-    hot = scratch.write(hot.join(hub, "a").select(F.col("a").alias("sig"), "hub", F.col("b").alias("set_id")), "hot")
+    hot = scratch.write(hot.join(hub, "a").select("tag", F.col("a").alias("sig"), "hub", F.col("b").alias("set_id")), "hot")
     stars = hot.filter("hub != set_id").select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
 
     checked = scratch.write(_verified(pairs.unionByName(stars).distinct(), members, docs), "checked")
     labels = connected_components(linked(checked), scratch)
-    more = scratch.write(_across(hot, checked, labels), "across")
+    more = scratch.write(_across(hot, sets, checked, labels, members, docs), "across")
     if more.limit(1).count():
-        again = scratch.write(_verified(more, members, docs), "again")
-        labels = connected_components(linked(checked).unionByName(linked(again)), scratch, "final")
+        labels = connected_components(linked(checked).unionByName(more), scratch, "final")
 
     node = members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
     node = node.withColumn("component", F.coalesce("component", "set_id"))
@@ -446,7 +457,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
     )
     out = scratch.write(out, "result")
-    scratch.drop("members", "buckets", "sets", "hot", "checked", "across", "again")
+    scratch.drop("members", "buckets", "sets", "hot", "checked", "across")
     return out
 
 
@@ -471,26 +482,57 @@ def keep_one(docs: DataFrame) -> DataFrame:
     return out.drop("__hash")
 
 
-def _across(hot: DataFrame, checked: DataFrame, labels: DataFrame) -> DataFrame:
-    """Unchecked pairs of a hot bucket whose sets the checks so far leave in
-    different components.  If the distances of a and b to their hub differ by
-    more than 1/5, the distance of a and b exceeds 1/5."""
+def _across(
+    hot: DataFrame, sets: DataFrame, checked: DataFrame, labels: DataFrame, members: DataFrame, docs: DataFrame
+) -> DataFrame:
+    """Linked pairs of sets around a hub that the checks so far leave in
+    different components.  Whole sets are compared only of pairs that share
+    all but (a + b) / 9 of either set's segments (those of hot buckets; a linked
+    pair that shares other buckets too is among the checked) and whose
+    distances to the hub differ by 1/5 at most."""
     apart = (F.lit(1.0) - F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))).alias("apart")
     to_hub = checked.select(F.col("a").alias("hub"), F.col("b").alias("set_id"), apart)
-    rows = hot.join(to_hub, ["hub", "set_id"], "left").withColumn("apart", F.coalesce("apart", F.lit(0.0)))
-    rows = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-    rows = rows.withColumn("component", F.coalesce("component", "set_id"))
-    mixed = rows.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    rows = rows.join(mixed, "sig", "left_semi").withColumn("cell", F.floor(F.col("apart") / 0.2))
-    left = rows.select("sig", F.col("set_id").alias("a"), "component", "apart", "cell")
-    right = rows.select(
-        "sig",
-        F.col("set_id").alias("b"),
-        F.col("component").alias("component_b"),
-        F.col("apart").alias("apart_b"),
-        F.explode(F.array(F.col("cell") - 1, F.col("cell"), F.col("cell") + 1)).alias("cell"),
+    sigs = hot.groupBy("set_id", "tag").agg(F.collect_set("sig").alias("sigs"))  # at most a set's own
+    rows = hot.select("hub", "tag", "set_id").distinct().join(to_hub, ["hub", "set_id"], "left")
+    rows = rows.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "hub", "tag", "set_id", F.coalesce("apart", F.lit(0.0)).alias("apart"), F.coalesce("component", "set_id").alias("component")
     )
-    pairs = left.join(right, ["sig", "cell"]).filter(
-        "a < b and component != component_b and abs(apart - apart_b) <= 0.2 + 1e-9"
+    around = rows.groupBy("hub", "tag").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
     )
-    return pairs.select("a", "b").distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    rows = rows.join(around.filter("x != y").drop("x", "y"), ["hub", "tag"]).join(sigs, ["set_id", "tag"])
+    rows = rows.join(sets.select("set_id", "tag", "n", F.col("absorbs").alias("need")), ["set_id", "tag"])
+    mine = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
+
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in batches:
+            found = [shingle_set(t).tobytes() for t in part["text"]]
+            yield pd.DataFrame({"set_id": part["set_id"], "tokens": found})
+
+    texts = _with_texts(rows.select("set_id").distinct(), members, docs).dropDuplicates(["set_id"])
+    rows = rows.join(texts.mapInPandas(tokens, "set_id long, tokens binary"), "set_id")
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        column, at = np.unique(np.concatenate(rows["sigs"].to_numpy()), return_inverse=True)
+        holds = np.zeros((len(rows), len(column)), np.float32)
+        holds[np.repeat(np.arange(len(rows)), [len(x) for x in rows["sigs"]]), at] = 1
+        left = np.flatnonzero(rows["mine"] == rows["i"])
+        right = np.flatnonzero(rows["mine"] == rows["j"])
+        n, need, apart, component, sid = (rows[c].to_numpy() for c in ("n", "need", "apart", "component", "set_id"))
+        whole = [np.frombuffer(t, np.uint64) for t in rows["tokens"]]
+        out = []
+        for k in left:
+            shared = holds[right] @ holds[k]
+            may = (shared >= 1) & (shared >= np.maximum(need[k], need[right]) - (n[k] + n[right]) // 9)
+            may &= 100 * np.minimum(n[k], n[right]) >= 80 * np.maximum(n[k], n[right])
+            may &= (component[k] != component[right]) & (np.abs(apart[k] - apart[right]) <= 0.2 + 1e-9)
+            for x in right[may]:
+                common = len(np.intersect1d(whole[k], whole[x], assume_unique=True))
+                if 100 * common >= 80 * (n[k] + n[x] - common):
+                    out.append((min(sid[k], sid[x]), max(sid[k], sid[x])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    rows = rows.select("hub", "tag", "set_id", "apart", "component", "sigs", "tokens", "n", "need", "mine", "i", "j")
+    return rows.groupBy("hub", "tag", "i", "j").applyInPandas(compare, "a long, b long").distinct()
