@@ -41,6 +41,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,9 +53,12 @@ from .common import Scratch, ascii_words, mix64, ship, shuffle_partitions, word_
 K = 5
 START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 #: Tokens that a map task gathers before it sends them.
-CHUNK = 2_000_000
+CHUNK = 1_000_000
+#: Passes over the texts in scoring, each for a part of the cells: the pairs
+#: in flight take that part of the disk.
+PASSES = 2
 #: Tokens per cell, on average.
-PER_CELL = 4_000_000
+PER_CELL = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -149,6 +153,8 @@ def _send_counts(cells: int):
                 for c in range(cells)
             ]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            del rows, word, words, pair, pairs, chunk
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -189,11 +195,13 @@ def count(docs: DataFrame, cells: int) -> Counts:
 
 # --- scoring ----------------------------------------------------------------
 
-_BLOBS = ("word", "pairs", "u", "places", "doc", "times", "key", "out")
+_BLOBS = ("word", "pairs", "u_high", "u_low", "places", "doc", "times", "key", "out")
+#: Contexts go by the low 48 bits of their word's id.
+_CONTEXT = np.uint64(2**48 - 1)
 
 
-def _send_pairs(cells: int):
-    """One row per chunk and cell: words; pairs per word; the pairs' first
+def _send_pairs(cells: int, first: int, last: int):
+    """One row per chunk and cell from ``first`` to before ``last``: words; pairs per word; the pairs' first
     words; documents per pair; document numbers and times; document keys and
     whether they are held out."""
     schema = pa.schema([("cell", pa.int32())] + [(c, pa.binary()) for c in _BLOBS])
@@ -203,8 +211,13 @@ def _send_pairs(cells: int):
             keys = np.array([k for k, _, _ in chunk], np.int64)
             out = np.array([o for _, o, _ in chunk], np.uint8)
             doc = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(ids) - 1 for _, _, ids in chunk])
-            u = np.concatenate([ids[:-1] for _, _, ids in chunk])
+            u = np.concatenate([ids[:-1] for _, _, ids in chunk]) & _CONTEXT
             w = np.concatenate([ids[1:] for _, _, ids in chunk])
+            mine = _cell(w, cells)
+            mine = (mine >= first) & (mine < last)
+            w, u, doc = w[mine], u[mine], doc[mine]
+            if not len(w):
+                continue
             order = np.lexsort((doc, u, w))
             w, u, doc = w[order], u[order], doc[order]
             new_w = np.r_[True, w[1:] != w[:-1]]
@@ -222,17 +235,18 @@ def _send_pairs(cells: int):
             cut_word = np.searchsorted(word, cut_pair)
             u, w = u[pair], w[pair][word]
             rows = []
-            for c in range(cells):
+            for c in range(first, last):
                 if cut[c] == cut[c + 1]:
                     continue
                 used, local = np.unique(doc[cut[c] : cut[c + 1]], return_inverse=True)
                 p, q = slice(cut_pair[c], cut_pair[c + 1]), slice(cut_word[c], cut_word[c + 1])
                 rows.append(
                     {
-                        "cell": c,
+                        "cell": c - first,
                         "word": w[q].tobytes(),
                         "pairs": pairs[q].tobytes(),
-                        "u": u[p].tobytes(),
+                        "u_high": (u[p] >> np.uint64(16)).astype(np.uint32).tobytes(),
+                        "u_low": u[p].astype(np.uint16).tobytes(),
                         "places": places[p].tobytes(),
                         "doc": local.astype(np.uint16).tobytes(),
                         "times": times[cut[c] : cut[c + 1]].tobytes(),
@@ -241,6 +255,8 @@ def _send_pairs(cells: int):
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            del rows, order, w, u, doc, place, times, places, chunk
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -261,17 +277,18 @@ def _score_cells(counts: Counts):
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(filled, types)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: dict[str, list[np.ndarray]] = {c: [] for c in (*_BLOBS, "w")}
-        kinds = dict(zip(_BLOBS, ("u8", "u4", "u8", "u4", "u2", "u4", "i8", "u1")))
+        parts: dict[str, list[np.ndarray]] = {c: [] for c in ("w", "u", "places", "doc", "times", "key", "out")}
+        kinds = dict(zip(_BLOBS, ("u8", "u4", "u4", "u2", "u4", "u2", "u4", "i8", "u1")))
         docs = 0
         for batch in batches:
             for row in batch.to_pylist():
                 got = {c: np.frombuffer(row[c], kinds[c]) for c in _BLOBS}
                 got["doc"] = got["doc"].astype(np.uint32) + np.uint32(docs)
                 got["w"] = np.repeat(got["word"], got["pairs"])
+                got["u"] = got["u_high"].astype(np.uint64) << np.uint64(16) | got["u_low"]
                 docs += len(got["key"])
-                for c in ("w", "u", "places", "doc", "times", "key", "out"):
-                    parts[c].append(got[c])
+                for c, held in parts.items():
+                    held.append(got[c])
         if not docs:
             return
         w, u, places, doc, times, key, out = (np.concatenate(parts.pop(c)) for c in ("w", "u", "places", "doc", "times", "key", "out"))
@@ -308,6 +325,7 @@ def _score_cells(counts: Counts):
             b=np.bincount(which, one[seen], len(context)),
         )
         each = np.repeat(type_of, places)
+        del w, u, first, trained, type_of, places
         summed = lambda x: np.bincount(doc, x[each] * times, docs)
         yield table(
             DOCUMENT,
@@ -333,17 +351,23 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     scratch = Scratch(spark, "katz")
     rows = docs.select("doc_id", "text", held_out.alias("held_out"))
     rows = rows.withColumn("key", F.xxhash64("doc_id", "text", "held_out"))
-    words = F.regexp_count(F.col("text"), F.lit(r"[\x20\x09-\x0D]+"))
-    size = rows.select(F.sum(F.coalesce(words, F.lit(0)) + 2)).first()[0] or 0
+    # About as many tokens; only the number of cells depends on it.
+    size = rows.select(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) / 6 + 2)).first()[0] or 0
     cells = max(math.ceil(size / PER_CELL), min(shuffle_partitions(spark), 6))
     source = rows.select("key", "held_out", "text")
 
     counts = count(source, cells)
     scratch.release()
-    sent = source.mapInArrow(_send_pairs(cells), "cell int, " + ", ".join(f"{c} binary" for c in _BLOBS))
-    found = scratch.write(sent.repartitionById(cells, "cell").mapInArrow(_score_cells(counts), _ROW), "found")
-    del sent
-    scratch.release()
+    blobs = "cell int, " + ", ".join(f"{c} binary" for c in _BLOBS)
+    parts = []
+    for i in range(PASSES):
+        first, last = i * cells // PASSES, (i + 1) * cells // PASSES
+        if first < last:
+            sent = source.mapInArrow(_send_pairs(cells, first, last), blobs).repartitionById(last - first, "cell")
+            parts.append(scratch.write(sent.mapInArrow(_score_cells(counts), _ROW), f"found-{i}"))
+            del sent
+            scratch.release()
+    found = reduce(DataFrame.unionByName, parts)
 
     # alpha(u) c(u): what replaces the numerator and the charged denominator.
     contexts = found.filter(F.col("kind") == CONTEXT).groupBy("key").agg(F.sum("a").alias("d"), F.sum("b").alias("t"))
@@ -357,7 +381,7 @@ def score(docs: DataFrame, held_out) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("a", "b", "known", "tokens", "ends")]
     )
     sums = scratch.write(sums, "sums")
-    scratch.drop("found")
+    scratch.drop(*[f"found-{i}" for i in range(PASSES)])
     scratch.release()
     # Repeated rows share a key: their sums are that many times one row's.
     return rows.drop("text").join(sums, "key").select(
