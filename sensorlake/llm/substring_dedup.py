@@ -16,7 +16,10 @@ it also starts in a document with a smaller doc_id.
    first document that holds it; maximal spans of earlier windows are removed.
    A shard holds ``SHARD`` passages (or one gram's), so its automaton stays
    small; a gram with more contents than that is decided window by window, by
-   the smallest doc_id per window, which spreads over all tasks.
+   the smallest doc_id per window, which spreads over all tasks.  What is
+   found for a passage holds for every run of the same gram and content whose
+   doc_id is the smallest one: again in the same document, in another text of
+   the same doc_id, or among null ids.
 4. Each document is joined with its spans and cut.
 
 So every document meets the shards that can hold its windows and no others,
@@ -221,14 +224,17 @@ PASSAGE = pa.schema(
 )
 
 
+FOUND = "gram long, content long, doc_id long, text_hash long, at int, start int, end int"
+
+
 def _streamed(passages: DataFrame, span: int) -> DataFrame:
-    """(doc_id, text_hash, start, end) of the spans that the shards' automata
-    show to be held by earlier documents."""
+    """The spans of the passages that the shards' automata show to be held by
+    earlier documents, as ``FOUND``."""
     dealt = passages.repartition(shuffle_partitions(passages.sparkSession), "gram")
-    dealt = dealt.sortWithinPartitions("gram", "content").select("gram", "ord", "at", *KEY, "words")
+    dealt = dealt.sortWithinPartitions("gram", "content").select("gram", "content", "ord", "at", *KEY, "words")
 
     def shard(rows: list[tuple]) -> pd.DataFrame:
-        rows = sorted(((r[1], r[5].split(), r) for r in {r[1:]: r for r in rows}.values()), key=lambda x: x[0])
+        rows = sorted(((r[2], r[6].split(), r) for r in {r[1:]: r for r in rows}.values()), key=lambda x: x[0])
         automaton = SuffixAutomaton()
         for order, words, _ in rows:
             automaton.add(words, order)
@@ -236,8 +242,8 @@ def _streamed(passages: DataFrame, span: int) -> DataFrame:
         for order, words, r in rows:
             earlier = np.array(automaton.first_holders(words, span)) < order
             if earlier.any():
-                out += [(r[3], r[4], s, e) for s, e in zip(*spans_of(earlier, r[2], span))]
-        return pd.DataFrame(out, columns=[*KEY, "start", "end"]).astype({"doc_id": "Int64"})
+                out += [(r[0], r[1], *r[4:6], r[3], s, e) for s, e in zip(*spans_of(earlier, r[3], span))]
+        return pd.DataFrame(out, columns=["gram", "content", *KEY, "at", "start", "end"]).astype({"doc_id": "Int64"})
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
@@ -247,11 +253,11 @@ def _streamed(passages: DataFrame, span: int) -> DataFrame:
                 if len(held) >= SHARD and held[-1][0] != r[0]:
                     yield shard(held)
                     held = []
-                held.append((*r[:3], None if r[3] is pd.NA else r[3], *r[4:]))
+                held.append((*r[:4], None if r[4] is pd.NA else r[4], *r[5:]))
         if held:
             yield shard(held)
 
-    return dealt.mapInPandas(stream, "doc_id long, text_hash long, start int, end int")
+    return dealt.mapInPandas(stream, FOUND)
 
 
 def _by_window(passages: DataFrame, span: int) -> DataFrame:
@@ -259,19 +265,30 @@ def _by_window(passages: DataFrame, span: int) -> DataFrame:
 
     def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
-            for gram, order, at, doc_id, text_id, raw in rows.itertuples(index=False, name=None):
+            for gram, content, order, at, doc_id, text_id, raw in rows.itertuples(index=False, name=None):
                 ids = word_ids(raw.split())
                 total, back = _prefix_hashes(ids)
                 n = len(ids) - span + 1
                 key = mix64((total[span:] - total[:n]) * back[:n]).view(np.int64)
                 start = at + np.arange(n)
-                yield pd.DataFrame({"gram": gram, "win": key, "ord": order, "doc_id": doc_id, "text_hash": text_id, "start": start}).astype({"doc_id": "Int64"})
+                found = {"gram": gram, "content": content, "win": key, "ord": order, "doc_id": doc_id, "text_hash": text_id, "at": at}
+                yield pd.DataFrame(found | {"start": start}).astype({"doc_id": "Int64"})
 
-    rows = passages.select("gram", "ord", "at", *KEY, "words")
-    windows = rows.mapInPandas(explode, "gram long, win long, ord long, doc_id long, text_hash long, start int")
+    rows = passages.select("gram", "content", "ord", "at", *KEY, "words")
+    windows = rows.mapInPandas(
+        explode, "gram long, content long, win long, ord long, doc_id long, text_hash long, at int, start int"
+    )
     least = windows.groupBy("gram", "win").agg(F.min("ord").alias("least"))
     late = windows.join(least, ["gram", "win"]).filter("ord > least")
-    return late.select(*KEY, "start", (F.col("start") + span).alias("end"))
+    return late.select("gram", "content", *KEY, "at", "start", (F.col("start") + span).alias("end"))
+
+
+def _again(found: DataFrame, twins: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, start, end) of what was found for a passage, in the
+    other runs of its gram and content."""
+    offsets = found.select("gram", "content", (F.col("start") - F.col("at")).alias("from"), (F.col("end") - F.col("at")).alias("to"))
+    same = twins.distinct().join(offsets.distinct(), ["gram", "content"])
+    return same.select(*KEY, (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
@@ -284,15 +301,19 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     runs = scratch.write(_runs(docs, span), "runs")
 
     contents = runs.groupBy("gram", "content").agg(
-        F.min(F.struct("ord", "doc_id", "text_hash", "at", "windows")).alias("rep"), F.max("ord").alias("last")
+        F.min(F.struct("ord", "doc_id", "text_hash", "at", "windows")).alias("rep"), F.count("*").alias("copies")
     )
-    contents = scratch.write(contents.select("gram", "content", "rep.*", "last"), "contents")
+    contents = scratch.write(contents.select("gram", "content", "rep.*", "copies"), "contents")
     scratch.release()
-    copied = contents.filter("last > ord").select("gram", "content", F.col("ord").alias("least"))
-    whole = runs.join(copied, ["gram", "content"]).filter("ord > least")
-    whole = scratch.write(
-        whole.select(*KEY, F.col("at").alias("start"), (F.col("at") + F.col("windows") + span - 1).alias("end")), "whole"
-    )
+    # The other runs of a content: later ones go whole, those of the smallest
+    # doc_id (twins, which keep their gram) lose what their passage loses.
+    held = contents.filter("copies > 1").select("gram", "content", F.struct("ord", *KEY, "at").alias("rep"))
+    late, rep = F.col("ord") > F.col("rep.ord"), F.struct("ord", *KEY, "at").eqNullSafe(F.col("rep"))
+    others = runs.join(held, ["gram", "content"]).filter(late | ~rep)
+    passage = [F.when(~late, F.col(c)).alias(c) for c in ("gram", "content")]
+    end = (F.col("at") + F.col("windows") + span - 1).alias("end")
+    others = scratch.write(others.select(*passage, *KEY, F.col("at").alias("start"), end), "others")
+    whole, twins = others.filter("gram is null").select(*KEY, "start", "end"), others.filter("gram is not null").drop("end")
     scratch.release()
 
     per = contents.groupBy("gram").agg(F.count("*").alias("n"), F.min("ord").alias("least"), F.max("ord").alias("most"))
@@ -300,9 +321,10 @@ def repeated_spans(docs: DataFrame, span: int = SPAN) -> DataFrame:
     passages = scratch.write(_passages(docs, contents.join(per, "gram"), span), "passages")
     scratch.release()
     found = _streamed(passages.filter("not hot"), span).unionByName(_by_window(passages.filter("hot"), span))
-    spans = whole.unionByName(scratch.write(found, "found"))
+    found = scratch.write(found, "found")
+    spans = whole.unionByName(found.select(*whole.columns)).unionByName(_again(found, twins))
     out = scratch.write(spans.groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
-    scratch.drop("runs", "contents", "whole", "passages", "found")
+    scratch.drop("runs", "contents", "others", "passages", "found")
     scratch.release()
     return out
 

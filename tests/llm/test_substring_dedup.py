@@ -69,6 +69,32 @@ def test_shared_passages_by_automata_and_by_window(spark, monkeypatch):
     same(remove_repeats(df, text=False).select(*COLUMNS).collect(), want)
 
 
+def test_every_run_of_the_smallest_id_is_judged(spark, monkeypatch):
+    """A passage of an earlier document, in other surroundings: twice in one
+    document, in two texts of one doc_id, in texts without an id."""
+    rng = random.Random(7)
+    docs = []
+    for i in range(12):
+        new = lambda n: [f"n{rng.randrange(10**6)}" for _ in range(n)]
+        p, around = new(rng.randint(55, 110)), new(45) + ["*"] + new(45)
+        held = " ".join(p).join(" ".join(around).split("*"))
+        docs.append((10 * i, " ".join(new(45) + p + new(45))))
+        docs += [(10 * i + 1, f"{held} {held}"), (10 * i + 2, f"{held} x"), (10 * i + 2, f"y z {held}")]
+        q = new(70)
+        docs.append((10 * i + 3, " ".join(new(45) + q + new(45))))
+        held = " ".join(new(45) + q + new(45))
+        docs += [(10 * i + 4, held + " x"), (10 * i + 4, held + " y"), (10 * i + 4, held + " y")]
+        r = new(70)
+        docs.append((10 * i + 5, " ".join(new(45) + r + new(45))))
+        held = " ".join(new(45) + r + new(45))
+        docs += [(None, held + " x"), (None, f"{held} {held}")]
+    want = brute(docs)
+    df = spark.createDataFrame(docs, SCHEMA).repartition(4)
+    same(remove_repeats(df, text=False).select(*COLUMNS).collect(), want)
+    monkeypatch.setattr(substring_dedup, "SHARD", 1)
+    same(remove_repeats(df, text=False).select(*COLUMNS).collect(), want)
+
+
 def test_texts_are_cut(spark):
     first = [f"a{i}" for i in range(60)]
     docs = [(1, " ".join(first)), (2, "x  y " + " ".join(first) + " z"), (3, "keeps  its   blanks"), (4, None)]
