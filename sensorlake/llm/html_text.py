@@ -2,8 +2,10 @@ r"""Main text of web pages by composite text density.
 
 A page becomes a tree (implied end tags, raw-text elements, truncated markup
 and unclosed elements as browsers read them).  Elements that declare
-themselves boilerplate, by tag, role, class or id, are taken out first.  For
-every remaining node with C characters and T tags below it, of which LC stand
+themselves boilerplate, by tag, role, class or id, are taken out first,
+however much of the text they hold.  Where it is the role, class or id, the
+wrappers of the page's ``main`` and ``article`` stay, and so do the outermost
+ones if all text stands in such elements.  For every remaining node with C characters and T tags below it, of which LC stand
 in links and LT are links,
 
     density = C / T * log_b(C / LC * T / LT),
@@ -28,6 +30,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -74,6 +77,8 @@ NAMES = frozenset(
     teaser toc toolbar topbar warning widget widgets""".split()
 )
 HEADERS = frozenset("header head masthead topbar banner".split())
+#: Parts of a class name after which it names what an element goes with.
+BESIDE = frozenset("has no not with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
@@ -183,8 +188,10 @@ def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool]:
     if tag in DROPPED:
         return True, False
     role = found.get("role", "").lower()
-    named = f"{found.get('class', '')} {found.get('id', '')}"
-    names = {p.lower() for p in NAME_PARTS.findall(named)} if named != " " else set()
+    names = set()
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        parts = [p.lower() for p in NAME_PARTS.findall(name)]
+        names.update(parts[: next((k for k, p in enumerate(parts) if p in BESIDE), len(parts))])
     if tag in ("html", "body", "main") or tag in HEADINGS:
         return False, False
     if tag == "article":
@@ -196,6 +203,45 @@ def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool]:
     return bool(names & NAMES), False
 
 
+def _is_main(tag: str, attrs: str) -> bool:
+    return tag == "main" or bool(re.search(r"role\s*=\s*[\"']?main", attrs))
+
+
+def _wrappers(page: Page, soft: list[bool], out: list[bool], total: list[int]) -> set[int]:
+    """The ``soft`` elements around the page's main and its article: the one
+    with the fewest of them around it, the first of equals.  An article in an
+    article is a comment on it, several alone in one wrapper are a list, and with
+    a main only those in it are the page's.  ``out`` elements do not count."""
+    tag, parent = page.tag, page.parent
+    n = len(tag)
+    around, inner, in_main, in_article = [0] * n, [0] * n, [False] * n, [False] * n
+    found: dict[str, list[int]] = {"main": [], "article": []}
+    for i in range(1, n):
+        p = parent[i]
+        around[i], inner[i] = around[p] + soft[p], p if soft[p] else inner[p]
+        in_main[i], in_article[i] = in_main[p], in_article[p]
+        if total[i] and not soft[i] and not out[i]:
+            if _is_main(tag[i], page.attrs[i]):
+                found["main"].append(i)
+                in_main[i] = True
+            elif tag[i] == "article":
+                if not in_article[i]:
+                    found["article"].append(i)
+                in_article[i] = True
+    if found["main"]:
+        found["article"] = [i for i in found["article"] if in_main[i]]
+    held = Counter(inner[i] for i in found["article"])
+    found["article"] = [i for i in found["article"] if not inner[i] or held[inner[i]] == 1]
+    wrappers = set()
+    for nodes in found.values():
+        i = min(nodes, key=lambda i: around[i], default=0)
+        while i:
+            i = parent[i]
+            if soft[i]:
+                wrappers.add(i)
+    return wrappers
+
+
 def _density(c: int, t: int, lc: int, lt: int, share: float) -> float:
     if not c:
         return 0.0
@@ -216,10 +262,20 @@ def main_text(source: str | None) -> str:
     for node, text in page.texts:
         if text:
             own[node] += len(" ".join(text.split()))
-    # Boilerplate, unless by its name alone it would take most of the text.
-    total = own[:]
+    # Boilerplate by tag, and by name unless it is a wrapper or all there is.
+    marks = [(False, False)] + [_boilerplate(tag[i], page.attrs[i]) for i in range(1, n)]
+    soft = [m[0] and tag[i] not in DROPPED and tag[i] != "header" for i, m in enumerate(marks)]
+    out = [False] * n
+    for i in range(1, n):
+        out[i] = out[parent[i]] or marks[i][0] and not soft[i]
+    total = [0 if o else c for c, o in zip(own, out)]
     for i in range(n - 1, 0, -1):
         total[parent[i]] += total[i]
+    wrappers = _wrappers(page, soft, out, total)
+    names = [0] * n
+    for i in range(1, n):
+        names[i] = names[parent[i]] + (soft[i] and i not in wrappers)
+    least = min((names[i] for i in range(n) if own[i] and not out[i]), default=0)
     dropped, header = [False] * n, [False] * n
     in_article = [False] * n
     for i in range(1, n):
@@ -229,8 +285,8 @@ def main_text(source: str | None) -> str:
         if header[p] and tag[i] in HEADINGS and in_article[i]:
             dropped[i] = False
         elif not dropped[i]:
-            drop, as_header = _boilerplate(tag[i], page.attrs[i])
-            if drop and (tag[i] in DROPPED or tag[i] == "header" or 2 * total[i] <= total[0]):
+            drop, as_header = marks[i]
+            if drop and (not soft[i] or i not in wrappers and names[i] > least):
                 dropped[i], header[i] = True, as_header
 
     chars, tags, link_chars, links = [0] * n, [0] * n, [0] * n, [0] * n
@@ -266,7 +322,7 @@ def main_text(source: str | None) -> str:
         path.append(parent[path[-1]])
     article = next((i for i in path if tag[i] == "article"), None)
     if article is None:
-        article = next((i for i in path if tag[i] == "main" or re.search(r"role\s*=\s*[\"']?main", page.attrs[i])), None)
+        article = next((i for i in path if _is_main(tag[i], page.attrs[i])), None)
     kept = [False] * n
     if article is not None:
         kept[article] = True

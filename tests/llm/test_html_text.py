@@ -31,6 +31,35 @@ def test_article_is_found(around):
     assert main_text(around.format(marked)) == plain
 
 
+COMMENTS = "".join(f"<p>A reader says many things here, at length and every day, number {i}.</p>" for i in range(40))
+ITEMS = "<ul>" + COMMENTS.replace("<p>", "<li>").replace("</p>", "</li>") + "</ul>"
+
+
+@pytest.mark.parametrize("more", [COMMENTS, ITEMS, f"<article>{COMMENTS}</article><article>{COMMENTS}</article>"])
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<body><article>{}</article><section id=comments>{}</section></body>",
+        "<body><main><article>{}</article><div class=related>{}</div></main></body>",
+        "<body><article>{}<section class='post-comments'>{}</section></article></body>",
+        "<body><div id=content>{}</div><div class=sidebar>{}</div></body>",
+        "<body><div class='page has-sidebar no-ads'>{}</div><section id=comments>{}</section></body>",
+        "<body><div class='layout sidebar'><article>{}</article></div><section id=comments>{}</section></body>",
+        "<body><div class=widget><main>{}</main></div><div class=cookie>{}</div></body>",
+        "<body><div role=main>{}</div><div hidden>{}</div></body>",
+    ],
+)
+def test_boilerplate_of_any_size(around, more):
+    marked, plain = article()
+    assert main_text(around.format(marked, more)) == plain
+
+
+def test_named_wrapper_of_all_text():
+    marked, plain = article()
+    assert main_text(f"<body><div class=widget>{marked}<div class=share><p>{'Share it. ' * 300}</p></div></div></body>") == plain
+    assert main_text("<div class=ad>" * 500 + "x") == "x"
+
+
 def test_blocks_references_and_white_space():
     page = "<article><h1>Ti&amp;tle</h1><p>a&nbsp;\n b<br>c&lt;d <b>e</b>f<p>unclosed <i>x<p> </p><ul><li>one<li>two</ul></article>"
     assert main_text(page) == "Ti&tle\na b c<d ef\nunclosed x\none\ntwo"
