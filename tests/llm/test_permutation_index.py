@@ -62,3 +62,22 @@ def test_recall_on_a_larger_table(spark):
         s[q] = -9
         hits += len(set(np.argsort(-s)[:5]) & {i for _, i in found[q]})
     assert hits / (5 * 30) >= 0.9
+
+
+def test_recall_with_a_third_of_equal_rows(spark):
+    """Queries that the common vector is near to, though others are nearer."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((9000, 32)).astype(np.float32)
+    x[1::3] = x[1]
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit[1]
+    asked = [i for i in range(9000) if 0.25 < near[i] < 0.45][:40]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA)
+    found = got(search(df, F.col("vec_id").isin([*asked, 1, 4])))
+    hits = 0
+    for q in asked:
+        s = unit @ unit[q]
+        s[q] = -9
+        hits += len(set(np.argsort(-s, kind="stable")[:5].tolist()) & {i for _, i in found[q]})
+    assert hits / (5 * len(asked)) >= 0.9
+    assert [i for _, i in found[1]] == [4, 7, 10, 13, 16] and [i for _, i in found[4]] == [1, 7, 10, 13, 16]
