@@ -8,11 +8,13 @@ the factors learn pairs, such as an insult next to a group's name, that no sum
 of single weights expresses.
 
 Fitting uses a bounded sample of the labelled rows, the ``SAMPLE`` first in
-the order of a hash of doc_id, in one task.  Bins are kept by the strength of
-their association with the label (``KEEP`` strongest); four fifths of the
-sample fit the machine by AdaGrad, the last fifth fits the logistic that turns
-its output into a probability.  The model is a few hundred kilobytes whatever
-the corpus.  Scoring reads every whole text, row by row, without a shuffle.
+the order of a hash of doc_id, in one task.  Every bin that two examples share
+is kept, as a term that says nothing alone may in a pair; bins without an
+association of their own with the label learn at ``PACE`` of the rate, and all
+weights shrink by ``SHRINK``, so that chance does not outweigh the others.
+Four fifths of the sample fit the machine by AdaGrad, the last fifth fits the
+logistic that turns its output into a probability.  The model is at most
+2**BITS bins, some six megabytes, whatever the corpus.  Scoring reads every whole text, row by row, without a shuffle.
 
 Edge cases: a null or empty text has no features and scores the machine's
 intercept; labels that are null, or without a document, are not learned from;
@@ -38,12 +40,15 @@ from .common import ship
 
 BITS = 18
 SAMPLE = 20_000
-KEEP = 4096
 FACTORS = 4
 EPOCHS = 20
 VALUE = np.float32(0.3)
-#: Least deviation, in standard errors, at which a bin is kept.
+#: Deviation, in standard errors, above which a bin learns at the full rate,
+#: and the part of it for the others.
 DEVIATION = 4.0
+PACE = 0.1
+#: L2 penalty of weights and factors.
+SHRINK = 1e-3
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -81,8 +86,9 @@ class FactorizationMachine:
     def probability(self, bins: np.ndarray) -> float:
         return _logistic(self.slope * self.raw(bins) + self.shift)
 
-    def fit(self, examples: list[np.ndarray], labels: np.ndarray, epochs: int, rate: float = 0.1) -> None:
-        """AdaGrad on the logistic loss."""
+    def fit(self, examples: list[np.ndarray], labels: np.ndarray, epochs: int, rate: float = 0.1, pace: np.ndarray | None = None) -> None:
+        """AdaGrad on the logistic loss; ``pace``: each bin's part of the rate."""
+        pace = np.full(len(self.w), rate, np.float32) if pace is None else (rate * pace).astype(np.float32)
         rng = np.random.default_rng(11)
         kept = [p[p >= 0] for p in (self.place[x] for x in examples)]
         gb, gw, gv = 1e-6, np.full(len(self.w), 1e-6, np.float32), np.full(len(self.w), 1e-6, np.float32)
@@ -93,12 +99,12 @@ class FactorizationMachine:
                 g = _logistic(z) - y
                 if abs(g) < 0.01:
                     continue
-                step = g * VALUE + 1e-5 * self.w[x]
+                step = g * VALUE + SHRINK * self.w[x]
                 gw[x] += step * step
-                self.w[x] -= rate * step / np.sqrt(gw[x])
-                step = g * VALUE * VALUE * (s - v) + 1e-5 * v
+                self.w[x] -= pace[x] * step / np.sqrt(gw[x])
+                step = g * VALUE * VALUE * (s - v) + SHRINK * v
                 gv[x] += (step * step).mean(axis=1)
-                self.v[x] -= 0.2 * rate * step / np.sqrt(gv[x])[:, None]
+                self.v[x] -= 0.2 * step * (pace[x] / np.sqrt(gv[x]))[:, None]
                 gb += g * g
                 self.b -= rate * g / gb**0.5
 
@@ -135,8 +141,9 @@ def _logistic(z: float) -> float:
     return float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
 
 
-def strongest_bins(examples: list[np.ndarray], labels: np.ndarray, keep: int) -> np.ndarray:
-    """The bins whose presence deviates most from independence of the label."""
+def kept_bins(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bins that two examples share, and the part of the rate at which each
+    learns, by its deviation from independence of the label."""
     n, share = len(labels), labels.mean()
     every = np.concatenate(examples) if n else np.empty(0, np.int32)
     toxic = np.concatenate([x for x, y in zip(examples, labels) if y] or [np.empty(0, np.int32)])
@@ -144,9 +151,8 @@ def strongest_bins(examples: list[np.ndarray], labels: np.ndarray, keep: int) ->
     expected = df * share
     spread = np.sqrt(expected * (1 - share) * (1 - df / max(n, 1)) + 1e-9)
     z = np.abs(np.bincount(toxic, minlength=1 << BITS) - expected) / spread
-    z[df < 3] = 0
-    order = np.argsort(-z, kind="stable")[:keep]
-    return np.sort(order[z[order] > DEVIATION])
+    bins = np.flatnonzero(df >= 2)
+    return bins, np.where(z[bins] > DEVIATION, 1.0, PACE)
 
 
 def train(examples: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS) -> FactorizationMachine:
@@ -158,8 +164,9 @@ def train(examples: list[np.ndarray], labels: np.ndarray, factors: int = FACTORS
     late = np.arange(len(labels)) % 5 == 4
     early = ~late if labels[~late].any() else np.ones(len(labels), bool)
     first = [x for x, e in zip(examples, early) if e]
-    machine = FactorizationMachine(strongest_bins(first, labels[early], KEEP), factors)
-    machine.fit(first, labels[early], EPOCHS)
+    bins, pace = kept_bins(first, labels[early])
+    machine = FactorizationMachine(bins, factors)
+    machine.fit(first, labels[early], EPOCHS, pace=pace)
     machine.calibrate([x for x, e in zip(examples, late) if e], labels[late])
     return machine
 

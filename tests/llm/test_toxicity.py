@@ -45,6 +45,13 @@ def test_factors_carry_what_single_weights_miss():
     assert scores[0] < 0.8 < 0.95 < scores[1]
 
 
+def test_training_keeps_terms_that_are_neutral_alone():
+    """The same by train(): neither term has an association of its own."""
+    data, fresh = ([(t, int(("insult" in t) != ("group" in t))) for t, _ in pairs(n, s)] for n, s in ((4000, 3), (800, 4)))
+    machine = train([features(t) for t, _ in data], np.array([y for _, y in data]))
+    assert accuracy(machine, fresh) > 0.95
+
+
 def test_given_tables_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
