@@ -68,3 +68,78 @@ DECONTAMINATION = f"""WITH numbered AS (SELECT row_number() OVER () AS n, doc_id
 SELECT d.doc_id, j.n_words, j.n_hit, len(j.items)::BIGINT AS n_items,
        sha256(array_to_string(j.items, ',')) AS items_sha256, j.n_hit > 0 AS contaminated
 FROM numbered d JOIN judged j USING (n)"""
+
+
+#: The reversed polynomial of CRC-32.
+CRC_POLYNOMIAL = 0xEDB88320
+
+
+def crc32_sql(text: str, step: str = "t") -> str:
+    """Unsigned CRC-32 of a string's UTF-8 bytes, with the column ``entries``
+    of ``crc_table``, its list of 256 numbers, in scope."""
+    octets = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), 2 * i + 1, 2))::BIGINT)"
+    folded = (
+        f"list_reduce(list_prepend(4294967295::BIGINT, {octets}), "
+        f"lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]))"
+    )
+    return f"xor({folded}, 4294967295::BIGINT)"
+
+
+_bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, {p}) ELSE c >> 1 END"
+CRC_TABLE = f"""
+crc_steps(n, c, bit) AS (
+  SELECT n, n, 0 FROM range(256) r(n)
+  UNION ALL SELECT n, {_bit.format(p=CRC_POLYNOMIAL)}, bit + 1 FROM crc_steps WHERE bit < 8),
+crc_table AS (SELECT list(c ORDER BY n) AS entries FROM crc_steps WHERE bit = 8)"""
+
+
+def _leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({v})::VARCHAR || ':' || {v}, '-')" for v in values) + ")"
+
+
+def _climb(name: str, start: str) -> str:
+    """CTEs ``name`` (tree, level, pos, digest): the trees over ``start`` (tree,
+    pos, digest)."""
+    return f"""
+{name}(tree, level, pos, digest, n) AS (
+  SELECT tree, 0, pos, digest, count(*) OVER (PARTITION BY tree) FROM {start}
+  UNION ALL
+  SELECT tree, any_value(level) + 1, pos // 16, sha256(string_agg(digest, '' ORDER BY pos)), (any_value(n) + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY tree, pos // 16)"""
+
+
+def _paths(name: str, nodes: str, start: str, first: str) -> str:
+    """CTE ``name``: for every row of ``start`` (id, tree, pos, folded, proof)
+    what it is and has been hashed with, up to the tree's root."""
+    siblings = f"(SELECT string_agg(s.digest, '' ORDER BY s.pos) FROM {nodes} s WHERE s.tree = p.tree AND s.level = p.level AND s.pos // 16 = p.pos // 16 AND s.pos"
+    elder, younger = f"coalesce({siblings} < p.pos), '')", f"coalesce({siblings} > p.pos), '')"
+    return f"""
+{name}(id, tree, level, pos, folded, proof) AS (
+  SELECT id, tree, 0, pos, folded, {first} FROM {start}
+  UNION ALL
+  SELECT p.id, p.tree, p.level + 1, p.pos // 16, sha256({elder} || p.folded || {younger}), p.proof || {elder} || {younger}
+  FROM {name} p WHERE EXISTS (SELECT 1 FROM {nodes} u WHERE u.tree = p.tree AND u.level = p.level + 1))"""
+
+
+MERKLE = f"""WITH RECURSIVE {CRC_TABLE},
+leaf AS (
+  SELECT row_number() OVER () AS id, doc_id, coalesce('=' || source, '') AS tree, {_leaf('text')} AS digest,
+         CASE WHEN {crc32_sql('doc_id::VARCHAR')} % 5 = 0
+              THEN {_leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS tampered
+  FROM documents, crc_table),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM leaf),
+{_climb('nodes', 'placed')},
+sub AS (SELECT tree, digest AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos FROM nodes WHERE n = 1),
+groups AS (SELECT '' AS tree, pos, subroot AS digest FROM sub),
+{_climb('tops', 'groups')},
+start AS (SELECT id, tree, pos, coalesce(tampered, digest) AS folded FROM placed),
+{_paths('within', 'nodes', 'start', "''")},
+arrived AS (SELECT id, tree, folded, proof FROM within QUALIFY level = max(level) OVER (PARTITION BY id)),
+again AS (SELECT a.id, '' AS tree, s.pos, a.folded, a.proof FROM arrived a JOIN sub s USING (tree)),
+{_paths('across', 'tops', 'again', 'proof')},
+ended AS (SELECT id, folded, proof FROM across QUALIFY level = max(level) OVER (PARTITION BY id)),
+root AS (SELECT digest AS root FROM tops WHERE n = 1)
+SELECT p.doc_id, p.digest AS leaf, s.subroot, r.root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
+       e.folded = r.root AS verified
+FROM placed p JOIN sub s USING (tree) JOIN ended e USING (id) CROSS JOIN root r"""

@@ -3,11 +3,13 @@ DuckDB SQL where SQL expresses the result."""
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import katz_lm, oracle, permutation_index, toxicity
+from . import katz_lm, merkle, oracle, permutation_index, toxicity
 from .common import table
 from .decontamination import contamination
 from .html_text import extract
@@ -85,5 +87,28 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity)}
-SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION}
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = table(spark, sf_dir, "documents").select(*names)
+    text = F.translate("text", ascii_uppercase, ascii_lowercase)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        merkle.tree_of("source").alias("tree"),
+        F.col("doc_id").alias("key"),
+        merkle.leaf(*names).alias("digest"),
+        F.when(tampered, merkle.leaf(*names[:-1], text)).alias("tampered"),
+    )
+    found = merkle.build(leaves).proofs("tampered")
+    return found.select(
+        F.col("key").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity, op13_merkle_manifest)}
+SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION, "op13_merkle_manifest": oracle.MERKLE}
