@@ -143,3 +143,34 @@ root AS (SELECT digest AS root FROM tops WHERE n = 1)
 SELECT p.doc_id, p.digest AS leaf, s.subroot, r.root, sha256(e.proof) AS proof_sha256, e.folded AS folded_root,
        e.folded = r.root AS verified
 FROM placed p JOIN sub s USING (tree) JOIN ended e USING (id) CROSS JOIN root r"""
+
+
+SPELLING = f"""WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\u00C0-\u00FF]+')) AS run
+  FROM documents),
+hashed AS (
+  SELECT run, coalesce({crc32_sql("(doc_id::VARCHAR || ':' || run)")}, 1) AS h
+  FROM runs, crc_table WHERE length(run) >= 6),
+typed AS (
+  SELECT CASE WHEN h % 199 = 0
+              THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word
+  FROM hashed),
+words AS (SELECT word, count(*) AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+holes AS (
+  SELECT word, n, place, left(word, place) || substr(word, place + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS place FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b USING (place, rest) WHERE a.word != b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS best, max(n) AS best_n FROM near GROUP BY word),
+formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best_n >= 5 * n THEN best END AS form, CASE WHEN best_n >= 5 * n THEN best_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+walk(word, root, form) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL SELECT w.word, f.word, f.form FROM walk w JOIN formed f ON w.form = f.word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN (SELECT word, root FROM walk WHERE form IS NULL) USING (word)"""
