@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import katz_lm, merkle, oracle, permutation_index, spelling, toxicity
+from . import katz_lm, merkle, oracle, permutation_index, quality, spelling, toxicity
 from .common import table
 from .decontamination import contamination
 from .html_text import extract
@@ -87,6 +87,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.held_out("doc_id", 5, 0)
+    network = quality.fit(docs, table(spark, sf_dir, "labels").filter(~out))
+    scored = quality.score(docs, network)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.variants(spelling.corpus_words(docs))
@@ -115,5 +123,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity, op12_spelling_variants, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity, op11_quality, op12_spelling_variants, op13_merkle_manifest)}
 SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION, "op12_spelling_variants": oracle.SPELLING, "op13_merkle_manifest": oracle.MERKLE}
