@@ -1,286 +1,60 @@
-"""Gradient-boosted quantile regression on Spark ML trees.
+"""Quantile forecasters: one boosted forest per quantile on log counts (M2-M4,
+E13, E14, E16).
 
-TreeBoost for the pinball loss (Friedman 2001), built from public Spark ML
-pieces:
-
-* initial score = the alpha-quantile of the label;
-* each round fits one regression tree to the negative gradient
-  (``alpha`` where the residual is positive, ``alpha - 1`` elsewhere) with a
-  row sample and a feature sample per node (``RandomForestRegressor`` with
-  one tree, no bootstrap);
-* each leaf's value is the alpha-quantile of the residuals that land in it
-  (``percentile_approx``: a mergeable sketch, bounded memory per leaf, so
-  a leaf holding a third of the rows is still one small partial aggregate per
-  task);
-* score += learning_rate x leaf value, a literal array lookup.
-
-Lineage is cut with reliable ``checkpoint()`` into ``spark.checkpoint.dir``
-every ``checkpoint_interval`` rounds, so a lost executor never replays the
-whole boosting history.  Only leaf values (at most 2^max_depth per round) and
-the initial quantile reach the driver.
-
-Differences from the reference learner: depth-limited trees instead of
-63-leaf best-first growth, per-node rather than per-tree feature sampling,
-a -1 sentinel for missing lags (Spark trees reject NaN), and fewer rounds by
-default.
+``operators.boosting`` fits all forests of all forecasters together,
+``operators.forest`` scores them.  Missing lags stay missing (T13); the
+location is a category, whatever the number of locations.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+import datetime as dt
+from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..schemas import TARGET
-from ..session import checkpointed, ensure_checkpoint_dir, ship_code
+from . import boosting, forest
+from .boosting import BoostParams, Forest, Task  # noqa: F401
 from .features import CALENDAR_COLS, LAG_COLS
 
 QUANTILES = {"p10": 0.10, "p50": 0.50, "p90": 0.90}
 NUMERIC_FEATURES = ["hour_of_day", *CALENDAR_COLS, *LAG_COLS, "lag_mean_4w"]
-MISSING = -1.0
-
-
-@dataclass
-class BoostParams:
-    rounds: int = 20
-    learning_rate: float = 0.2
-    max_depth: int = 6
-    min_instances_per_node: int = 40
-    subsample: float = 0.9
-    colsample: float = 0.9
-    seed: int = 42
-    accuracy: int = 10_000
-    checkpoint_interval: int = 4
-
-
-class TreeArrays:
-    """A fitted regression tree as arrays over its nodes in pre-order, read
-    from the model's printed form.  Leaves come in the order of leaf ids."""
-
-    LINE = re.compile(r"^ *(If|Else|Predict:) ?(?:\(feature (\d+) (<=|>|in|not in) ([^)]*)\)|(.*))$")
-
-    def __init__(self, printed: str, values: list[float]):
-        feature, threshold, value, groups, right, open_ = [], [], [], [], [], []
-        leaves = 0
-        for line in printed.splitlines():
-            m = self.LINE.match(line)
-            if not m:
-                continue
-            if m[1] == "Else":
-                right[open_.pop()] = len(feature)  # the node that comes next
-                continue
-            right.append(0)
-            leaf, among = m[1] == "Predict:", m[3] in ("in", "not in")
-            if not leaf:
-                open_.append(len(feature))
-            feature.append(-1 if leaf else int(m[2]))
-            threshold.append(float(m[4]) if not leaf and not among else 0.0)
-            groups.append({int(float(c)) for c in m[4].strip("{}").split(",")} if among else None)
-            value.append(values[leaves] if leaf else 0.0)
-            leaves += leaf
-        self.feature, self.right = np.array(feature), np.array(right)
-        self.threshold, self.value = np.array(threshold), np.array(value)
-        self.depth = self._depth()
-        size = 1 + max((c for g in groups if g for c in g), default=0)
-        self.grouped = np.array([g is not None for g in groups])
-        self.member = np.zeros((len(groups), size + 1), bool)  # the last column: any other category
-        for i, g in enumerate(groups):
-            self.member[i, list(g or ())] = True
-
-    def _depth(self) -> int:
-        level, deepest = {0: 0}, 0
-        for i, f in enumerate(self.feature):
-            if f >= 0:
-                level[i + 1] = level[int(self.right[i])] = level[i] + 1
-                deepest = max(deepest, level[i] + 1)
-        return deepest
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        """Leaf values of the rows of a feature matrix."""
-        node = np.zeros(len(x), np.int64)
-        rows = np.arange(len(x))
-        for _ in range(self.depth):
-            f = self.feature[node]
-            v = x[rows, np.maximum(f, 0)]
-            left = v <= self.threshold[node]
-            if self.grouped.any():
-                last = self.member.shape[1] - 1
-                category = np.where((v >= 0) & (v < last), v, last).astype(np.int64)
-                left = np.where(self.grouped[node], self.member[node, category], left)
-            node = np.where(f < 0, node, np.where(left, node + 1, self.right[node]))
-        return self.value[node]
-
-
-@dataclass
-class QuantileBoostedModel:
-    alpha: float
-    init: float
-    learning_rate: float
-    trees: list[tuple[RandomForestRegressionModel, list[float]]] = field(default_factory=list)
-
-    def score_column(self, df: DataFrame, out_col: str, features_col: str = "features") -> DataFrame:
-        """Add the raw (log-scale) score of every row as ``out_col``: one
-        vectorised expression over all trees (a few kilobytes each), so
-        planning does not grow with the rounds."""
-        trees = [TreeArrays(tree.toDebugString, values) for tree, values in self.trees]
-        init, rate = self.init, self.learning_rate
-
-        @F.pandas_udf("double")
-        def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            for rows in batches:
-                x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, 1))
-                yield pd.Series(init + rate * sum((t.score(x) for t in trees), np.zeros(len(x))))
-
-        return df.withColumn(out_col, scored(vector_to_array(F.col(features_col))))
-
-
-class QuantileBoostedTrees:
-    """Estimator: ``QuantileBoostedTrees(alpha, params).fit(df) -> QuantileBoostedModel``."""
-
-    def __init__(self, alpha: float, params: BoostParams | None = None, max_bins: int = 32,
-                 features_col: str = "features", label_col: str = "label"):
-        self.alpha = alpha
-        self.params = params or BoostParams()
-        self.max_bins = max_bins
-        self.features_col = features_col
-        self.label_col = label_col
-
-    def _tree(self, round_: int) -> RandomForestRegressor:
-        p = self.params
-        return RandomForestRegressor(
-            numTrees=1,
-            bootstrap=False,
-            subsamplingRate=p.subsample,
-            featureSubsetStrategy=str(p.colsample),
-            maxDepth=p.max_depth,
-            minInstancesPerNode=p.min_instances_per_node,
-            maxBins=self.max_bins,
-            seed=p.seed + round_,
-            featuresCol="features",
-            labelCol="gradient",
-        )
-
-    def fit(self, df: DataFrame) -> QuantileBoostedModel:
-        """Fit on ``df`` (features, label).  Pass a checkpointed or persisted
-        frame: it is read once per round."""
-        p, a = self.params, self.alpha
-        ensure_checkpoint_dir(df.sparkSession)
-        data = df.select(
-            F.col(self.features_col).alias("features"), F.col(self.label_col).cast("double").alias("label")
-        )
-        init = data.agg(F.percentile_approx("label", a, p.accuracy)).first()[0]
-        if init is None:
-            raise ValueError("cannot fit a quantile model on an empty training set")
-        model = QuantileBoostedModel(alpha=a, init=float(init), learning_rate=p.learning_rate)
-        # ``data`` is already checkpointed by the caller; the starting score is
-        # a projection over it.
-        cur = data.withColumn("score", F.lit(float(init))).persist(StorageLevel.MEMORY_AND_DISK)
-        resid = F.col("label") - F.col("score")
-        prev = None
-        for r in range(p.rounds):
-            train = cur.withColumn("gradient", F.when(resid > 0, F.lit(a)).otherwise(F.lit(a - 1.0)))
-            tree = self._tree(r).fit(train)
-            # The fit has materialised ``cur``; the frame it was derived from
-            # can go now (releasing it earlier would force a recomputation).
-            if prev is not None:
-                prev.unpersist()
-            leafed = (
-                tree.copy()
-                .setPredictionCol("")
-                .setLeafCol("leaf")
-                .transform(cur)
-                .withColumn("leaf_id", vector_to_array("leaf")[0].cast("int"))
-                .drop("leaf")
-            )
-            got = leafed.groupBy("leaf_id").agg(F.percentile_approx(resid, a, p.accuracy).alias("v")).collect()
-            n_leaves = (tree.trees[0].numNodes + 1) // 2
-            values = [0.0] * max(n_leaves, max((g["leaf_id"] for g in got), default=-1) + 1)
-            for g in got:
-                values[g["leaf_id"]] = float(g["v"])
-            model.trees.append((tree, values))
-            lookup = F.array(*[F.lit(v) for v in values])
-            nxt = leafed.select(
-                "features",
-                "label",
-                (F.col("score") + F.lit(p.learning_rate) * F.element_at(lookup, F.col("leaf_id") + 1)).alias("score"),
-            )
-            if (r + 1) % p.checkpoint_interval == 0:
-                nxt = checkpointed(nxt)
-            else:
-                nxt = nxt.persist(StorageLevel.MEMORY_AND_DISK)
-            prev, cur = cur, nxt
-        if prev is not None:
-            prev.unpersist()
-        cur.unpersist()
-        return model
-
-
-# ---------------------------------------------------------------- feature assembly and model set
 
 
 @dataclass
 class QuantileForecaster:
-    """Location indexer + quantile models, keyed by output column (M3)."""
+    """Forests keyed by output column (M3)."""
 
-    indexer: StringIndexerModel
-    models: dict[str, QuantileBoostedModel]
+    models: dict[str, Forest]
 
 
-def fit_indexer(obs: DataFrame) -> StringIndexerModel:
-    """Location ids as a nominal feature; unseen ids map to an extra bucket.
+def category() -> Column:
+    """The location as a category; a null one is a location of its own."""
+    return F.coalesce(F.col("location_id").cast("long"), F.lit(-(2**63)))
 
-    The label list is one entry per location (collected by Spark ML)."""
-    return StringIndexer(
-        inputCol="location_id", outputCol="_location_idx", stringOrderType="alphabetAsc", handleInvalid="keep"
-    ).fit(obs.select("location_id"))
 
-
-def assemble(df: DataFrame, indexer: StringIndexerModel) -> DataFrame:
-    """Feature vector: nominal location + numeric features, nulls -> sentinel."""
-    filled = df.select(
-        "*", *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"_f_{c}") for c in NUMERIC_FEATURES]
-    )
-    idx = indexer.transform(filled)
-    vec = VectorAssembler(inputCols=["_location_idx", *[f"_f_{c}" for c in NUMERIC_FEATURES]], outputCol="features")
-    return vec.transform(idx).drop("_location_idx", *[f"_f_{c}" for c in NUMERIC_FEATURES])
-
-
-def labelled(train: DataFrame, indexer: StringIndexerModel) -> DataFrame:
-    """Training rows as (sensing_date, features, label = log1p(target)),
-    materialised once; folds filter them by date."""
-    rows = assemble(train, indexer)
-    return checkpointed(rows.select("sensing_date", "features", F.log1p(F.col(TARGET).cast("double")).alias("label")))
+def labelled(train: DataFrame) -> DataFrame:
+    """Training rows: sensing_date, category, features, label = log1p(target)."""
+    features = [F.col(c).cast("double").alias(c) for c in NUMERIC_FEATURES]
+    label = F.log1p(F.col(TARGET).cast("double")).alias("label")
+    return train.select("sensing_date", category().alias("category"), *features, label)
 
 
 def fit_all(
     data: DataFrame,
-    indexer: StringIndexerModel,
+    last_days: list[dt.date],
     params: BoostParams | None = None,
     quantiles: dict[str, float] = QUANTILES,
-) -> QuantileForecaster:
-    """Fit one model per quantile on ``labelled`` rows.
-
-    The fits are independent Spark jobs, submitted from driver threads so the
-    cluster schedules them side by side.
-    """
-    max_bins = max(32, len(indexer.labels) + 1)
-
-    def one(item):
-        name, alpha = item
-        return name, QuantileBoostedTrees(alpha, params, max_bins=max_bins).fit(data)
-
-    with ThreadPoolExecutor(max_workers=len(quantiles)) as pool:
-        return QuantileForecaster(indexer, dict(pool.map(one, quantiles.items())))
+) -> dict[dt.date, QuantileForecaster]:
+    """One forecaster per last day of training, from ``labelled`` rows, all
+    fitted in one pass (M3, E13)."""
+    days = sorted(set(last_days), reverse=True)
+    tasks = [Task(alpha, fold) for fold in range(len(days)) for alpha in quantiles.values()]
+    rows = data.withColumn("fold", boosting.folds_of(F.col("sensing_date"), days)).filter("fold > 0")
+    forests = iter(boosting.fit(rows, NUMERIC_FEATURES, tasks, params or BoostParams()))
+    return {day: QuantileForecaster({name: next(forests) for name in quantiles}) for day in days}
 
 
 def uncrossed(cols: list[Column]) -> list[Column]:
@@ -296,12 +70,16 @@ def bands(raw: dict[str, Column]) -> list[Column]:
     return [c.alias(n) for c, n in zip(uncrossed(counts), raw, strict=True)]
 
 
+def raw_scores(frame: DataFrame, forests: dict[str, Forest], features: list[str] = NUMERIC_FEATURES) -> DataFrame:
+    """``frame`` with ``_raw_<name>``, the score by each forest."""
+    packed = frame.withColumns({"_x": F.array(*[F.col(c).cast("double") for c in features]), "_category": category()})
+    raw = {f"_raw_{n}": forest.scored(f, F.col("_x"), F.col("_category")) for n, f in forests.items()}
+    return packed.withColumns(raw).drop("_x", "_category")
+
+
 def predict(fc: QuantileForecaster, frame: DataFrame) -> DataFrame:
     """Frame + p10/p50/p90 on the count scale: expm1, clipped at 0, sorted
     row-wise so the band never crosses (M4, E13, E14, E16)."""
-    ship_code(frame.sparkSession)
-    out = assemble(frame, fc.indexer)
     names = sorted(fc.models, key=lambda n: fc.models[n].alpha)
-    for name in names:
-        out = fc.models[name].score_column(out, f"_raw_{name}")
+    out = raw_scores(frame, {n: fc.models[n] for n in names})
     return out.select(*frame.columns, *bands({n: F.col(f"_raw_{n}") for n in names}))

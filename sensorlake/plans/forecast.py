@@ -2,14 +2,13 @@
 
 The anchor is one scalar (collected), because every fold filters its
 training rows on a literal cutoff.  Features are computed once and
-checkpointed; each fold is then a few Spark ML jobs submitted from the
-driver, and all folds are scored together in one aggregate.
+checkpointed; the models of all folds, and those of the forecast, are fitted
+in one pass, and all folds are scored together in one aggregate.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -30,41 +29,42 @@ class ForecastResult:
     anchor: dt.date
 
 
-def model_backtest(
-    feat: DataFrame,
-    anchor: dt.date,
-    folds: int,
-    indexer,
-    params: qt.BoostParams | None = None,
-    rows: DataFrame | None = None,
-) -> DataFrame:
-    """Metrics of the quantile models and the seasonal-naive baseline on the
-    same test rows, per fold and overall (M6).  All folds train on date ranges
-    of one materialised set of rows (``labelled``) and are fitted side by side."""
-    rows = qt.labelled(bt.trainable(feat), indexer) if rows is None else rows
-    cutoffs = {k: anchor - dt.timedelta(days=7 * k) for k in range(1, folds + 1)}
-    first = rows.agg(F.min("sensing_date")).first()[0]
-    if first is None or first > cutoffs[folds]:
-        raise ValueError(f"fold {folds} (cutoff {cutoffs[folds]}) has no training rows; use fewer folds")
-    with ThreadPoolExecutor(max_workers=folds) as pool:
-        models = dict(
-            pool.map(
-                lambda k: (k, qt.fit_all(rows.filter(F.col("sensing_date") <= F.lit(cutoffs[k])), indexer, params)), cutoffs
-            )
-        )
+def cutoffs(anchor: dt.date, folds: int) -> dict[int, dt.date]:
+    return {k: anchor - dt.timedelta(days=7 * k) for k in range(1, folds + 1)}
+
+
+def require_rows(train: DataFrame, anchor: dt.date, folds: int) -> None:
+    """Refuse folds that end before the first training row."""
+    first = train.agg(F.min("sensing_date")).first()[0]
+    last = anchor - dt.timedelta(days=7 * folds)
+    if first is None or first > last:
+        raise ValueError(f"fold {folds} (cutoff {last}) has no training rows; use fewer folds")
+
+
+def score_folds(feat: DataFrame, anchor: dt.date, folds: int, models: dict[dt.date, qt.QuantileForecaster]) -> DataFrame:
+    """Metrics of fitted models and the seasonal-naive baseline on the same
+    test rows, per fold and overall."""
     a = F.lit(anchor)
     tests = bt.test_rows(feat, a, folds)
-    scored = [qt.predict(models[k], tests.filter(F.col("fold") == k)) for k in cutoffs]
+    scored = [qt.predict(models[day], tests.filter(F.col("fold") == k)) for k, day in cutoffs(anchor, folds).items()]
     return bt.score(reduce(DataFrame.unionByName, scored), a, folds, with_model=True)
 
 
-def prepare(obs: DataFrame, lag_method: str = "auto"):
+def model_backtest(feat: DataFrame, anchor: dt.date, folds: int, params: qt.BoostParams | None = None) -> DataFrame:
+    """Rolling-origin backtest: every fold trains on rows up to its cutoff (M6)."""
+    train = bt.trainable(feat)
+    require_rows(train, anchor, folds)
+    models = qt.fit_all(qt.labelled(train), list(cutoffs(anchor, folds).values()), params)
+    return score_folds(feat, anchor, folds, models)
+
+
+def prepare(obs: DataFrame, lag_method: str = "auto", holiday_dates: DataFrame | None = None):
     """Checkpointed observations, anchor (one scalar), checkpointed feature
-    frame, location indexer and the resolved lag method.
+    frame and the resolved lag method.
 
-    The observations feed several reads (anchor, lag branches, indexer,
-    active locations, future lags), so they are
-    materialised once instead of re-deriving them from their source each time.
+    The observations feed several reads (anchor, lag branches, active
+    locations, future lags), so they are materialised once instead of
+    re-deriving them from their source each time.
     """
     obs = checkpointed(obs)
     anchor = anc.anchor_date(obs).first()[0]
@@ -74,44 +74,35 @@ def prepare(obs: DataFrame, lag_method: str = "auto"):
         # Build with the one-shuffle method and read the duplicate flag back
         # from the checkpointed result (a scan that stops at the first hit);
         # only a non-unique grain pays for the join method.
-        feat = checkpointed(ft.featurize(obs, obs, lag_method="shift", dup_flag=True))
+        feat = checkpointed(ft.featurize(obs, obs, holiday_dates, lag_method="shift", dup_flag=True))
         if feat.filter(F.col("_dup")).limit(1).collect():
             lag_method = "join"
-            feat = checkpointed(ft.featurize(obs, obs, lag_method="join"))
+            feat = checkpointed(ft.featurize(obs, obs, holiday_dates, lag_method="join"))
         else:
             lag_method = "shift"
             feat = feat.drop("_dup")
     else:
-        feat = checkpointed(ft.featurize(obs, obs, lag_method=lag_method))
-    return obs, anchor, feat, qt.fit_indexer(obs), lag_method
+        feat = checkpointed(ft.featurize(obs, obs, holiday_dates, lag_method=lag_method))
+    return obs, anchor, feat, lag_method
 
 
 def backtest_only(obs: DataFrame, folds: int = 4, params: qt.BoostParams | None = None,
-                  lag_method: str = "auto") -> DataFrame:
+                  lag_method: str = "auto", holiday_dates: DataFrame | None = None) -> DataFrame:
     """Backtest metrics without the final fit (M6)."""
-    _, anchor, feat, indexer, _ = prepare(obs, lag_method)
-    return model_backtest(feat, anchor, folds, indexer, params)
+    _, anchor, feat, _ = prepare(obs, lag_method, holiday_dates)
+    return model_backtest(feat, anchor, folds, params)
 
 
-def forecast(
-    obs: DataFrame,
-    horizon_days: int = 7,
-    folds: int = 4,
-    params: qt.BoostParams | None = None,
-    lag_method: str = "auto",
-    generated_at: dt.datetime | None = None,
-) -> ForecastResult:
-    """Backtest, fit on history through the anchor, forecast ``horizon_days``
-    per active location and hour (M7).  Returns lazily defined marts whose
-    models are already fitted."""
-    obs, anchor, feat, indexer, lag_method = prepare(obs, lag_method)
-    rows = qt.labelled(bt.trainable(feat), indexer)
-    metrics = model_backtest(feat, anchor, folds, indexer, params, rows) if folds > 0 else None
-    models = qt.fit_all(rows.filter(F.col("sensing_date") <= F.lit(anchor)), indexer, params)
-    future = ft.future_frame(obs, F.lit(anchor), horizon_days, lag_method=lag_method)
-    future = future.filter(F.col("lag_mean_4w").isNotNull())
+def forecastable(future: DataFrame) -> DataFrame:
+    """Horizon rows with at least one weekly lag."""
+    return future.filter(F.col("lag_mean_4w").isNotNull())
+
+
+def forecast_mart(scored: DataFrame, anchor: dt.date, generated_at: dt.datetime | None = None) -> DataFrame:
+    """Horizon rows with bands in the mart's columns, stamped with the anchor
+    and the time of the run (M7, E10)."""
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()
-    fc = qt.predict(models, future).select(
+    return scored.select(
         F.col("location_id").cast("int").alias("location_id"),
         "sensing_date",
         "hour_of_day",
@@ -121,4 +112,26 @@ def forecast(
         F.lit(anchor).alias("anchor_date"),
         stamp.alias("generated_at"),
     )
-    return ForecastResult(fc, metrics, anchor)
+
+
+def forecast(
+    obs: DataFrame,
+    horizon_days: int = 7,
+    folds: int = 4,
+    params: qt.BoostParams | None = None,
+    lag_method: str = "auto",
+    generated_at: dt.datetime | None = None,
+    holiday_dates: DataFrame | None = None,
+) -> ForecastResult:
+    """Backtest, fit on history through the anchor, forecast ``horizon_days``
+    per active location and hour (M7).  The models of the folds and of the
+    forecast are fitted together; the marts are lazily defined.  A caller's
+    ``holiday_dates`` (column ``holiday_date``) replace the generated ones."""
+    obs, anchor, feat, lag_method = prepare(obs, lag_method, holiday_dates)
+    train = bt.trainable(feat)
+    if folds > 0:
+        require_rows(train, anchor, folds)
+    models = qt.fit_all(qt.labelled(train), [anchor, *cutoffs(anchor, folds).values()], params)
+    metrics = score_folds(feat, anchor, folds, models) if folds > 0 else None
+    future = forecastable(ft.future_frame(obs, F.lit(anchor), horizon_days, holiday_dates, lag_method))
+    return ForecastResult(forecast_mart(qt.predict(models[anchor], future), anchor, generated_at), metrics, anchor)
