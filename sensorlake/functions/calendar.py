@@ -67,9 +67,11 @@ def trailing(df: DataFrame, date_col: str, anchor: Column, days: int) -> DataFra
 
 # ---------------------------------------------------------------- holidays (M9)
 #
-# The Friday before the football grand final has no rule; it is
-# announced each year.  Dates as published by the state government.  Easter
-# Sunday is a public holiday from 2016 on.
+# The Friday before the football grand final, as announced by the
+# state government each year.  In later years it is taken to be the Friday
+# before the last Saturday of September, the day of all listed finals but those
+# of 2015, 2016 and 2020; a caller with an announced date passes a calendar of
+# their own.  Easter Sunday is a public holiday from 2016 on.
 GRAND_FINAL_EVE = {
     2015: "2015-10-02",
     2016: "2016-09-30",
@@ -86,8 +88,9 @@ GRAND_FINAL_EVE = {
 
 #: Public holidays declared once.
 ONE_OFF = {"National Day of Mourning": "2022-09-22"}
-#: Years for which the holidays are complete; later finals are not announced.
-LAST_YEAR = max(GRAND_FINAL_EVE)
+#: The last year of the generated calendar, and the last announced final.
+LAST_YEAR = 2199
+LAST_FINAL = max(GRAND_FINAL_EVE)
 
 
 def _nth_weekday(year: Column, month: int, weekday0: int, n: int) -> Column:
@@ -123,16 +126,23 @@ def _weekend_to_monday(d: Column) -> Column:
     return F.when(wd == 5, F.date_add(d, 2)).when(wd == 6, F.date_add(d, 1))
 
 
+def _grand_final_eve(y: Column) -> Column:
+    """Announced date, or by the rule in the years after the last of them."""
+    announced = F.create_map(*[x for yr, d in GRAND_FINAL_EVE.items() for x in (F.lit(yr), F.lit(d).cast("date"))])
+    end = F.make_date(y, F.lit(9), F.lit(30))
+    rule = F.date_sub(end, (F.weekday(end) + 2) % 7 + 1)
+    return F.when(y > LAST_FINAL, rule).otherwise(F.element_at(announced, y))
+
+
 def _holiday_entries(y: Column) -> list[tuple[str, Column]]:
     """(name, date) of every rule for year column ``y``; a date is null when
-    the rule does not apply that year (weekday substitutes, unknown final)."""
+    the rule does not apply that year (weekday substitutes)."""
     y = y.cast("int")
     jan1 = F.make_date(y, F.lit(1), F.lit(1))
     jan26 = F.make_date(y, F.lit(1), F.lit(26))
     easter = _easter_sunday(y)
     dec25 = F.make_date(y, F.lit(12), F.lit(25))
     dec26 = F.make_date(y, F.lit(12), F.lit(26))
-    gf_map = F.create_map(*[x for yr, d in GRAND_FINAL_EVE.items() for x in (F.lit(yr), F.lit(d).cast("date"))])
     # Christmas / Boxing Day on a weekend: substitute on the second day after.
     xmas_sub = F.when(F.weekday(dec25) >= 5, F.date_add(dec25, 2))
     boxing_sub = F.when(F.weekday(dec26) >= 5, F.date_add(dec26, 2))
@@ -148,7 +158,7 @@ def _holiday_entries(y: Column) -> list[tuple[str, Column]]:
         ("Easter Monday", F.date_add(easter, 1)),
         ("ANZAC Day", F.make_date(y, F.lit(4), F.lit(25))),
         ("King's Birthday", _nth_weekday(y, 6, 0, 2)),
-        ("Friday before the AFL Grand Final", F.element_at(gf_map, y)),
+        ("Friday before the AFL Grand Final", _grand_final_eve(y)),
         *[(n, F.when(y == int(d[:4]), F.lit(d).cast("date"))) for n, d in ONE_OFF.items()],
         ("Melbourne Cup Day", _nth_weekday(y, 11, 1, 1)),
         ("Christmas Day", dec25),

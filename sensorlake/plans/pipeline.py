@@ -61,6 +61,7 @@ def run_pipeline(
     horizon_days: int = 7,
     params: BoostParams | None = None,
     run_forecast: bool = True,
+    holiday_dates: DataFrame | None = None,
 ) -> PipelineResult:
     """Refresh the landing tables under ``root/raw``, rebuild and test the
     warehouse, export the marts to ``root/marts`` and write the forecast marts.
@@ -83,7 +84,8 @@ def run_pipeline(
     exported = export.export_marts(spark, tables, marts_dir)
     anchor = None
     if run_forecast:
-        res = forecast(readers.observations(wh.fct_hourly_counts), horizon_days, folds, params)
+        obs = readers.observations(wh.fct_hourly_counts)
+        res = forecast(obs, horizon_days, folds, params, holiday_dates=holiday_dates)
         anchor = res.anchor
         extra = {"mart_forecast": res.forecast}
         if res.metrics is not None:

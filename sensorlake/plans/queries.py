@@ -23,7 +23,9 @@ from ..operators import forecast_reports as fr
 from ..operators import marts, staging
 from ..operators import quality as dq
 from ..operators import reports as rp
-from ..operators.quantile import bands
+from ..operators.boosting import Forest
+from ..operators.forest import CATEGORY, LEAF
+from ..operators.quantile import bands, raw_scores
 from ..schemas import TARGET
 from ..sources import export as ex
 from ..sources import fixtures as fx
@@ -31,7 +33,7 @@ from ..sources import fs
 from ..sources import readers as rd
 from ..sources import refresh as rf
 from ..streaming import landing as ls
-from .forecast import backtest_only
+from .forecast import backtest_only, forecast_mart, forecastable
 from .forecast import forecast as run_forecast
 from .warehouse import build_warehouse
 
@@ -363,6 +365,15 @@ def q_future(spark, sf):
     return rounded(ft.future_frame(obs, anc.anchor_literal(obs), lag_method="shift"))
 
 
+@query("future_frame_2026")
+def q_future_2026(spark, sf):
+    """F1 moved to end on 2025-12-28: the horizon's holidays are next year's."""
+    obs = obs_f1(spark, sf)
+    late = F.datediff(F.lit("2025-12-28").cast("date"), obs.agg(F.max("sensing_date")).scalar())
+    obs = obs.withColumn("sensing_date", F.date_add("sensing_date", late))
+    return rounded(ft.future_frame(obs, anc.anchor_literal(obs), lag_method="shift"))
+
+
 @query("naive_backtest")
 def q_naive(spark, sf):
     obs = obs_f1(spark, sf)
@@ -386,17 +397,14 @@ def naive_forecast_mart(obs, anchor, horizon_days=7):
     forecast (p50 = lag_7d, or the four-week lag mean when that week is
     missing; band = min/max of the weekly lags) for the future frame, in the
     mart's columns."""
-    fut = ft.future_frame(obs, anchor, horizon_days, lag_method="shift").filter(F.col("lag_mean_4w").isNotNull())
+    fut = forecastable(ft.future_frame(obs, anchor, horizon_days, lag_method="shift"))
     lags = [F.col(c) for c in ft.LAG_COLS]
-    return fut.select(
-        F.col("location_id").cast("int").alias("location_id"),
-        "sensing_date",
-        "hour_of_day",
-        F.least(*lags).cast("double").alias("p10"),
-        F.coalesce(F.col("lag_7d"), F.col("lag_mean_4w")).cast("double").alias("p50"),
-        F.greatest(*lags).cast("double").alias("p90"),
-        anchor.alias("anchor_date"),
-    )
+    band = {
+        "p10": F.least(*lags).cast("double"),
+        "p50": F.coalesce(F.col("lag_7d"), F.col("lag_mean_4w")).cast("double"),
+        "p90": F.greatest(*lags).cast("double"),
+    }
+    return forecast_mart(fut.withColumns(band), anchor)
 
 
 def forecast_setup(spark, sf, today_offset=1):
@@ -407,7 +415,7 @@ def forecast_setup(spark, sf, today_offset=1):
     wh = wh_f1(spark, sf, materialize=True)
     daily, a = daily_at_anchor(wh)
     obs = rd.observations(wh.fct_hourly_counts)  # a projection of the materialised staging
-    fc = naive_forecast_mart(obs, anc.anchor_literal(obs))
+    fc = naive_forecast_mart(obs, anc.anchor_literal(obs)).drop("generated_at")
     return daily, fc, a, F.date_add(a, today_offset)
 
 
@@ -505,7 +513,7 @@ def q_fc_readback(spark, sf):
     """Forecast and metrics marts written (S13) and read back with ``ts``."""
     obs = obs_f1(spark, sf)
     a = anc.anchor_literal(obs)
-    fc = naive_forecast_mart(obs, a)
+    fc = naive_forecast_mart(obs, a).drop("generated_at")
     metrics = bt.naive_backtest(ft.featurize(obs, obs, lag_method="shift"), a, folds=4)
     d = fs.scratch_dir(spark, "fc-marts")
     ex.export_marts(spark, {"mart_forecast": fc, "mart_forecast_metrics": metrics}, d)
@@ -573,6 +581,56 @@ def q_band_scores(spark, sf):
     return rounded(feat.select("location_id", "sensing_date", "hour_of_day", *bands(raw)))
 
 
+#: Two trees with a category, missing values on either side, and a flag.
+FIXED_FOREST = Forest(0.5, 1.0, [
+    {
+        "feature": [9, CATEGORY, LEAF, LEAF, 0, LEAF, LEAF],
+        "cut": [30.0, 0.0, 0.0, 0.0, 11.0, 0.0, 0.0],
+        "missing_left": [False] * 7,
+        "left_set": [[], [1, 3, 4], [], [], [], [], []],
+        "right": [4, 3, 0, 0, 6, 0, 0],
+        "value": [0.0, 0.0, 0.5, 0.25, 0.0, -0.75, 1.5],
+        "depth": 2,
+    },
+    {
+        "feature": [5, LEAF, 2, LEAF, LEAF],
+        "cut": [10.0, 0.0, 0.0, 0.0, 0.0],
+        "missing_left": [True, False, False, False, False],
+        "left_set": [[]] * 5,
+        "right": [2, 0, 4, 0, 0],
+        "value": [0.0, 0.125, 0.0, -0.5, 2.0],
+        "depth": 2,
+    },
+])
+
+
+@query("forest_scores")
+def q_forest_scores(spark, sf):
+    """Scores of a fixed forest on all rows of F2d, missing lags included (M4)."""
+    obs = obs_f2d(spark, sf)
+    scored = raw_scores(ft.featurize(obs, obs, lag_method="shift"), {"p50": FIXED_FOREST})
+    return rounded(scored.select("location_id", "sensing_date", "hour_of_day", F.col("_raw_p50").alias("score")))
+
+
+@query("local_dates")
+def q_local_dates(spark, sf):
+    """Events by their date in a named zone."""
+    events = fx.table(spark, sf, "events").select("ts", cal.local_date("ts", "Australia/Melbourne").alias("local_date"))
+    return events.groupBy("local_date").agg(F.count("*").alias("events"), F.max(F.to_date("ts")).alias("last_utc_date"))
+
+
+@query("forecast_stamp")
+def q_forecast_stamp(spark, sf):
+    """Forecastable rows per location, stamped with the run's time."""
+    obs = obs_f1(spark, sf)
+    fc = naive_forecast_mart(obs, anc.anchor_literal(obs))
+    at = F.max("generated_at")
+    fresh = (at <= F.current_timestamp()) & (at > F.current_timestamp() - F.expr("INTERVAL 1 DAY"))
+    return fc.groupBy("location_id", "anchor_date").agg(
+        F.count("*").alias("rows"), (F.min("generated_at") == at).alias("one_stamp"), fresh.alias("stamped_today")
+    )
+
+
 @query("band_backtest")
 def q_band_backtest(spark, sf):
     """Scores of a fixed band and of the baseline."""
@@ -586,11 +644,9 @@ def q_compare_band(spark, sf):
 
 @query("forecast_labels")
 def q_forecast_labels(spark, sf):
-    """Labels of the fixed band's scores and of a coverage taken from the suppliers."""
-    n, have = F.count("*"), F.count_if(F.col("s_acctbal") >= 0)
-    coverage = fx.table(spark, sf, "supplier").agg(
-        have.alias("forecast_locations"), n.alias("active_locations"), (have / n).alias("row_coverage")
-    )
+    """Labels of F2d's fixed band and of F1's forecast coverage."""
+    daily, fc, a, today = forecast_setup(spark, sf, today_offset=2)
+    coverage = fr.forecast_coverage(daily, fc, a, today)
     return fr.forecast_labels(fr.compare_methods(band_test(spark, sf)), coverage)
 
 

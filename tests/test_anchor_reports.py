@@ -83,3 +83,15 @@ def test_labels(spark):
                   labels.html_escape(F.col("s")).alias("s")).first()
     assert (r.a, r.b, r.c, r.p, r.n, r.t) == ("1.2M", "12K", "812", "-3.2%", None, "12,346")  # ties to even
     assert r.s == "a&lt;b&quot;c&#x27;&amp;"
+
+
+def test_today_in_a_zone(spark):
+    import datetime as dt
+    from zoneinfo import ZoneInfo
+
+    from sensorlake.operators.forecast_reports import local_today
+
+    zone = "Pacific/Kiritimati"
+    before = dt.datetime.now(ZoneInfo(zone)).date()
+    got = spark.range(1).select(local_today(zone)).first()[0]
+    assert before <= got <= dt.datetime.now(ZoneInfo(zone)).date()

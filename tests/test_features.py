@@ -91,3 +91,32 @@ def test_future_frame_join_and_shift_agree_with_bounded_history(spark):
     assert j == s and len(j) == 2 * 7 * 24
     # every horizon row with history 7 days back got its lag
     assert all(r[3] is not None for r in s if r[2] in (0, 7))
+
+
+# Public holidays of the state, as published, 2015 to 2027, by
+# rule: weekday substitutes included; finals after 2025 by the last-Saturday rule.
+PUBLISHED = {
+    "Good Friday": "2015-04-03 2016-03-25 2017-04-14 2018-03-30 2019-04-19 2020-04-10 2021-04-02 2022-04-15 2023-04-07 2024-03-29 2025-04-18 2026-04-03 2027-03-26",
+    "Labour Day": "2015-03-09 2016-03-14 2017-03-13 2018-03-12 2019-03-11 2020-03-09 2021-03-08 2022-03-14 2023-03-13 2024-03-11 2025-03-10 2026-03-09 2027-03-08",
+    "King's Birthday": "2015-06-08 2016-06-13 2017-06-12 2018-06-11 2019-06-10 2020-06-08 2021-06-14 2022-06-13 2023-06-12 2024-06-10 2025-06-09 2026-06-08 2027-06-14",
+    "Melbourne Cup Day": "2015-11-03 2016-11-01 2017-11-07 2018-11-06 2019-11-05 2020-11-03 2021-11-02 2022-11-01 2023-11-07 2024-11-05 2025-11-04 2026-11-03 2027-11-02",
+    "Friday before the AFL Grand Final": "2015-10-02 2016-09-30 2017-09-29 2018-09-28 2019-09-27 2020-10-23 2021-09-24 2022-09-23 2023-09-29 2024-09-27 2025-09-26 2026-09-25 2027-09-24",
+    "New Year's Day (observed)": "2017-01-02 2022-01-03 2023-01-02",
+    "Australia Day (observed)": "2019-01-28 2020-01-27 2025-01-27",
+    "Christmas Day (observed)": "2016-12-27 2021-12-27 2022-12-27 2027-12-27",
+    "Boxing Day (observed)": "2015-12-28 2020-12-28 2021-12-28 2026-12-28 2027-12-28",
+}
+
+
+def test_holidays_as_published(spark):
+    got = {}
+    for r in cal.holidays(spark, years(spark, *range(2015, 2028))).collect():
+        got.setdefault(r.holiday_name, []).append(str(r.holiday_date))
+    assert {n: sorted(got[n]) for n in PUBLISHED} == {n: d.split() for n, d in PUBLISHED.items()}
+
+
+def test_horizon_into_years_without_announced_finals(spark):
+    df = spark.createDataFrame([(D("2026-01-01"),), (D("2026-09-25"),), (D("2030-09-27"),), (D("2026-01-02"),)], "sensing_date date")
+    assert [r.is_holiday for r in ft.add_calendar(df).orderBy("sensing_date").collect()] == [1, 0, 1, 1]
+    own = spark.createDataFrame([(D("2026-01-02"),)], "holiday_date date")
+    assert [r.is_holiday for r in ft.add_calendar(df, own).orderBy("sensing_date").collect()] == [0, 1, 0, 0]

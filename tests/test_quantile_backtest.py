@@ -6,7 +6,7 @@ from conftest import D
 from sensorlake.operators import backtest as bt
 from sensorlake.operators import features as ft
 from sensorlake.operators import quantile as qt
-from sensorlake.plans.forecast import forecast, model_backtest
+from sensorlake.plans.forecast import forecast, model_backtest, prepare
 
 
 @pytest.fixture(scope="module")
@@ -74,10 +74,19 @@ def test_empty_fold_raises(spark, obs):
 
 
 def test_prepare_detects_duplicate_grain_from_the_features(spark, obs):
-    from sensorlake.plans.forecast import prepare
-
     _, _, feat, method = prepare(obs)
     assert method == "shift" and "_dup" not in feat.columns
     dup = obs.unionByName(obs.limit(1))
     _, _, feat2, method2 = prepare(dup)
     assert method2 == "join" and feat2.count() == feat.count() + 1 + 4   # T6: the join multiplies rows
+
+
+def test_forecast_into_2026_and_own_calendar(spark, obs):
+    """The horizon crosses the year's end; a caller's calendar reaches the features."""
+    late = obs.withColumn("sensing_date", F.date_add("sensing_date", 685))   # ends 2025-12-27
+    res = forecast(late, folds=0, params=qt.BoostParams(rounds=2, leaves=4))
+    assert res.anchor == D("2025-12-27") and res.metrics is None
+    assert res.forecast.filter("sensing_date >= '2026-01-01'").count() == 3 * 3 * 24
+    own = spark.createDataFrame([(D("2025-12-20"),)], "holiday_date date")
+    _, _, feat, _ = prepare(late, holiday_dates=own)
+    assert [str(r[0]) for r in feat.filter("is_holiday = 1").select("sensing_date").distinct().collect()] == ["2025-12-20"]
