@@ -56,7 +56,7 @@ START, END = np.uint64(0x5354415254), np.uint64(0x454E44)
 CHUNK = 1_000_000
 #: Passes over the texts in scoring, each for a part of the cells: the pairs
 #: in flight take that part of the disk.
-PASSES = 2
+PASSES = 3
 #: Tokens per cell, on average.
 PER_CELL = 2_000_000
 
@@ -150,7 +150,7 @@ def _send_counts(cells: int):
                     "pair": pair[b[c] : b[c + 1]].tobytes(),
                     "pairs": pairs[b[c] : b[c + 1]].astype(np.uint32).tobytes(),
                 }
-                for c in range(cells)
+                for c in np.flatnonzero((np.diff(a) > 0) | (np.diff(b) > 0))
             ]
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
             del rows, word, words, pair, pairs, chunk
@@ -195,9 +195,7 @@ def count(docs: DataFrame, cells: int) -> Counts:
 
 # --- scoring ----------------------------------------------------------------
 
-_BLOBS = ("word", "pairs", "u_high", "u_low", "places", "doc", "times", "key", "out")
-#: Contexts go by the low 48 bits of their word's id.
-_CONTEXT = np.uint64(2**48 - 1)
+_BLOBS = ("word", "pairs", "u", "places", "doc", "times", "key", "out")
 
 
 def _send_pairs(cells: int, first: int, last: int):
@@ -211,7 +209,7 @@ def _send_pairs(cells: int, first: int, last: int):
             keys = np.array([k for k, _, _ in chunk], np.int64)
             out = np.array([o for _, o, _ in chunk], np.uint8)
             doc = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(ids) - 1 for _, _, ids in chunk])
-            u = np.concatenate([ids[:-1] for _, _, ids in chunk]) & _CONTEXT
+            u = np.concatenate([ids[:-1] for _, _, ids in chunk])
             w = np.concatenate([ids[1:] for _, _, ids in chunk])
             mine = _cell(w, cells)
             mine = (mine >= first) & (mine < last)
@@ -235,9 +233,7 @@ def _send_pairs(cells: int, first: int, last: int):
             cut_word = np.searchsorted(word, cut_pair)
             u, w = u[pair], w[pair][word]
             rows = []
-            for c in range(first, last):
-                if cut[c] == cut[c + 1]:
-                    continue
+            for c in first + np.flatnonzero(np.diff(cut[first : last + 1])):
                 used, local = np.unique(doc[cut[c] : cut[c + 1]], return_inverse=True)
                 p, q = slice(cut_pair[c], cut_pair[c + 1]), slice(cut_word[c], cut_word[c + 1])
                 rows.append(
@@ -245,8 +241,7 @@ def _send_pairs(cells: int, first: int, last: int):
                         "cell": c - first,
                         "word": w[q].tobytes(),
                         "pairs": pairs[q].tobytes(),
-                        "u_high": (u[p] >> np.uint64(16)).astype(np.uint32).tobytes(),
-                        "u_low": u[p].astype(np.uint16).tobytes(),
+                        "u": u[p].tobytes(),
                         "places": places[p].tobytes(),
                         "doc": local.astype(np.uint16).tobytes(),
                         "times": times[cut[c] : cut[c + 1]].tobytes(),
@@ -278,14 +273,13 @@ def _score_cells(counts: Counts):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[str, list[np.ndarray]] = {c: [] for c in ("w", "u", "places", "doc", "times", "key", "out")}
-        kinds = dict(zip(_BLOBS, ("u8", "u4", "u4", "u2", "u4", "u2", "u4", "i8", "u1")))
+        kinds = dict(zip(_BLOBS, ("u8", "u4", "u8", "u4", "u2", "u4", "i8", "u1")))
         docs = 0
         for batch in batches:
             for row in batch.to_pylist():
                 got = {c: np.frombuffer(row[c], kinds[c]) for c in _BLOBS}
                 got["doc"] = got["doc"].astype(np.uint32) + np.uint32(docs)
                 got["w"] = np.repeat(got["word"], got["pairs"])
-                got["u"] = got["u_high"].astype(np.uint64) << np.uint64(16) | got["u_low"]
                 docs += len(got["key"])
                 for c, held in parts.items():
                     held.append(got[c])
