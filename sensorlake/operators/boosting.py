@@ -13,7 +13,8 @@ score per model.  A round grows one tree per model:
 * Trees grow by largest gain to ``leaves`` leaves.  A wave asks for the
   children of all nodes that the order by gain splits as far as it is known;
   when it knows all it needs, the tree is exactly the best-first one.  A tree
-  takes as many waves as it is deep, whatever the number of models.
+  takes as many waves as it is deep (``depth`` at most), whatever the number
+  of models.
 * A leaf's value is the quantile of its residuals, from mergeable sketches of
   up to ``sketch`` equal shares of a task's residuals: exact for leaves of so
   few rows a task, else within 1 / (2 ``sketch``) of the rank.
@@ -49,10 +50,10 @@ PER_TASK = 1_000_000
 
 @dataclass(frozen=True)
 class BoostParams:
-    rounds: int = 100
+    rounds: int = 400
     learning_rate: float = 0.06
     leaves: int = 63
-    depth: int = 0  # 0: no bound
+    depth: int = 8  # 0: no bound
     min_leaf_rows: int = 40
     subsample: float = 0.9
     colsample: float = 0.9

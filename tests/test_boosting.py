@@ -98,7 +98,7 @@ def lower_quantile(values, alpha):
 def test_trees_are_best_first_and_leaves_hold_quantiles(spark, alpha):
     """Two rounds, without sampling, against trees grown on the rows."""
     df, rows = table(spark)
-    params = BoostParams(rounds=2, leaves=9, min_leaf_rows=30, subsample=1.1, colsample=1.0, sketch=4000, bins=4000)
+    params = BoostParams(rounds=2, leaves=9, depth=0, min_leaf_rows=30, subsample=1.1, colsample=1.0, sketch=4000, bins=4000)
     (got,) = B.fit(df, FEATURES, [Task(alpha)], params)
     label = np.array([r[2] for r in rows])
     edges = [sorted({r[3 + f] for r in rows if r[3 + f] is not None}) for f in range(2)]
