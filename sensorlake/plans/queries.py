@@ -144,7 +144,7 @@ def daily_at_anchor(wh):
     spark = wh.mart_daily_location.sparkSession
     path = f"{fs.scratch_dir(spark, 'daily')}/mart_daily_location"
     ex.write_mart(wh.mart_daily_location, path)
-    daily = spark.read.parquet(path)
+    daily = rd.read_mart(spark, path)
     a = anc.anchor_literal(daily, weight="hours_reported")
     return anc.cut_at(daily, a), a
 
@@ -301,7 +301,7 @@ def q_export_roundtrip(spark, sf):
     d = fs.scratch_dir(spark, "marts")
     wh = wh_f1(spark, sf)
     ex.export_marts(spark, {"mart_daily_location": wh.mart_daily_location}, d)
-    return rounded(spark.read.parquet(f"{d}/mart_daily_location"))
+    return rounded(rd.read_mart(spark, f"{d}/mart_daily_location"))
 
 
 # ---------------------------------------------------------------- features and naive backtest

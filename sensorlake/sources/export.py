@@ -1,33 +1,24 @@
 """Mart export and publication.
 
-Rows are counted while they are written (``DataFrame.observe``), so the
-audit costs no second pass over the mart.
+Marts are versioned tables.  Rows are counted while they are written
+(``DataFrame.observe``), so the audit costs no second pass over the mart.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from . import fs
+from . import versions
 
 
 def write_mart(df: DataFrame, path: str, files: int | None = None) -> int:
-    """Write one mart as zstd Parquet, replacing it; returns the row count.
+    """Write one mart as zstd Parquet, replacing it in one commit; returns the
+    row count.
 
     ``files`` optionally coalesces the output (for small marts); by default
     each task writes its own file so a large mart is written in parallel.
     """
-    obs = Observation(f"rows_{abs(hash(path))}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if files:
-        out = out.coalesce(files)
-    # Written beside the old mart, then swapped in.
-    fresh = f"{path.rstrip('/')}.new"
-    out.write.mode("overwrite").option("compression", "zstd").parquet(fresh)
-    rows = int(obs.get["rows"])
-    fs.replace(df.sparkSession, fresh, path)
-    return rows
+    return versions.replace(df.coalesce(files) if files else df, path)[1]
 
 
 def export_marts(
@@ -48,6 +39,14 @@ def publish(df: DataFrame, name: str, materialized: str = "view", path: str | No
     if materialized != "table" or not path:
         raise ValueError("materialized must be 'view', or 'table' with a path")
     write_mart(df, path)
+    (location,) = versions.current(spark, path).paths(path, None)
+    stored = spark.read.parquet(location).schema
     spark.catalog.dropTempView(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
-    return spark.catalog.createTable(name, path, "parquet")
+    if spark.catalog.tableExists(name) and spark.table(name).schema == stored:
+        # One change of the catalog entry: there is a table at any moment, and
+        # the version before stays readable until ``versions.vacuum``.
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(name)
+        return spark.table(name)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # other columns; external: its files stay
+    return spark.catalog.createTable(name, location, "parquet")

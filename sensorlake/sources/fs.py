@@ -34,14 +34,35 @@ def delete(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(p, True))
 
 
-def replace(spark: SparkSession, fresh: str, path: str) -> None:
-    """Put the folder ``fresh`` in the place of ``path``."""
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty if it does not exist)."""
     fs, p = _fs(spark, path)
-    new = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(fresh)
-    if fs.exists(p):
-        fs.delete(p, True)
-    if not fs.rename(new, p):
-        raise OSError(f"cannot rename {fresh} to {path}")
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()]
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's content."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole or not at all; False if it exists already."""
+    fs, p = _fs(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if fs.exists(p) or not fs.rename(draft, p):
+        fs.delete(draft, False)
+        return False
+    return True
 
 
 def scratch_dir(spark: SparkSession, prefix: str) -> str:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import observed_at
 from ..schemas import RAW_COUNTS, RAW_SENSORS
-from . import fs
+from . import versions
 
 MARTS = ("dim_sensors", "mart_daily_location", "mart_hourly_profile")
 FORECAST_MARTS = ("mart_forecast", "mart_forecast_metrics")
@@ -19,17 +19,27 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
     Filters on ``month`` prune partitions; filters on other columns are
     pushed into the Parquet reader.
     """
-    return spark.read.schema(RAW_COUNTS).parquet(path)
+    rows = versions.read(spark, path, "month", schema=RAW_COUNTS)
+    return spark.createDataFrame([], RAW_COUNTS) if rows is None else rows.select(*RAW_COUNTS.names)
 
 
 def read_sensors(spark: SparkSession, path: str) -> DataFrame:
     """Raw sensor reference table."""
-    return spark.read.schema(RAW_SENSORS).parquet(path)
+    rows = versions.read(spark, path, schema=RAW_SENSORS)
+    return spark.createDataFrame([], RAW_SENSORS) if rows is None else rows.select(*RAW_SENSORS.names)
+
+
+def read_mart(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of one mart."""
+    rows = versions.read(spark, path)
+    if rows is None:
+        raise FileNotFoundError(f"no mart at {path}")
+    return rows
 
 
 def read_marts(spark: SparkSession, marts_dir: str) -> dict[str, DataFrame]:
     """The three SQL marts (S3)."""
-    return {name: spark.read.parquet(f"{marts_dir}/{name}") for name in MARTS}
+    return {name: read_mart(spark, f"{marts_dir}/{name}") for name in MARTS}
 
 
 def read_forecast(spark: SparkSession, marts_dir: str) -> tuple[DataFrame, DataFrame] | None:
@@ -38,11 +48,10 @@ def read_forecast(spark: SparkSession, marts_dir: str) -> tuple[DataFrame, DataF
     The forecast gains ``ts`` = date + hour.
     """
     paths = [f"{marts_dir}/{name}" for name in FORECAST_MARTS]
-    if not all(fs.exists(spark, p) for p in paths):
+    fc, metrics = (versions.read(spark, p) for p in paths)
+    if fc is None or metrics is None:
         return None
-    fc = spark.read.parquet(paths[0])
-    fc = fc.withColumn("ts", observed_at("sensing_date", "hour_of_day"))
-    return fc, spark.read.parquet(paths[1])
+    return fc.withColumn("ts", observed_at("sensing_date", "hour_of_day")), metrics
 
 
 def observations(fct: DataFrame) -> DataFrame:

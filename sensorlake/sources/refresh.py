@@ -3,7 +3,8 @@
 The refresh window starts at the source's first date on a full run (or when
 nothing is stored yet), else ``lookback_days`` before the latest stored date;
 it ends ``today``.  Every calendar month touching the window is re-read from
-the source with a half-open date predicate and replaces its partition whole.
+the source with a half-open date predicate and replaces its partition whole; all
+of them are committed at once (``sources.versions``).
 """
 
 from __future__ import annotations
@@ -11,16 +12,16 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_start
-from . import fs
+from . import versions
 
 PARTITION = "month"
 LOOKBACK_DAYS = 7
-#: Partition folders that hold dated rows (not the one of null months).
-MONTH_DIR = re.compile(rf"{PARTITION}=\d{{4}}_\d{{2}}")
+#: Partitions that hold dated rows (not the one of null months).
+MONTH = re.compile(r"\d{4}_\d{2}")
 
 
 def stored_max_date(spark: SparkSession, dest: str) -> DataFrame:
@@ -30,10 +31,11 @@ def stored_max_date(spark: SparkSession, dest: str) -> DataFrame:
     partition is read (partition pruning): the cost is one month of dates,
     not the whole history.
     """
-    months_stored = sorted(m for d in fs.list_dirs(spark, dest) if MONTH_DIR.fullmatch(d) for m in [d.split("=", 1)[1]])
-    if not months_stored:
+    version = versions.current(spark, dest)
+    dated = [m for m in version.parts if MONTH.fullmatch(m)]
+    if not dated:
         return spark.range(1).select(F.lit(None).cast("date").alias("stored_max"))
-    latest = spark.read.parquet(dest).filter(F.col(PARTITION) == months_stored[-1])
+    latest = versions.read(spark, dest, PARTITION, version, only=[max(dated)])
     return latest.agg(F.max("sensing_date").alias("stored_max"))
 
 
@@ -92,56 +94,29 @@ def in_months(df: DataFrame, planned: list, date_col: str = "sensing_date") -> D
 def refresh_counts(spark: SparkSession, source: DataFrame, dest: str, window: DataFrame) -> DataFrame:
     """Replace every planned month of ``dest`` with the source's rows.
 
-    Months with new rows are replaced by dynamic partition overwrite;
-    planned months without source rows are deleted explicitly,
-    since dynamic overwrite leaves them untouched (T9).  Returns the plan with
-    the rows now stored per month, read back with partition pruning (S14).
+    Months with new rows and months that have none any more (T9) change in one
+    commit.  Sorted files have tight Parquet statistics for later date
+    filters.  Returns the plan with the rows now stored per month (S14).
     """
     planned = months(window).collect()
     if not planned:
         return spark.createDataFrame([], "month_start date, next_month date, month string, rows bigint")
+    names = [r[PARTITION] for r in planned]
     rows = in_months(source, planned).withColumn(PARTITION, F.date_format("sensing_date", "yyyy_MM"))
-    # The months actually written are observed during the write (a set of at
-    # most len(planned) values), so no separate pass over the source.
-    written = Observation(f"months_{abs(hash(dest))}")
-    rows = rows.observe(written, F.collect_set(PARTITION).alias("months"))
-    # Rebalanced by month without sampling the source first: large months are
-    # split over many writers, small ones share a task.  Sorted files have
-    # tight Parquet statistics for later date filters.
-    (
-        rows.hint("rebalance", PARTITION)
-        .sortWithinPartitions(PARTITION, "sensing_date", "id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "zstd")
-        .partitionBy(PARTITION)
-        .parquet(dest)
-    )
-    present = set(written.get["months"] or [])
-    for r in planned:
-        if r[PARTITION] not in present:
-            fs.delete(spark, f"{dest}/{PARTITION}={r[PARTITION]}")
+    version, _ = versions.replace(rows, dest, PARTITION, names, sort=("sensing_date", "id"))
     plan = spark.createDataFrame(planned)
-    if fs.list_dirs(spark, dest):
-        stored = (
-            spark.read.parquet(dest)
-            .filter(F.col(PARTITION).isin([r[PARTITION] for r in planned]))
-            .groupBy(PARTITION)
-            .agg(F.count(F.lit(1)).alias("rows"))
-        )
-    else:
-        stored = spark.createDataFrame([], "month string, rows bigint")
+    stored = versions.read(spark, dest, PARTITION, version, only=names)
+    if stored is None:
+        return plan.select("month_start", "next_month", PARTITION, F.lit(0).cast("bigint").alias("rows"))
+    stored = stored.groupBy(PARTITION).agg(F.count(F.lit(1)).alias("rows"))
     return plan.join(stored, PARTITION, "left").select(
         "month_start", "next_month", PARTITION, F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows")
     )
 
 
 def refresh_sensors(source: DataFrame, dest: str) -> None:
-    """Full replacement of the sensor reference table (S11): written beside
-    the old one, then swapped in, so a failed job leaves the old table."""
-    spark, fresh = source.sparkSession, f"{dest.rstrip('/')}.new"
-    source.write.mode("overwrite").option("compression", "zstd").parquet(fresh)
-    fs.replace(spark, fresh, dest)
+    """Full replacement of the sensor reference table (S11) in one commit."""
+    versions.replace(source, dest)
 
 
 def refresh(

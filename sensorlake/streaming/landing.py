@@ -19,31 +19,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources import fs
+from ..sources import fs, versions
 from ..sources.refresh import PARTITION
 
 MANIFEST = "export long, month string"
 
 
 def rebuild_months(spark: SparkSession, landing_dir: str, dest: str, months: list[str]) -> None:
-    """Replace months of ``dest`` by their newest complete exports."""
+    """Replace months of ``dest`` by their newest complete exports, all in one
+    commit."""
     manifests = spark.read.schema(MANIFEST).parquet(f"{landing_dir}/manifests")
     newest = manifests.filter(F.col(PARTITION).isin(months)).groupBy(PARTITION).agg(F.max("export").alias("export"))
     plan = newest.collect()  # a row per month
     stored = {r[PARTITION]: f"{landing_dir}/data/export={r['export']}/{PARTITION}={r[PARTITION]}" for r in plan}
     present = {m: p for m, p in stored.items() if fs.exists(spark, p)}
-    if present:
-        parts = [spark.read.parquet(p).withColumn(PARTITION, F.lit(m)) for m, p in sorted(present.items())]
-        (
-            reduce(DataFrame.unionByName, parts)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .option("compression", "zstd")
-            .partitionBy(PARTITION)
-            .parquet(dest)
-        )
-    for month in set(stored) - set(present):
-        fs.delete(spark, f"{dest}/{PARTITION}={month}")
+    parts = [spark.read.parquet(p).withColumn(PARTITION, F.lit(m)) for m, p in sorted(present.items())]
+    if parts:
+        versions.replace(reduce(DataFrame.unionByName, parts), dest, PARTITION, sorted(stored))
+    elif stored:
+        seen = versions.current(spark, dest)
+        versions.commit(spark, dest, seen, {p: v for p, v in seen.parts.items() if p not in stored})
 
 
 def replace_months(landing_dir: str, dest: str) -> Callable[[DataFrame, int], None]:
@@ -79,7 +74,7 @@ def land_months(df: DataFrame, landing_dir: str, withdrawn: tuple[str, ...] = ()
     number = 1 + max([int(d.split("=")[1]) for d in fs.list_dirs(spark, data) if d.startswith("export=")], default=0)
     dated = F.coalesce(F.date_format("sensing_date", "yyyy_MM"), F.raise_error(F.lit("a row without sensing_date")))
     target = f"{data}/export={number}"
-    df.withColumn(PARTITION, dated).repartition(PARTITION, F.hash("id") % 8).write.partitionBy(PARTITION).parquet(target)
+    df.withColumn(PARTITION, dated).hint("rebalance", PARTITION).write.partitionBy(PARTITION).parquet(target)
     months = [d.split("=")[1] for d in fs.list_dirs(spark, target) if d.startswith(f"{PARTITION}=")]
     rows = [(number, m) for m in sorted({*months, *withdrawn})]
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(f"{landing_dir}/manifests")

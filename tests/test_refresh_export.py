@@ -46,7 +46,7 @@ def test_export_counts_rows_and_forecast_reader(spark):
     df = spark.range(10).withColumn("x", F.col("id") * 2)
     audit = export.export_marts(spark, {"a": df, "b": df.filter("id < 3")}, d)
     assert rows(audit) == [("a", 10), ("b", 3)]
-    assert spark.read.parquet(f"{d}/a").count() == 10
+    assert readers.read_mart(spark, f"{d}/a").count() == 10
     assert readers.read_forecast(spark, d) is None
     fc = spark.createDataFrame([(1, D("2024-01-01"), 5, 1.0, 2.0, 3.0)],
                                "location_id int, sensing_date date, hour_of_day int, p10 double, p50 double, p90 double")
