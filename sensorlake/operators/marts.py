@@ -65,12 +65,21 @@ def fallback_name(name: str = "location_name", key: str = "location_id") -> Colu
     return F.coalesce(F.col(name), F.concat(F.lit("Location "), F.col(key).cast("string")))
 
 
-def daily_mart(fct: DataFrame, dim: DataFrame) -> DataFrame:
-    """``mart_daily_location``: daily totals per location with names."""
-    daily = fct.groupBy("location_id", "sensing_date", "iso_day_of_week", "is_weekend").agg(
+def daily_totals(fct: DataFrame) -> DataFrame:
+    """Daily totals per location (A2)."""
+    return fct.groupBy("location_id", "sensing_date", "iso_day_of_week", "is_weekend").agg(
         F.sum("pedestrian_count").cast("bigint").alias("daily_count"),
         F.count(F.lit(1)).alias("hours_reported"),
     )
+
+
+def daily_mart(fct: DataFrame, dim: DataFrame) -> DataFrame:
+    """``mart_daily_location``: daily totals per location with names."""
+    return named_daily(daily_totals(fct), dim)
+
+
+def named_daily(daily: DataFrame, dim: DataFrame) -> DataFrame:
+    """Daily totals with the dimension's names."""
     names = dim.select("location_id", "location_name", "latitude", "longitude")
     return daily.join(names, "location_id", "left").select(
         "location_id",
@@ -90,12 +99,13 @@ def max_date(df: DataFrame, col: str = "sensing_date") -> Column:
     return df.agg(F.max(col)).scalar()
 
 
-def hourly_profile(fct: DataFrame, dim: DataFrame, days: int = 90) -> DataFrame:
+def hourly_profile(fct: DataFrame, dim: DataFrame, days: int = 90, last: Column | None = None) -> DataFrame:
     """``mart_hourly_profile``: trailing-``days`` mean per weekday and hour.
 
-    The window ends at the fact's own max date, not the report anchor (T11).
+    The window ends at the fact's own max date, not the report anchor (T11);
+    ``last`` is that date where the caller knows it.
     """
-    recent = cal.trailing(fct, "sensing_date", max_date(fct), days)
+    recent = cal.trailing(fct, "sensing_date", max_date(fct) if last is None else last, days)
     prof = recent.groupBy(
         "location_id", "iso_day_of_week", "day_name", "is_weekend", "hour_of_day"
     ).agg(

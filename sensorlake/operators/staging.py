@@ -40,9 +40,9 @@ COUNTS_ORDER = [
 ]
 
 
-def stage_counts(raw: DataFrame) -> DataFrame:
-    """``stg_counts``: typed counts, one row per observation id, earliest date."""
-    typed = raw.select(
+def typed_counts(raw: DataFrame) -> DataFrame:
+    """Raw counts with pinned types and names."""
+    return raw.select(
         F.col("id").alias("observation_id"),
         to_int(raw, "location_id").alias("location_id"),
         F.col("sensing_date").cast("date").alias("sensing_date"),
@@ -52,7 +52,11 @@ def stage_counts(raw: DataFrame) -> DataFrame:
         to_int(raw, "pedestriancount").alias("pedestrian_count"),
         F.col("sensor_name").cast("string").alias("sensor_name"),
     )
-    return keep_first(typed, ["observation_id"], [F.asc_nulls_last(c) for c in COUNTS_ORDER])
+
+
+def stage_counts(raw: DataFrame) -> DataFrame:
+    """``stg_counts``: typed counts, one row per observation id, earliest date."""
+    return keep_first(typed_counts(raw), ["observation_id"], [F.asc_nulls_last(c) for c in COUNTS_ORDER])
 
 
 SENSORS_TIEBREAK = [

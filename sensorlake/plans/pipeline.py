@@ -1,20 +1,24 @@
 """End-to-end run: refresh -> warehouse -> data tests -> marts -> forecast.
 
 One driver process replaces the reference's chain of command-line stages.
-Staging counts, dimension and marts are written once under ``root/warehouse``
-and tested there; tables that pass are then swapped into ``root/marts``.
+Staging counts and daily totals follow the refreshed months (``root/store``,
+see ``plans.incremental``).  Dimension and marts are written under
+``root/warehouse`` and tested there; tables that pass become the current
+versions under ``root/marts``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import marts, quality, staging
+from ..operators import quality
 from ..operators.quantile import BoostParams
-from ..sources import export, readers, refresh
+from ..sources import export, readers, refresh, versions
+from . import incremental
 from .forecast import forecast
 from .warehouse import Warehouse
 
@@ -27,27 +31,23 @@ class PipelineResult:
     anchor: dt.date | None
 
 
-def build_materialized(spark: SparkSession, raw_counts: DataFrame, raw_sensors: DataFrame, root: str,
+def build_materialized(spark: SparkSession, months: list[str], raw_counts_dir: str, raw_sensors: DataFrame, root: str,
                        profile_days: int = 90) -> Warehouse:
-    """Every model but the staging sensors and the fact (projections of small
-    or written tables) is written once under ``root/warehouse``; later models
-    and the data tests read the written tables."""
-
-    def written(df: DataFrame, name: str) -> DataFrame:
-        return export.publish(df, name, "table", f"{root}/warehouse/{name}")
-
-    stg_c = written(staging.stage_counts(raw_counts), "stg_counts")
-    stg_s = staging.stage_sensors(raw_sensors)
-    fct = marts.hourly_fact(stg_c)
-    dim = written(marts.sensor_dim(stg_s, stg_c), "dim_sensors")
-    return Warehouse(
-        stg_counts=stg_c,
-        stg_sensors=stg_s,
-        fct_hourly_counts=fct,
-        dim_sensors=dim,
-        mart_daily_location=written(marts.daily_mart(fct, dim), "mart_daily_location"),
-        mart_hourly_profile=written(marts.hourly_profile(fct, dim, profile_days), "mart_hourly_profile"),
-    )
+    """Bring the store up to date after ``months`` of the raw table were
+    replaced, and write dimension and marts under ``root/warehouse``; the data
+    tests read the written tables."""
+    store = f"{root}/store"
+    if not versions.current(spark, store).number:
+        months = sorted(versions.current(spark, raw_counts_dir).parts)  # a first run
+    if months:
+        raw = readers.read_counts(spark, raw_counts_dir).filter(F.col(refresh.PARTITION).isin(months))
+        incremental.refresh(spark, raw, months, store)
+    wh = incremental.warehouse(spark, store, raw_sensors, profile_days)
+    written = {
+        name: export.publish(getattr(wh, name), name, "table", f"{root}/warehouse/{name}")
+        for name in ("dim_sensors", "mart_daily_location", "mart_hourly_profile")
+    }
+    return replace(wh, **written)
 
 
 def run_pipeline(
@@ -70,9 +70,8 @@ def run_pipeline(
     marts_dir = f"{root}/marts"
     refresh.refresh_sensors(source_sensors, raw_sensors_dir)
     months = refresh.refresh(spark, source_counts, raw_counts_dir, today, full=full)
-    wh = build_materialized(
-        spark, readers.read_counts(spark, raw_counts_dir), readers.read_sensors(spark, raw_sensors_dir), root
-    )
+    names = [r[refresh.PARTITION] for r in months.select(refresh.PARTITION).collect()]
+    wh = build_materialized(spark, names, raw_counts_dir, readers.read_sensors(spark, raw_sensors_dir), root)
     suite = quality.run_suite(quality.warehouse_checks(wh))
     # One row per check, run once.
     checks = quality.enforce(spark.createDataFrame(suite.collect(), suite.schema))

@@ -32,7 +32,9 @@ from ..sources import fixtures as fx
 from ..sources import fs
 from ..sources import readers as rd
 from ..sources import refresh as rf
+from ..sources import versions
 from ..streaming import landing as ls
+from . import incremental as inc
 from .forecast import backtest_only, forecast_mart, forecastable
 from .forecast import forecast as run_forecast
 from .warehouse import build_warehouse
@@ -283,6 +285,45 @@ def q_refresh(spark, sf):
     return rd.read_counts(spark, dest)
 
 
+def incremental_f2(spark, sf):
+    """F2 in the incremental store: all months from a source that lacks some
+    readings and has others wrong or a month late, then the newest months and
+    every month they moved from, as they are."""
+    src, root = fx.f2_counts(spark, sf), fs.scratch_dir(spark, "store")
+    date = F.col("sensing_date")
+    cut = F.lit(src.agg(F.max("sensing_date")).first()[0].replace(day=1)).cast("date")
+    late = date >= F.add_months(cut, -2)
+    moved = late & (F.col("id") % 7 == 0)
+    wrong = src.filter(~(late & (F.col("id") % 97 == 0)))
+    wrong = wrong.withColumn("pedestriancount", F.col("pedestriancount") + F.when(late, 1).otherwise(0))
+    wrong = wrong.withColumn("sensing_date", F.when(moved, F.add_months(date, -1)).otherwise(date))
+    month = inc.month_of(date)
+    every = [r[0] for r in src.select(month).distinct().collect()]
+    newest = [r[0] for r in src.filter(date >= F.add_months(cut, -3)).select(month).distinct().collect()]
+    inc.refresh(spark, wrong, every, root)
+    inc.refresh(spark, src.filter(month.isin(newest)), newest, root)
+    return root
+
+
+@query("incremental_staging")
+def q_incremental_staging(spark, sf):
+    """Staging counts of F2 after an incremental refresh."""
+    root = incremental_f2(spark, sf)
+    return inc.read(spark, root, inc.STAGED, versions.current(spark, root))
+
+
+@query("incremental_daily")
+def q_incremental_daily(spark, sf):
+    """Daily mart of F2 from the months' stored totals (A1, A2)."""
+    return rounded(inc.warehouse(spark, incremental_f2(spark, sf), fx.f3_sensors(spark, sf)).mart_daily_location)
+
+
+@query("incremental_profile")
+def q_incremental_profile(spark, sf):
+    """Trailing profile of F2 from the months of its window."""
+    return rounded(inc.warehouse(spark, incremental_f2(spark, sf), fx.f3_sensors(spark, sf)).mart_hourly_profile)
+
+
 @query("export_audit")
 def q_export(spark, sf):
     """Export the three marts of F2 and return the rows written per mart."""

@@ -73,16 +73,14 @@ def read(spark: SparkSession, dest: str, key: str | None = None, version: Versio
     return reader.parquet(*paths).drop(PART_ID)
 
 
-def replace(rows: DataFrame, dest: str, key: str | None = None, planned: list[str] | None = None, sort: tuple[str, ...] = ()) -> tuple[Version, int]:
-    """Replace parts of the table by ``rows``, and return the new version and
-    the rows written.  ``planned``: the parts that are replaced (by default the
-    whole table); one without rows goes.  Rows outside of them are an error.
+def write(rows: DataFrame, dest: str, key: str | None = None, sort: tuple[str, ...] = ()) -> tuple[dict[str, str], int]:
+    """Add ``rows`` as parts that no version lists yet; returns them and the
+    number of rows.
 
     Rows are rebalanced by the key without sampling them first: a large part
     is split over many writers, small ones share a task.
     """
-    spark = rows.sparkSession
-    seen, new = current(spark, dest), uuid.uuid4().hex[:16]
+    spark, new = rows.sparkSession, uuid.uuid4().hex[:16]
     watch = Observation(f"parts_{new}")
     watched = [F.count(F.lit(1)).alias("rows")]
     if key:
@@ -102,13 +100,22 @@ def replace(rows: DataFrame, dest: str, key: str | None = None, planned: list[st
         raise RuntimeError(f"{dest}: {len(written)} parts written, {len(present)} observed")
     if got.get("without"):
         raise ValueError(f"{got['without']} rows without {key}")
-    if planned is not None and not present <= set(planned):
-        raise ValueError(f"rows of parts that are not replaced: {sorted(present - set(planned))}")
     if not key and not got.get("rows"):
         # An empty table is a part without rows: its columns are kept.
         rows.limit(0).drop(PART_ID).write.mode("overwrite").parquet(f"{dest}/data/{PART_ID}={new}")
+    return {p: new for p in present}, int(got.get("rows", 0))
+
+
+def replace(rows: DataFrame, dest: str, key: str | None = None, planned: list[str] | None = None, sort: tuple[str, ...] = ()) -> tuple[Version, int]:
+    """Replace parts of the table by ``rows``, and return the new version and
+    the rows written.  ``planned``: the parts that are replaced (by default the
+    whole table); one without rows goes.  Rows outside of them are an error."""
+    seen = current(rows.sparkSession, dest)
+    parts, n = write(rows, dest, key, sort)
+    if planned is not None and not parts.keys() <= set(planned):
+        raise ValueError(f"rows of parts that are not replaced: {sorted(parts.keys() - set(planned))}")
     kept = {} if planned is None else {p: v for p, v in seen.parts.items() if p not in planned}
-    return commit(spark, dest, seen, kept | {p: new for p in present}), int(got.get("rows", 0))
+    return commit(rows.sparkSession, dest, seen, kept | parts), n
 
 
 def _observed(watch: Observation) -> dict:
