@@ -73,11 +73,11 @@ def prepare(obs: DataFrame, lag_method: str = "auto", holiday_dates: DataFrame |
     if lag_method == "auto":
         # Build with the one-shuffle method and read the duplicate flag back
         # from the checkpointed result (a scan that stops at the first hit);
-        # only a non-unique grain pays for the join method.
+        # only a non-unique grain is built again, row by row of its cells.
         feat = checkpointed(ft.featurize(obs, obs, holiday_dates, lag_method="shift", dup_flag=True))
         if feat.filter(F.col("_dup")).limit(1).collect():
-            lag_method = "join"
-            feat = checkpointed(ft.featurize(obs, obs, holiday_dates, lag_method="join"))
+            lag_method = "multiset"
+            feat = checkpointed(ft.featurize(obs, obs, holiday_dates, lag_method="multiset"))
         else:
             lag_method = "shift"
             feat = feat.drop("_dup")

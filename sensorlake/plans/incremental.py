@@ -135,9 +135,9 @@ def refresh(spark: SparkSession, raw: DataFrame, months: list[str], root: str) -
 
 
 def last_date(spark: SparkSession, root: str, version: Version) -> dt.date | None:
-    """The latest stored date, from its month's daily totals (A3)."""
-    stored = months_of(version, DAILY)
-    return read(spark, root, DAILY, version, {max(stored)}).agg(F.max("sensing_date")).first()[0] if stored else None
+    """The latest stored date, from the footers of the newest month (A3)."""
+    stored = sorted(months_of(version, STAGED))[-1:]
+    return versions.largest(spark, root, PART, version, "sensing_date", [f"{STAGED}.{m}" for m in stored])
 
 
 def warehouse(spark: SparkSession, root: str, raw_sensors: DataFrame, profile_days: int = 90) -> Warehouse:

@@ -589,7 +589,7 @@ def q_rhythm_cells(spark, sf):
 @query("lag_features_f2")
 def q_lags_f2(spark, sf):
     """Lags on a grain that is not unique: rows multiply."""
-    return _lags(obs_of(fx.f2_counts(spark, sf)), "join")
+    return _lags(obs_of(fx.f2_counts(spark, sf)), "multiset")
 
 
 @query("holiday_flags")

@@ -27,16 +27,13 @@ MONTH = re.compile(r"\d{4}_\d{2}")
 def stored_max_date(spark: SparkSession, dest: str) -> DataFrame:
     """One row ``stored_max``: latest stored date, null when nothing is stored.
 
-    Only the newest ``month=`` partition can hold the maximum, so only that
-    partition is read (partition pruning): the cost is one month of dates,
-    not the whole history.
+    Only the newest ``month=`` partition can hold the maximum, and its files'
+    footers have it: no data page is read.
     """
     version = versions.current(spark, dest)
-    dated = [m for m in version.parts if MONTH.fullmatch(m)]
-    if not dated:
-        return spark.range(1).select(F.lit(None).cast("date").alias("stored_max"))
-    latest = versions.read(spark, dest, PARTITION, version, only=[max(dated)])
-    return latest.agg(F.max("sensing_date").alias("stored_max"))
+    newest = [max(dated)] if (dated := [m for m in version.parts if MONTH.fullmatch(m)]) else []
+    last = versions.largest(spark, dest, PARTITION, version, "sensing_date", newest)
+    return spark.createDataFrame([(last,)], "stored_max date")
 
 
 def source_min_date(source: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -73,6 +75,35 @@ def read(spark: SparkSession, dest: str, key: str | None = None, version: Versio
     return reader.parquet(*paths).drop(PART_ID)
 
 
+#: Spark's own Parquet reader of the second kind answers minima, maxima and
+#: counts from the files' footers.
+_FOOTERS = {
+    "spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text",
+    "spark.sql.parquet.aggregatePushdown": "true",
+}
+
+
+@contextmanager
+def from_footers(spark: SparkSession) -> Iterator[None]:
+    """Tables read and asked within get their aggregates from footers."""
+    before = {k: spark.conf.get(k, None) for k in _FOOTERS}
+    try:
+        for k, v in _FOOTERS.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def largest(spark: SparkSession, dest: str, key: str | None, version: Version, column: str, only: list[str] | None = None):
+    """The largest value of a column in the version's parts (or ``only`` some),
+    from footers: no data page is read.  None without parts."""
+    with from_footers(spark):
+        rows = read(spark, dest, key, version, only)
+        return None if rows is None else rows.agg(F.max(column)).first()[0]
+
+
 def write(rows: DataFrame, dest: str, key: str | None = None, sort: tuple[str, ...] = ()) -> tuple[dict[str, str], int]:
     """Add ``rows`` as parts that no version lists yet; returns them and the
     number of rows.

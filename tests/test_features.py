@@ -120,3 +120,23 @@ def test_horizon_into_years_without_announced_finals(spark):
     assert [r.is_holiday for r in ft.add_calendar(df).orderBy("sensing_date").collect()] == [1, 0, 1, 1]
     own = spark.createDataFrame([(D("2026-01-02"),)], "holiday_date date")
     assert [r.is_holiday for r in ft.add_calendar(df, own).orderBy("sensing_date").collect()] == [0, 1, 0, 0]
+
+
+def test_multiset_equals_joins_on_any_grain(spark):
+    """Repeated cells, null values and null keys, frame and observations apart or one."""
+    import random
+
+    rng = random.Random(6)
+    schema = "location_id int, sensing_date date, hour_of_day int, pedestrian_count int"
+
+    def some(n):
+        return [(rng.choice([1, 2, None]), rng.choice([None, *[D("2024-01-01") + dt.timedelta(days=7 * k + j) for k in range(6) for j in (0, 1)]]),
+                 rng.choice([0, 1, None]), rng.choice([None, 3, 4, 5])) for _ in range(n)]
+
+    o = spark.createDataFrame(some(90), schema)
+    frame = spark.createDataFrame(some(30), schema).drop("pedestrian_count").withColumn("other", F.lit("x"))
+    for f in (o, frame):
+        joined, got = ft.lags_by_join(f, o), ft.lags_by_multiset(f, o)
+        assert got.columns == joined.columns and got.dtypes == joined.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, joined.collect()))
+    assert ft.lags_by_join(o, o).count() > o.count()

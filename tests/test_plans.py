@@ -56,3 +56,10 @@ def test_orphan_count_with_a_hot_key(spark):
     parent = spark.range(10).select(F.col("id").alias("k"))
     want = dq.relationships(child, "k", parent, "k").count()
     assert dq.orphan_count(child, "k", parent, "k").first()["failures"] == want > 1000
+
+
+def test_multiset_lags_take_one_exchange(spark):
+    obs = spark.range(10).selectExpr(
+        "cast(id as int) location_id", "date'2024-01-01' sensing_date", "1 hour_of_day", "cast(id as int) pedestrian_count").repartition(2, "pedestrian_count")
+    p = ft.lags_by_multiset(obs, obs)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange hashpartitioning(location_id") == 1 and "Join" not in p

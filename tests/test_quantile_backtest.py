@@ -78,7 +78,7 @@ def test_prepare_detects_duplicate_grain_from_the_features(spark, obs):
     assert method == "shift" and "_dup" not in feat.columns
     dup = obs.unionByName(obs.limit(1))
     _, _, feat2, method2 = prepare(dup)
-    assert method2 == "join" and feat2.count() == feat.count() + 1 + 4   # T6: the join multiplies rows
+    assert method2 == "multiset" and feat2.count() == feat.count() + 1 + 4   # T6: lags multiply rows
 
 
 def test_forecast_into_2026_and_own_calendar(spark, obs):

@@ -98,3 +98,15 @@ def test_published_table_is_there_at_any_moment(spark, dest, monkeypatch):
     export.publish(spark.range(0).withColumn("x", F.lit(1)), name, "table", dest)
     assert spark.table(name).columns == ["id", "x"] and spark.table(name).count() == 0
     sql(f"DROP TABLE {name}")
+
+
+def test_largest_value_from_footers(spark, dest):
+    version, _ = versions.replace(parts(spark, [(i, "ab"[i % 2]) for i in range(100)]), dest, "month")
+    assert versions.largest(spark, dest, "month", version, "id") == 99
+    assert versions.largest(spark, dest, "month", version, "id", ["a"]) == 98
+    assert versions.largest(spark, dest, "month", versions.Version(0), "id") is None
+    confs = {k: spark.conf.get(k, None) for k in versions._FOOTERS}
+    with versions.from_footers(spark):
+        plan = versions.read(spark, dest, "month").agg(F.max("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(id)]" in plan
+    assert {k: spark.conf.get(k, None) for k in versions._FOOTERS} == confs
