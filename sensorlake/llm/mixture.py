@@ -58,15 +58,17 @@ def mixing_plan(sizes: DataFrame, weights: tuple[int, ...], share: float, cap: f
     per = per.withColumn("weight", weight).withColumn("ceiling", F.lit(cap) * F.col("source_size"))
     rank = Window.orderBy(F.col("ceiling") / F.col("weight"), F.col("source").asc_nulls_last())
     full = rank.rowsBetween(Window.unboundedPreceding, -1)
-    rest = rank.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     everything = Window.partitionBy()
+    # What follows is the total less what precedes: a frame that ends with the
+    # last row would be added up anew for every row.
+    rest = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(full), F.lit(0))
     per = per.withColumn(
         "level",
         (
             F.lit(share) * F.sum("source_size").over(everything)
             - F.coalesce(F.sum("ceiling").over(full), F.lit(0.0))
         )
-        / F.sum("weight").over(rest),
+        / rest,
     )
     # The first source whose level stays within its ceiling sets the level.
     open_level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("ceiling"), F.struct("rank", "level")))
