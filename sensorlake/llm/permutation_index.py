@@ -40,7 +40,7 @@ from .common import Scratch, ship
 PIVOTS = 128
 NEAREST = 32
 SHARD = 8192
-SHARE = 0.25
+SHARE = 0.45
 LEAST = 512
 SAMPLE = 4096
 QUERY_BLOCK = 2048

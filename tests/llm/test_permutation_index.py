@@ -81,3 +81,20 @@ def test_recall_with_a_third_of_equal_rows(spark):
         hits += len(set(np.argsort(-s, kind="stable")[:5].tolist()) & {i for _, i in found[q]})
     assert hits / (5 * len(asked)) >= 0.9
     assert [i for _, i in found[1]] == [4, 7, 10, 13, 16] and [i for _, i in found[4]] == [1, 7, 10, 13, 16]
+
+
+def test_recall_on_uncorrelated_vectors(spark):
+    """16,000 random vectors of 128 dimensions have no near neighbours at all:
+    the hardest case for any ranking by pivots."""
+    x = np.random.default_rng(7).standard_normal((16_000, 128))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in search(df, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hits = 0
+    for q in range(0, len(x), 50):
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += len(got[q] & set(np.argsort(-near)[:5].tolist()))
+    assert hits / (5 * len(got)) >= 0.95
