@@ -30,6 +30,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -76,10 +77,22 @@ NAMES = frozenset(
     responses search share sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola
     teaser toc toolbar topbar warning widget widgets""".split()
 )
+#: Of these, what an article may call a part of its own.
+OWN = frozenset("discussion feedback hint notice responses warning".split())
+#: Words that say how or where something named above is laid out.
+LAYOUT = frozenset(
+    """action actions area articles bar block body bottom box btn button buttons card center col column content
+    count cta desktop field fixed form full group header heading holder icon icons inline inner input item items
+    label large left line link links list mobile outer panel placeholder post posts right row section single slot
+    small stories tab tabs text thread title toggle top unit wide wrap wrapper zone""".split()
+)
 HEADERS = frozenset("header head masthead topbar banner".split())
 #: Parts of a class name after which it names what an element goes with.
 BESIDE = frozenset("has no not with without".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Characters of a linked entry, on average, from which a list of links is one
+#: of references and not a menu.
+REFERENCE = 30
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -101,6 +114,9 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.attrs = ["html"], [-1], [""]
         self.texts: list[tuple[int, str | None]] = []
+        # Open elements, outermost first, and their places by tag; those of
+        # block-level elements also under None.
+        self.stack, self.places = [0], {"html": [0], None: [0]}
         self._read(source)
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
@@ -109,8 +125,28 @@ class Page:
         self.attrs.append(attrs)
         return len(self.tag) - 1
 
+    def _push(self, node: int) -> None:
+        tag, place = self.tag[node], len(self.stack)
+        self.stack.append(node)
+        self.places.setdefault(tag, []).append(place)
+        if tag in BLOCK:
+            self.places[None].append(place)
+
+    def _cut(self, place: int) -> None:
+        """Close the open elements from a place on."""
+        for node in reversed(self.stack[place:]):
+            self.places[self.tag[node]].pop()
+            if self.tag[node] in BLOCK:
+                self.places[None].pop()
+        del self.stack[place:]
+
+    def _last(self, tag: str | None) -> int:
+        """The innermost open place of a tag, 0 if there is none."""
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
     def _read(self, source: str) -> None:
-        at, size, stack = 0, len(source), [0]
+        at, size, stack = 0, len(source), self.stack
         while at < size:
             m = TOKEN.search(source, at)
             end = m.start() if m else size
@@ -123,22 +159,23 @@ class Page:
             if not tag:
                 continue
             if m[1] or m[4]:
-                self._end(tag, stack)
+                self._end(tag)
             else:
-                at = self._start(tag, m[3] or m[6] or "", stack, source, at)
+                at = self._start(tag, m[3] or m[6] or "", source, at)
 
-    def _start(self, tag: str, attrs: str, stack: list[int], source: str, at: int) -> int:
+    def _start(self, tag: str, attrs: str, source: str, at: int) -> int:
+        stack = self.stack
         if tag in ("html", "body") and len(stack) > 1:
             return at
         if tag in BLOCK:
-            self._close(stack, {"p"}, {"button", "table", "td", "th", "caption"})
+            self._close({"p"}, {"button", "table", "td", "th", "caption"})
             self.texts.append((stack[-1], None))
         if tag in HEADINGS:
-            self._close(stack, HEADINGS, BLOCK - HEADINGS)
+            self._close(HEADINGS, BLOCK - HEADINGS)
         if tag in CLOSES:
-            self._close(stack, *CLOSES[tag])
+            self._close(*CLOSES[tag])
         if tag == "body" or tag in BLOCK and self.tag[stack[-1]] == "head":
-            self._close(stack, {"head"}, set())
+            self._close({"head"}, set())
         node = self._open(tag, attrs, stack[-1])
         if tag in VOID:
             if tag == "br":
@@ -148,36 +185,55 @@ class Page:
             m = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
             return m.end() if m else len(source)
         if not attrs.endswith("/") or tag not in ("path", "g", "use", "circle", "rect", "svg"):
-            stack.append(node)
+            self._push(node)
         return at
 
-    def _close(self, stack: list[int], tags, until) -> None:
+    def _close(self, tags, until) -> None:
         """Close the outermost of the open ``tags`` above any of ``until``."""
-        for i in range(len(stack) - 1, 0, -1):
-            t = self.tag[stack[i]]
-            if t in until:
-                break
-            if t in tags:
-                self.texts.append((stack[i], None))
-                del stack[i:]
-
-    def _end(self, tag: str, stack: list[int]) -> None:
-        if tag in ("html", "body"):
+        above = max((self._last(t) for t in until), default=0)
+        found = []
+        for t in tags:
+            places = self.places.get(t, ())
+            k = bisect_right(places, above)
+            if k < len(places):
+                found.append(places[k])
+        if found:
+            place = min(found)
+            for node in reversed(self.stack[place:]):
+                if self.tag[node] in tags:
+                    self.texts.append((node, None))
+            self._cut(place)
+
+    def _end(self, tag: str) -> None:
+        place = self._last(tag)
+        if tag in ("html", "body") or not place:
             return
-        for i in range(len(stack) - 1, 0, -1):
-            t = self.tag[stack[i]]
-            if t == tag:
-                if tag in BLOCK:
-                    self.texts.append((stack[i], None))
-                del stack[i:]
-                return
-            if tag not in BLOCK and t in BLOCK:
-                return  # an inline end tag does not close blocks
-
-
-def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element declares itself boilerplate, and whether as a header
-    (which may hold the article's headings)."""
+        if tag not in BLOCK and self._last(None) > place:
+            return  # an inline end tag does not close blocks
+        if tag in BLOCK:
+            self.texts.append((self.stack[place], None))
+        self._cut(place)
+
+
+def _named(parts: list[str]) -> set[str]:
+    """The boilerplate that a class or id names: words of ``NAMES`` or
+    ``HEADERS`` after which only layout follows.  ``related-posts`` and
+    ``post-comments`` are such names, ``related-work`` and ``share-of-market``
+    are not: there the word describes another."""
+    parts = parts[: next((k for k, p in enumerate(parts) if p in BESIDE), len(parts))]
+    out: set[str] = set()
+    for p in reversed(parts):
+        if p in NAMES or p in HEADERS:
+            out.add(p)
+        elif not (p in LAYOUT or p.isdigit() or len(p) == 1):
+            break
+    return out
+
+
+def _boilerplate(tag: str, attrs: str, within: bool) -> tuple[bool, bool]:
+    """Whether an element, ``within`` an article or not, declares itself
+    boilerplate, and whether as a header (which may hold the article's
+    headings)."""
     found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attrs)} if attrs else {}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
         return True, False
@@ -190,8 +246,9 @@ def _boilerplate(tag: str, attrs: str) -> tuple[bool, bool]:
     role = found.get("role", "").lower()
     names = set()
     for name in f"{found.get('class', '')} {found.get('id', '')}".split():
-        parts = [p.lower() for p in NAME_PARTS.findall(name)]
-        names.update(parts[: next((k for k, p in enumerate(parts) if p in BESIDE), len(parts))])
+        names |= _named([p.lower() for p in NAME_PARTS.findall(name)])
+    if within:
+        names -= OWN
     if tag in ("html", "body", "main") or tag in HEADINGS:
         return False, False
     if tag == "article":
@@ -263,7 +320,10 @@ def main_text(source: str | None) -> str:
         if text:
             own[node] += len(" ".join(text.split()))
     # Boilerplate by tag, and by name unless it is a wrapper or all there is.
-    marks = [(False, False)] + [_boilerplate(tag[i], page.attrs[i]) for i in range(1, n)]
+    in_article = [False] * n
+    for i in range(1, n):
+        in_article[i] = in_article[parent[i]] or tag[i] in ("article", "main")
+    marks = [(False, False)] + [_boilerplate(tag[i], page.attrs[i], in_article[parent[i]]) for i in range(1, n)]
     soft = [m[0] and tag[i] not in DROPPED and tag[i] != "header" for i, m in enumerate(marks)]
     out = [False] * n
     for i in range(1, n):
@@ -277,10 +337,8 @@ def main_text(source: str | None) -> str:
         names[i] = names[parent[i]] + (soft[i] and i not in wrappers)
     least = min((names[i] for i in range(n) if own[i] and not out[i]), default=0)
     dropped, header = [False] * n, [False] * n
-    in_article = [False] * n
     for i in range(1, n):
         p = parent[i]
-        in_article[i] = in_article[p] or tag[i] in ("article", "main")
         dropped[i], header[i] = dropped[p], header[p]
         if header[p] and tag[i] in HEADINGS and in_article[i]:
             dropped[i] = False
@@ -328,19 +386,22 @@ def main_text(source: str | None) -> str:
         kept[article] = True
     else:
         threshold = min(density[i] for i in path)
-        kept[best] = True
+        kept[best], on_path = True, set(path)
         # Other subtrees at or above the threshold.
         for i in range(body + 1, n):
-            if inside[i] and i not in path and density[i] >= threshold > 0 and parent[i] in path:
+            if inside[i] and i not in on_path and density[i] >= threshold > 0 and parent[i] in on_path:
                 kept[i] = True
         if best == body:
             kept = [False] * n
             kept[body] = True
+    last_child = [0] * n
     for i in range(1, n):
+        before, last_child[parent[i]] = last_child[parent[i]], i
         if kept[parent[i]]:
-            # A list of nothing but links is a menu wherever it stands.
-            menu = tag[i] in ("ul", "ol", "div") and links[i] >= 3 and link_chars[i] >= 0.9 * chars[i]
-            kept[i] = not menu
+            # A list of nothing but short links is a menu wherever it stands,
+            # unless a heading announces it.
+            linked = tag[i] in ("ul", "ol", "div") and links[i] >= 3 and link_chars[i] >= 0.9 * chars[i]
+            kept[i] = not linked or tag[before] in HEADINGS or link_chars[i] >= REFERENCE * links[i]
 
     blocks, line = [], []
     for node, text in page.texts:

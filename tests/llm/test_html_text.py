@@ -91,3 +91,34 @@ def test_frame(spark):
     got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in extract(df).collect())
     assert got == sorted([("1", plain, len(plain))] * 2 + [("None", "", 0), ("2", "", 0)])
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "part",
+    ["<section id=discussion>{}</section>", "<section id=related-work>{}</section>", "<div class=search-results-analysis>{}</div>",
+     "<section id='share-of-market'>{}</section>", "<section id=feedback-loops>{}</section>", "<div class=responses-of-neurons>{}</div>"],
+)
+def test_sections_that_a_word_describes_are_the_articles(part):
+    marked, plain = article()
+    own = "The author goes on here with more of the text."
+    page = "<body><nav>Menu</nav><article>{}{}<div class=related-posts><p>Other posts</p></div><div class=share-buttons>Share</div></article>"
+    assert main_text(page.format(marked, part.format(f"<p>{own}</p>"))) == f"{plain}\n{own}"
+
+
+def test_linked_references_are_no_menu():
+    marked, plain = article()
+    entries = [f"Author {i}, A study of something in particular, 2019" for i in range(5)]
+    long = "<ul>" + "".join(f"<li><a href=x>{e}</a>" for e in entries) + "</ul>"
+    assert main_text(f"<body><article>{marked}{long}</article>") == "\n".join([plain, *entries])
+    short = "<ul><li><a href=1>One</a><li><a href=2>Two</a><li><a href=3>Three</a></ul>"
+    assert main_text(f"<body><article>{marked}<h2>Sources</h2>{short}</article>") == f"{plain}\nSources\nOne\nTwo\nThree"
+    assert main_text(f"<body><article>{marked}{short}</article>") == plain
+
+
+@pytest.mark.parametrize("open_", ["<div>", "<div><p>", "<p><table><tr><td><div>", "<ul><li><b>", "<h1><i>"])
+def test_deep_pages_in_linear_time(open_):
+    import time
+
+    began = time.time()
+    assert main_text(open_ * (40_000 // open_.count("<")) + "x") == "x"
+    assert time.time() - began < 2
