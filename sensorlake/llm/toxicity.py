@@ -7,8 +7,8 @@ scores b + sum_i w_i x + sum_{i<j} <v_i, v_j> x^2 over the present features:
 the factors learn pairs, such as an insult next to a group's name, that no sum
 of single weights expresses.
 
-Fitting uses a bounded sample of the labelled rows, the ``SAMPLE`` first in
-the order of a hash of doc_id, in one task.  Every bin that two examples share
+Fitting uses a bounded sample of the labelled documents, the ``SAMPLE`` first
+in the order of a hash of doc_id and text, in one task.  Every bin that two examples share
 is kept, as a term that says nothing alone may in a pair; bins without an
 association of their own with the label learn at ``PACE`` of the rate, and all
 weights shrink by ``SHRINK``, so that chance does not outweigh the others.
@@ -18,7 +18,8 @@ logistic that turns its output into a probability.  The model is at most
 
 Edge cases: a null or empty text has no features and scores the machine's
 intercept; labels that are null, or without a document, are not learned from;
-a doc_id with several labels gives one example for each; with examples of one
+a doc_id with several labels or texts gives one example for each, repeated
+ones count once; with examples of one
 class only (or none) every score is that class's share (0 without examples).
 Repeated rows score alike.  Columns beside doc_id and text, and beside doc_id
 and toxic in the labels, are not read.
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, text_hash
 
 BITS = 18
 SAMPLE = 20_000
@@ -175,15 +176,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
     """Fit on the labelled documents; ``labels`` holds (doc_id, toxic) rows
     that may be learned from."""
     ship(docs.sparkSession)
-    rows = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna()
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(SAMPLE)
-    # At most SAMPLE rows of two numbers.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().distinct()
+    keyed = docs.select("doc_id", "text", text_hash().alias("hash"))
+    # Labels without a document and copies of an example take no part of the
+    # sample: at most SAMPLE rows of three numbers.
+    examples = keyed.select("doc_id", "hash").join(known, "doc_id").distinct()
+    sample = examples.orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash", "toxic").limit(SAMPLE)
+    chosen = keyed.join(F.broadcast(sample), ["doc_id", "hash"])
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             bins = [features(t) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "bins": [x.tobytes() for x in bins]})
+            yield pd.DataFrame({**{c: b[c] for c in ("doc_id", "hash", "toxic")}, "bins": [x.tobytes() for x in bins]})
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([pd.DataFrame({"doc_id": [], "toxic": [], "bins": []}), *batches])
@@ -194,7 +198,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
         machine = train(examples, rows["toxic"].to_numpy(dtype=np.int64))
         yield pd.DataFrame({"model": [pickle.dumps(machine)]})
 
-    extracted = chosen.mapInPandas(extract, "doc_id long, toxic int, bins binary")
+    extracted = chosen.mapInPandas(extract, "doc_id long, hash long, toxic int, bins binary")
+    extracted = extracted.groupBy("doc_id", "hash", "toxic").agg(F.first("bins").alias("bins"))
     model = extracted.repartition(1).mapInPandas(learn, "model binary").collect()
     return pickle.loads(bytes(model[0]["model"])) if model else train([], np.empty(0, np.int64))
 
