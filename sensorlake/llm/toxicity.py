@@ -8,7 +8,7 @@ the factors learn pairs, such as an insult next to a group's name, that no sum
 of single weights expresses.
 
 Fitting uses a bounded sample of the labelled documents, the ``SAMPLE`` first
-in the order of a hash of doc_id and text, in one task.  Every bin that two examples share
+in the order of a hash of doc_id, in one task.  Every bin that two examples share
 is kept, as a term that says nothing alone may in a pair; bins without an
 association of their own with the label learn at ``PACE`` of the rate, and all
 weights shrink by ``SHRINK``, so that chance does not outweigh the others.
@@ -177,12 +177,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
     that may be learned from."""
     ship(docs.sparkSession)
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).dropna().distinct()
-    keyed = docs.select("doc_id", "text", text_hash().alias("hash"))
-    # Labels without a document and copies of an example take no part of the
-    # sample: at most SAMPLE rows of three numbers.
-    examples = keyed.select("doc_id", "hash").join(known, "doc_id").distinct()
-    sample = examples.orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash", "toxic").limit(SAMPLE)
-    chosen = keyed.join(F.broadcast(sample), ["doc_id", "hash"])
+    # Labels without a document take no part of the sample: at most SAMPLE rows
+    # of two numbers.
+    known = docs.select("doc_id").distinct().join(known, "doc_id")
+    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(SAMPLE)
+    chosen = docs.select("doc_id", "text", text_hash().alias("hash")).join(F.broadcast(sample), "doc_id")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -199,7 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> FactorizationMachine:
         yield pd.DataFrame({"model": [pickle.dumps(machine)]})
 
     extracted = chosen.mapInPandas(extract, "doc_id long, hash long, toxic int, bins binary")
+    # Repeated rows count once, and many texts of an id stay within the bound.
     extracted = extracted.groupBy("doc_id", "hash", "toxic").agg(F.first("bins").alias("bins"))
+    extracted = extracted.orderBy(F.xxhash64("doc_id", "hash"), "doc_id", "hash", "toxic").limit(SAMPLE)
     model = extracted.repartition(1).mapInPandas(learn, "model binary").collect()
     return pickle.loads(bytes(model[0]["model"])) if model else train([], np.empty(0, np.int64))
 
