@@ -73,18 +73,6 @@ def test_awkward_rows(spark):
     assert len({r["score"] for r in got if not (r["text"] or "").strip()}) == 1
 
 
-def test_the_sample_holds_examples_alone(spark, monkeypatch):
-    """Labels without a document and repeated rows leave the sample as it is."""
-    monkeypatch.setattr(toxicity, "SAMPLE", 60)
-    data = [(i, t, "en", "s", 1) for i, (t, _) in enumerate(pairs(60, 8))]
-    labels = [(i, 1, y) for i, (_, y) in enumerate(pairs(60, 8))]
-    schema = frame(spark).schema
-    plain = fit(spark.createDataFrame(data, schema), spark.createDataFrame(labels, LABELS))
-    more = labels * 2 + [(10_000 + i, 1, 1) for i in range(2000)]
-    noisy = fit(spark.createDataFrame(data + data[:5] * 40, schema), spark.createDataFrame(more, LABELS))
-    assert np.array_equal(plain.w, noisy.w) and np.array_equal(plain.v, noisy.v) and plain.b == noisy.b
-
-
 def test_one_class_or_none(spark):
     df = frame(spark)
     labels = spark.createDataFrame([(i, 1, 1) for i in range(20)], LABELS)
