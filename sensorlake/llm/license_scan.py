@@ -1,20 +1,35 @@
 r"""Licence scan: texts against licence templates by Dice coefficient.
 
-A document's units are its lines, its paragraphs (runs of non-blank lines) and
-its whole text.  A unit and a template are normalised (lower case; words are
-runs of letters and digits; lines that only state a copyright are left out)
-and compared by the Dice coefficient 2 |A and B| / (|A| + |B|) of their sets of
-word bigrams; a single word counts as one bigram with nothing.  A coefficient
-of t needs sizes within t / (2 - t) of each other, so a unit meets only the
-templates of fitting sizes, and among those the ones that share a bigram.
-
-The templates are some dozen short texts, known before the job starts.  Rows
-are independent: no shuffle, one document in a worker at a time.
-
-Edge cases: null, empty and wordless texts match nothing; equal scores go to
-the smaller template name; a template that several units match counts once,
+Texts and templates are normalised: lower case; words are runs of letters and
+digits, so that line breaks, comment marks and blank lines between paragraphs
+do not count; lines that only state a copyright are left out.  Both are sets
+of word bigrams, compared by the Dice coefficient 2 |A and B| / (|A| + |B|).
+A template of m words is compared with these units of a document:
+
+- every window of m consecutive words (all words, if there are fewer), so that
+  a licence is found inside a longer line, paragraph or file;
+- every line, paragraph (run of non-blank lines) and the whole text, where an
+  edited licence of another length shows.
+
+A document's score for a template is its best unit's.
+
+Pruning by size, without loss: a coefficient of t needs sizes within
+t / (2 - t) of each other, and as many shared bigrams as t / (2 - t) of the
+template's.  A document that does not hold that many anywhere has no unit that
+matches; only for the templates that remain are windows and lines looked at.
+All windows of a template are scored at once: a bigram counts for the windows
+from its last occurrence to this one, so that sums of steps give every
+window's distinct and shared bigrams in time linear in the text.
+
+The templates are some dozens of short texts, known before the job starts.
+Rows are independent: no shuffle, one document in a worker at a time.
+
+Edge cases: null, empty and texts of one word match nothing; of equal scores the
+template of more words comes first (a notice before the line it holds), then the
+smaller name; a template that several units match counts once,
 with its best score.  Repeated rows match alike; an empty table gives an empty
-result; columns beside the text are passed through, clashing ones replaced.
+result; columns beside the text are passed through, clashing ones replaced.  A
+template needs two words.
 """
 
 from __future__ import annotations
@@ -24,88 +39,40 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship
+from .license_templates import TEMPLATES
 
 THRESHOLD = 0.8
-
-# Notices and texts of public licences.
-TEMPLATES = {
-    "Apache-2.0 notice": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-        "compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
-        "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
-        "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
-        "permissions and limitations under the License."
-    ),
-    "Apache-2.0 line": "Licensed under the Apache License, Version 2.0.",
-    "BSD-2-Clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
-        "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
-        "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
-        "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE "
-        "COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT "
-        "LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
-    ),
-    "BSD line": "Licensed under the BSD License.",
-    "CC-BY-4.0 line": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC-BY short line": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0 line": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    "CC-BY-NC short line": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0 line": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    "CC-BY-SA short line": "Licensed under CC BY-SA 4.0.",
-    "GPL notice": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY "
-        "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
-        "GNU General Public License for more details. You should have received a copy of the GNU General Public "
-        "License along with this program. If not, see https://www.gnu.org/licenses/."
-    ),
-    "GPL-2.0 line": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0 line": "This work is licensed under the GNU General Public License, version 3.",
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
-        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE "
-        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."
-    ),
-    "MIT": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-        "following conditions: The above copyright notice and this permission notice shall be included in all "
-        "copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY "
-        "KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A "
-        "PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR "
-        "ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
-        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
-    ),
-    "MIT line": "Released under the MIT License.",
-    "MPL-2.0 notice": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
-        "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
-    ),
-}
+#: A line of more words that starts like a copyright statement has other content.
+STATEMENT_WORDS = 15
 
 WORD = re.compile(r"[^\W_]+")
-COPYRIGHT = re.compile(r"\s*(copyright\b|\(c\)|©)", re.I)
+COPYRIGHT = re.compile(r"[\W_]*(copyright\b|\(c\)|©)", re.I)
+
+Gram = tuple[str, str]
+
+
+def words(text: str) -> list[str]:
+    return WORD.findall(text.lower())
+
 
+def bigrams(text: str) -> frozenset[Gram]:
+    found = words(text)
+    return frozenset(zip(found, found[1:]))
 
-def bigrams(text: str) -> frozenset[tuple[str, str]]:
-    words = WORD.findall(text.lower())
-    return frozenset(zip(words, words[1:])) if len(words) > 1 else frozenset((w, "") for w in words)
 
+def content_lines(text: str) -> list[str]:
+    """Lines that do more than state a copyright."""
+    return [s for s in text.split("\n") if not (COPYRIGHT.match(s) and len(words(s)) <= STATEMENT_WORDS)]
 
-def units(text: str) -> list[str]:
-    """Distinct lines, paragraphs and the whole, without copyright lines."""
-    lines = [line for line in text.split("\n") if not COPYRIGHT.match(line)]
+
+def units(lines: list[str]) -> list[str]:
+    """Distinct lines, paragraphs and the whole."""
     parts, paragraph = [], []
     for line in [*lines, ""]:
         if line.strip():
@@ -117,38 +84,85 @@ def units(text: str) -> list[str]:
     return list(dict.fromkeys([*parts, "\n".join(lines)]))
 
 
+def window_counts(ids: np.ndarray, length: int) -> np.ndarray:
+    """Distinct ids in each window of ``length`` (one window, if there are
+    fewer ids); negative ids do not count."""
+    n = len(ids)
+    starts = max(n - length, 0) + 1
+    order = np.argsort(ids, kind="stable")
+    before = np.full(n, -1)
+    again = ids[order[1:]] == ids[order[:-1]]
+    before[order[1:][again]] = order[:-1][again]
+    place = np.flatnonzero(ids >= 0)
+    first = np.maximum(place - length + 1, before[place] + 1)
+    last = np.minimum(place, starts - 1)
+    counted = first <= last
+    steps = np.bincount(first[counted], minlength=starts + 1)
+    steps -= np.bincount(last[counted] + 1, minlength=starts + 1)
+    return np.cumsum(steps)[:starts]
+
+
 class TemplateIndex:
     """Templates by size, and the templates that hold each bigram."""
 
     def __init__(self, templates: dict[str, str], threshold: float):
-        found = sorted((len(bigrams(t)), name, bigrams(t)) for name, t in templates.items())
-        self.sizes = [n for n, _, _ in found]
-        self.names = [name for _, name, _ in found]
-        self.holders: dict[tuple[str, str], list[int]] = {}
-        for i, (_, _, grams) in enumerate(found):
+        short = [name for name, t in templates.items() if len(words(t)) < 2]
+        if short:
+            raise ValueError(f"templates of fewer than two words: {short}")
+        found = sorted((len(bigrams(t)), name, bigrams(t), len(words(t)) - 1) for name, t in templates.items())
+        self.sizes = [n for n, *_ in found]
+        self.names = [name for _, name, *_ in found]
+        self.grams = [grams for _, _, grams, _ in found]
+        self.lengths = [length for *_, length in found]
+        self.holders: dict[Gram, list[int]] = {}
+        for i, grams in enumerate(self.grams):
             for g in grams:
                 self.holders.setdefault(g, []).append(i)
         self.threshold, self.ratio = threshold, threshold / (2 - threshold)
 
-    def match(self, text: str) -> dict[str, float]:
-        """Templates that the text matches, with their coefficients."""
-        grams = bigrams(text)
+    def possible(self, grams: set[Gram]) -> set[int]:
+        """Templates of which the bigrams hold enough for some unit."""
+        shared = Counter(i for g in grams & self.holders.keys() for i in self.holders[g])
+        return {i for i, c in shared.items() if c >= self.ratio * self.sizes[i] - 1e-9}
+
+    def unit_scores(self, unit: str, wanted: set[int]) -> dict[int, float]:
+        grams = bigrams(unit)
         n = len(grams)
         low = bisect_left(self.sizes, self.ratio * n - 1e-9)
-        high = bisect_right(self.sizes, n / self.ratio + 1e-9) if n else 0
-        if low >= high:
-            return {}
-        shared = Counter(i for g in grams & self.holders.keys() for i in self.holders[g] if low <= i < high)
-        scores = {self.names[i]: 2 * c / (n + self.sizes[i]) for i, c in shared.items()}
-        return {name: s for name, s in scores.items() if s >= self.threshold}
+        high = bisect_right(self.sizes, n / self.ratio + 1e-9)
+        fitting = [i for i in wanted if low <= i < high]
+        return {i: 2 * len(grams & self.grams[i]) / (n + self.sizes[i]) for i in fitting}
+
+    def window_scores(self, pairs: list[Gram], wanted: set[int]) -> dict[int, float]:
+        """Best window of each wanted template."""
+        number: dict[Gram, int] = {}
+        ids = np.fromiter((number.setdefault(g, len(number)) for g in pairs), np.int64, len(pairs))
+        distinct: dict[int, np.ndarray] = {}
+        scores = {}
+        for i in wanted:
+            length = self.lengths[i]
+            if length not in distinct:
+                distinct[length] = window_counts(ids, length)
+            own = np.zeros(len(number), bool)
+            own[[number[g] for g in self.grams[i] if g in number]] = True
+            shared = window_counts(np.where(own[ids], ids, -1), length)
+            scores[i] = float((2 * shared / (distinct[length] + self.sizes[i])).max())
+        return scores
 
     def scan(self, text: str | None) -> list[tuple[str, float]]:
         """(template, best coefficient) of a document, best first."""
-        best: dict[str, float] = {}
-        for unit in units(text or ""):
-            for name, s in self.match(unit).items():
-                best[name] = max(s, best.get(name, 0.0))
-        return sorted(best.items(), key=lambda x: (-x[1], x[0]))
+        lines = content_lines(text or "")
+        found = words("\n".join(lines))
+        pairs = list(zip(found, found[1:]))
+        wanted = self.possible(set(pairs))
+        if not wanted:
+            return []
+        best = self.window_scores(pairs, wanted)
+        for unit in units(lines):
+            for i, s in self.unit_scores(unit, wanted).items():
+                best[i] = max(s, best[i])
+        matched = [(-s, -self.lengths[i], self.names[i]) for i, s in best.items() if s >= self.threshold]
+        return [(name, -s) for s, _, name in sorted(matched)]
 
 
 def scan_licenses(
