@@ -28,7 +28,12 @@ The counts live in tables partitioned by the hash of the predicted word:
    out to be unseen, joining its context's row replaces the denominator by
    the backoff weight.
 
-A frequent word or pair costs one entry per chunk before the shuffle.
+A frequent word or pair costs one entry per chunk in counting.  In scoring a
+word's cell is split: counting returns the words and pairs that training holds
+at least ``HOT`` times, the ``HOT_LIST`` most frequent of each.  Such a word's
+pairs are dealt by context and word, such a pair's documents by document as
+well, and their cells take c(w) and c(u, w) from the list.  What is left in one
+place is no more than the larger of ``HOT`` and 1 / ``HOT_LIST`` of the tokens.
 
 Edge cases: null and empty texts consist of the end alone; a null doc_id is
 held out of no fold; repeated rows count as often as they stand and score
@@ -59,6 +64,27 @@ CHUNK = 1_000_000
 PASSES = 3
 #: Tokens per cell, on average.
 PER_CELL = 2_000_000
+#: Training occurrences from which a word or pair is split over the cells, and
+#: how many of each are at most (the list goes to every task).
+HOT, HOT_LIST = 250_000, 100_000
+
+
+@dataclass(frozen=True)
+class Listed:
+    """A bounded list of ids, ascending, with their counts."""
+
+    ids: np.ndarray
+    counts: np.ndarray
+
+    def _at(self, ids: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+
+    def holds(self, ids: np.ndarray) -> np.ndarray:
+        return self.ids[self._at(ids)] == ids if len(self.ids) else np.zeros(len(ids), bool)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """Counts of ids that the list holds."""
+        return self.counts[self._at(ids)]
 
 
 @dataclass(frozen=True)
@@ -71,6 +97,16 @@ class Counts:
     delta1: tuple[float, ...]  # discounts by count, 0 .. K
     delta2: tuple[float, ...]
     unknown: float  # probability of the unknown word
+    hot_words: Listed
+    hot_pairs: Listed
+
+    def split(self, u: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs (u, w) have a split word, and which are split
+        themselves."""
+        word = self.hot_words.holds(w)
+        pair = word.copy()
+        pair[word] = self.hot_pairs.holds(_pair_ids(u[word], w[word]))
+        return word, pair
 
 
 def discounts(n: list[int]) -> tuple[float, ...]:
@@ -159,38 +195,58 @@ def _send_counts(cells: int):
     return run
 
 
-def _counts_of_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _counts_of_counts(hot: int):
     """(n, r, number): how many words (n = 1) or pairs (n = 2) of the task's
     cells occur r times (r up to K + 1); r = 0: all of them; r = -1: their
-    occurrences; r = -2: the ends."""
-    cells: dict[int, list[dict]] = {}
-    for batch in batches:
-        for row in batch.to_pylist():
-            cells.setdefault(row["cell"], []).append(row)
-    out = []
-    for rows in cells.values():
-        for n, ids, counts in ((1, "word", "words"), (2, "pair", "pairs")):
-            key, c = _added(
-                [np.frombuffer(r[ids], np.uint64) for r in rows], [np.frombuffer(r[counts], np.uint32) for r in rows]
-            ) if any(r[ids] for r in rows) else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            out += [(n, r, int((c == r).sum())) for r in range(1, K + 2)]
-            out += [(n, 0, len(key)), (n, -1, int(c.sum()))]
-            if n == 1:
-                out.append((n, -2, int(c[key == END].sum())))
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["n", "r", "number"])
-
-
-def count(docs: DataFrame, cells: int) -> Counts:
+    occurrences; r = -2: the ends; r = -3: the count of the one named by
+    ``id``, which occurs at least ``hot`` times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells: dict[int, list[dict]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                cells.setdefault(row["cell"], []).append(row)
+        out = []
+        for rows in cells.values():
+            for n, ids, counts in ((1, "word", "words"), (2, "pair", "pairs")):
+                key, c = _added(
+                    [np.frombuffer(r[ids], np.uint64) for r in rows],
+                    [np.frombuffer(r[counts], np.uint32) for r in rows],
+                ) if any(r[ids] for r in rows) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+                out += [(n, r, int((c == r).sum()), 0) for r in range(1, K + 2)]
+                out += [(n, 0, len(key), 0), (n, -1, int(c.sum()), 0)]
+                if n == 1:
+                    out.append((n, -2, int(c[key == END].sum()), 0))
+                many = c >= hot
+                out += [(n, -3, x, i) for x, i in zip(c[many].tolist(), key[many].view(np.int64).tolist())]
+        if out:
+            arrays = [pa.array(x, pa.int64()) for x in zip(*out)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["n", "r", "number", "id"])
+
+    return run
+
+
+def _listed(found: DataFrame, n: int) -> Listed:
+    top = found.filter((F.col("n") == n) & (F.col("r") == -3)).orderBy(F.desc("number"), "id").limit(HOT_LIST).collect()
+    ids = np.array([x["id"] for x in top], np.int64).view(np.uint64)
+    order = np.argsort(ids)
+    return Listed(ids[order], np.array([x["number"] for x in top], np.int64)[order])
+
+
+def count(docs: DataFrame, cells: int, hot: int, scratch: Scratch) -> Counts:
     sent = docs.mapInArrow(_send_counts(cells), "cell int, word binary, words binary, pair binary, pairs binary")
-    found = sent.repartitionById(cells, "cell").mapInArrow(_counts_of_counts, "n long, r long, number long")
+    found = sent.repartitionById(cells, "cell").mapInArrow(
+        _counts_of_counts(hot), "n long, r long, number long, id long"
+    )
+    found = scratch.write(found, "counts")
     sums = {(x["n"], x["r"]): x["s"] for x in found.groupBy("n", "r").agg(F.sum("number").alias("s")).collect()}
     get = lambda n, r: sums.get((n, r), 0)
     delta1, delta2 = (discounts([get(n, r) for r in range(K + 2)]) for n in (1, 2))
     tokens, words = get(1, -1), get(1, 0)
     rare = sum(get(1, r) for r in range(1, K + 1))
     mass = sum(delta1[r] * get(1, r) for r in range(1, K + 1)) + delta1[K] * (words - rare)
-    return Counts(tokens, words, get(1, -2), delta1, delta2, mass / tokens if tokens else 1.0)
+    unknown = mass / tokens if tokens else 1.0
+    return Counts(tokens, words, get(1, -2), delta1, delta2, unknown, _listed(found, 1), _listed(found, 2))
 
 
 # --- scoring ----------------------------------------------------------------
@@ -198,7 +254,7 @@ def count(docs: DataFrame, cells: int) -> Counts:
 _BLOBS = ("word", "pairs", "u", "places", "doc", "times", "key", "out")
 
 
-def _send_pairs(cells: int, first: int, last: int):
+def _send_pairs(cells: int, first: int, last: int, counts: Counts):
     """One row per chunk and cell from ``first`` to before ``last``: words; pairs per word; the pairs' first
     words; documents per pair; document numbers and times; document keys and
     whether they are held out."""
@@ -211,25 +267,30 @@ def _send_pairs(cells: int, first: int, last: int):
             doc = np.repeat(np.arange(len(chunk), dtype=np.uint16), [len(ids) - 1 for _, _, ids in chunk])
             u = np.concatenate([ids[:-1] for _, _, ids in chunk])
             w = np.concatenate([ids[1:] for _, _, ids in chunk])
-            mine = _cell(w, cells)
-            mine = (mine >= first) & (mine < last)
-            w, u, doc = w[mine], u[mine], doc[mine]
+            hot, split = counts.split(u, w)
+            deal = w.copy()
+            deal[hot] = _pair_ids(u[hot], w[hot])
+            deal[split] = mix64(deal[split] + keys[doc[split]].view(np.uint64))
+            cell = _cell(deal, cells)
+            del deal, hot, split
+            mine = (cell >= first) & (cell < last)
+            w, u, doc, cell = w[mine], u[mine], doc[mine], cell[mine]
             if not len(w):
                 continue
-            order = np.lexsort((doc, u, w))
-            w, u, doc = w[order], u[order], doc[order]
-            new_w = np.r_[True, w[1:] != w[:-1]]
+            order = np.lexsort((doc, u, w, cell))
+            w, u, doc, cell = w[order], u[order], doc[order], cell[order]
+            new_w = np.r_[True, (w[1:] != w[:-1]) | (cell[1:] != cell[:-1])]
             new_u = new_w | np.r_[True, u[1:] != u[:-1]]
             new_d = new_u | np.r_[True, doc[1:] != doc[:-1]]
             place = np.flatnonzero(new_d)  # (w, u, doc) triples
             times = np.diff(np.r_[place, len(w)]).astype(np.uint32)
-            doc, new_u, new_w, w, u = doc[place], new_u[place], new_w[place], w[place], u[place]
+            doc, new_u, new_w, w, u, cell = doc[place], new_u[place], new_w[place], w[place], u[place], cell[place]
             pair = np.flatnonzero(new_u)
             places = np.diff(np.r_[pair, len(w)]).astype(np.uint32)
             word = np.flatnonzero(new_w[pair])
             pairs = np.diff(np.r_[word, len(pair)]).astype(np.uint32)
-            cut = _cuts(w, cells)
-            cut_pair, cut_word = np.searchsorted(pair, cut), None
+            cut = np.searchsorted(cell, np.arange(cells + 1))
+            cut_pair = np.searchsorted(pair, cut)
             cut_word = np.searchsorted(word, cut_pair)
             u, w = u[pair], w[pair][word]
             rows = []
@@ -250,15 +311,15 @@ def _send_pairs(cells: int, first: int, last: int):
                     }
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
-            del rows, order, w, u, doc, place, times, places, chunk
+            del rows, order, w, u, doc, cell, place, times, places, chunk
             pa.default_memory_pool().release_unused()
 
     return run
 
 
 #: Kinds of rows that scoring returns: a document's sums, a context's sums, an
-#: unseen pair.
-DOCUMENT, CONTEXT, UNSEEN = 0, 1, 2
+#: unseen pair, a context's sums for one split pair (from every cell that has it).
+DOCUMENT, CONTEXT, UNSEEN, SPLIT = 0, 1, 2, 3
 _ROW = "kind byte, key long, doc long, a double, b double, known long, tokens long, ends long"
 
 
@@ -298,7 +359,10 @@ def _score_cells(counts: Counts):
         c2 = np.add.reduceat(trained[order], start)
         word_start = np.flatnonzero(np.r_[True, type_w[1:] != type_w[:-1]])
         c1 = np.repeat(np.add.reduceat(c2, word_start), np.diff(np.r_[word_start, len(type_w)]))
-        del order, fresh
+        hot, split = counts.split(type_u, type_w)
+        c1[hot] = counts.hot_words.of(type_w[hot])
+        c2[split] = counts.hot_pairs.of(_pair_ids(type_u[split], type_w[split]))
+        del order, fresh, hot
 
         one = np.where(c1 > 0, (c1 - discounted(c1, counts.delta1)) / max(counts.tokens, 1), counts.unknown)
         log_one = np.log10(one)
@@ -311,12 +375,20 @@ def _score_cells(counts: Counts):
         base = np.log10((c1 + 1) / (counts.tokens + counts.words + 1))
 
         seen = c2 > 0
-        context, which = np.unique(type_u[seen], return_inverse=True)
+        whole = seen & ~split
+        context, which = np.unique(type_u[whole], return_inverse=True)
         yield table(
             CONTEXT,
             context.view(np.int64),
-            a=np.bincount(which, discounted(c2[seen], counts.delta2), len(context)),
-            b=np.bincount(which, one[seen], len(context)),
+            a=np.bincount(which, discounted(c2[whole], counts.delta2), len(context)),
+            b=np.bincount(which, one[whole], len(context)),
+        )
+        yield table(
+            SPLIT,
+            type_u[split].view(np.int64),
+            doc=_pair_ids(type_u[split], type_w[split]).view(np.int64),
+            a=discounted(c2[split], counts.delta2),
+            b=one[split],
         )
         each = np.repeat(type_of, places)
         del w, u, first, trained, type_of, places
@@ -336,10 +408,10 @@ def _score_cells(counts: Counts):
     return run
 
 
-def score(docs: DataFrame, held_out) -> DataFrame:
+def score(docs: DataFrame, held_out, hot: int = HOT) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, n_tokens,
     n_known, train_tokens, base_score, score.  ``held_out`` is a boolean
-    column; the model learns from the other rows."""
+    column; the model learns from the other rows.  ``hot``: see ``HOT``."""
     spark = docs.sparkSession
     ship(spark)
     scratch = Scratch(spark, "katz")
@@ -350,21 +422,23 @@ def score(docs: DataFrame, held_out) -> DataFrame:
     cells = max(math.ceil(size / PER_CELL), min(shuffle_partitions(spark), 6))
     source = rows.select("key", "held_out", "text")
 
-    counts = count(source, cells)
+    counts = count(source, cells, hot, scratch)
     scratch.release()
     blobs = "cell int, " + ", ".join(f"{c} binary" for c in _BLOBS)
     parts = []
     for i in range(PASSES):
         first, last = i * cells // PASSES, (i + 1) * cells // PASSES
         if first < last:
-            sent = source.mapInArrow(_send_pairs(cells, first, last), blobs).repartitionById(last - first, "cell")
+            sent = source.mapInArrow(_send_pairs(cells, first, last, counts), blobs).repartitionById(last - first, "cell")
             parts.append(scratch.write(sent.mapInArrow(_score_cells(counts), _ROW), f"found-{i}"))
             del sent
             scratch.release()
     found = reduce(DataFrame.unionByName, parts)
 
     # alpha(u) c(u): what replaces the numerator and the charged denominator.
-    contexts = found.filter(F.col("kind") == CONTEXT).groupBy("key").agg(F.sum("a").alias("d"), F.sum("b").alias("t"))
+    once = found.filter(F.col("kind") == SPLIT).groupBy("key", "doc").agg(F.first("a").alias("a"), F.first("b").alias("b"))
+    contexts = found.filter(F.col("kind") == CONTEXT).select("key", "a", "b").unionByName(once.drop("doc"))
+    contexts = contexts.groupBy("key").agg(F.sum("a").alias("d"), F.sum("b").alias("t"))
     left = F.greatest(1 - F.col("t"), F.lit(counts.unknown))
     contexts = contexts.select("key", F.log10(F.col("d") / left).alias("weight"))
     unseen = found.filter(F.col("kind") == UNSEEN).select("key", "doc", "a").join(contexts, "key")
