@@ -13,8 +13,9 @@ r"""Benchmark decontamination with a positional inverted index.
 5. Phrase check of each candidate: the kept neighbours against the window.
 
 Postings are dealt by document and start, so a term that a third of all
-documents hold is spread over all tasks.  ``proximity_matches`` intersects
-the same lists up to a slop instead of exactly.
+documents hold is spread over all tasks.  ``ProximityIndex`` finds windows whose
+terms stand near their places instead of exactly there: rarest terms propose,
+all terms are looked for among the posting's neighbours.
 
 DataFrame functions only.  What is broadcast is one row per benchmark term or
 probe; above ``BROADCAST_ROWS`` rows these joins shuffle.
@@ -146,16 +147,55 @@ class PhraseIndex:
         place = F.struct("start", (F.col("start") + F.size("window")).alias("end"), "items")
         return exact.groupBy(*KEY).agg(F.sort_array(F.collect_set(place)).alias("matches"))
 
-    def proximity_matches(self, slop: int) -> DataFrame:
-        """(doc key, window_id, start) where the window's two rarest
-        terms stand within ``slop`` words of their places to each other."""
-        cell = F.floor(F.col("start") / (slop + 1))
-        first = self.starts(1).withColumn("cell", cell)
-        other = self.starts(2).withColumnRenamed("start", "other")
-        near = F.array(*[F.floor(F.col("other") / (slop + 1)) + d for d in (-1, 0, 1)])
-        other = other.withColumn("cell", F.explode(near))
-        pairs = first.join(other, [*KEY, "window_id", "cell"])
-        return pairs.filter(F.abs(F.col("start") - F.col("other")) <= slop).select(*KEY, "window_id", "start").distinct()
+
+class ProximityIndex(PhraseIndex):
+    """Places where a window's terms stand near each other.
+
+    A place of a window is a start such that each term occurs within ``slop``
+    words of start + its offset; of a window of full width, ``missing`` terms
+    need not.  The start is where one of the window's 1 + ``missing`` rarest
+    terms (corpus count, then term, then offset) stands exactly: of so many,
+    one is there.  It may lie before the text's first word.
+    """
+
+    def __init__(self, docs: DataFrame, items: DataFrame, width: int = 10, slop: int = 2, missing: int = 1):
+        if not 0 <= missing < width or slop < 0:
+            raise ValueError("missing must be from 0 to width - 1, slop at least 0")
+        self.slop, self.missing = slop, missing
+        super().__init__(docs, items, width)
+
+    def _spared(self, size: Column) -> Column:
+        return F.when(size == self.width, F.lit(self.missing)).otherwise(0)
+
+    def _probes(self) -> DataFrame:
+        known = self.placed.join(self.frequencies(), "term", "left").fillna(0, ["tf"])
+        rank = F.row_number().over(Window.partitionBy("window_id").orderBy("tf", "term", "offset"))
+        known = known.withColumn("rank", rank).filter(F.col("rank") <= 1 + self._spared(F.col("size")))
+        return known.filter("tf > 0").select("window_id", "offset", "term")
+
+    def _postings(self) -> DataFrame:
+        """Postings with the words that a window's terms can stand among."""
+        terms = self.probes.select("term").distinct()
+        side = self.width - 1 + self.slop
+        start = F.greatest(F.col("pos") - side, F.lit(0))
+        near = F.slice("words", start + 1, F.col("pos") - start + side + 1)
+        found = tokens(self.docs).join(_small(terms, self.n_probes), "term")
+        return found.select(*KEY, "term", "pos", (F.col("pos") - start).alias("place"), near.alias("near"))
+
+    def places(self) -> DataFrame:
+        """(doc key, window_id, start, items), each place once."""
+        window = _small(self.windows.select("window_id", "window", "items"), self.n_probes)
+        hits = self.postings.join(_small(self.probes, self.n_probes), "term").join(window, "window_id")
+        first = F.col("place") - F.col("offset")
+
+        def heard(term: Column, i: Column) -> Column:
+            low = F.greatest(first + i - self.slop, F.lit(0))
+            return F.array_contains(F.slice("near", low + 1, F.greatest(first + i + self.slop + 1 - low, F.lit(0))), term)
+
+        n = F.size(F.filter(F.transform("window", heard), lambda x: x))
+        enough = hits.filter(n >= F.size("window") - self._spared(F.size("window")))
+        found = enough.select(*KEY, "window_id", (F.col("pos") - F.col("offset")).alias("start"), "items")
+        return found.dropDuplicates([*KEY, "window_id", "start"])
 
 
 def covered(matches: Column) -> Column:
@@ -198,3 +238,20 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> Dat
     own, hashed = _key()
     kept = docs.join(hit, (own == F.col("__doc_key")) & (hashed == F.col("__text_hash")), "left_anti")
     return kept.select(*docs.columns)
+
+
+def near_phrases(docs: DataFrame, items: DataFrame, width: int = 10, slop: int = 2, missing: int = 1) -> DataFrame:
+    """One row per document: doc_id, its key, n_places (places of windows, see
+    ``ProximityIndex``), items (ids of the items they belong to, sorted)."""
+    index = ProximityIndex(docs, items, width, slop, missing)
+    found = index.places().groupBy(*KEY).agg(
+        F.count("*").alias("n_places"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items")
+    )
+    found = index.scratch.write(found, "near")
+    index.scratch.drop("windows", "probes", "postings")
+    return keyed(index.docs).join(found, KEY, "left").select(
+        "doc_id",
+        *KEY,
+        F.coalesce("n_places", F.lit(0)).alias("n_places"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )

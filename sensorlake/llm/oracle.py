@@ -70,6 +70,44 @@ SELECT d.doc_id, j.n_words, j.n_hit, len(j.items)::BIGINT AS n_items,
 FROM numbered d JOIN judged j USING (n)"""
 
 
+def near_sql(docs: str, width: int = 10, slop: int = 2, missing: int = 1) -> str:
+    """CTEs ending in ``judged`` (n, n_places, items) per numbered row of
+    ``docs`` (n, doc_id, text)."""
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    words = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{word}')"
+    return rf"""
+item_words AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {words} AS w FROM benchmark),
+item_at AS (SELECT item, w, unnest(range(0, greatest(len(w) - {width}, 0) + 1)) AS place FROM item_words WHERE len(w) > 0),
+windows AS (
+  SELECT row_number() OVER () AS id, win, items
+  FROM (SELECT w[place + 1 : place + {width}] AS win, list(DISTINCT item) AS items FROM item_at GROUP BY win)),
+doc_words AS (SELECT n, {words} AS w FROM {docs}),
+doc_at AS (SELECT n, unnest(w) AS term, unnest(range(0, len(w))) AS pos FROM doc_words),
+counted AS (SELECT term, count(*) AS tf FROM doc_at GROUP BY term),
+placed AS (SELECT id, len(win) AS size, unnest(win) AS term, unnest(range(0, len(win))) AS place FROM windows),
+probes AS (
+  SELECT id, place, term, tf FROM placed LEFT JOIN counted USING (term)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY coalesce(tf, 0), term, place)
+          <= 1 + CASE WHEN size = {width} THEN {missing} ELSE 0 END),
+starts AS (SELECT DISTINCT d.n, p.id, d.pos - p.place AS start FROM probes p JOIN doc_at d USING (term)),
+heard AS (
+  SELECT s.n, s.id, s.start, v.items, len(v.win) AS size,
+         list_sum([list_contains(t.w[greatest(s.start + i - {slop}, 0) + 1 : s.start + i + {slop} + 1], v.win[i + 1])::INT FOR i IN range(0, len(v.win))
+                   IF s.start + i + {slop} >= 0]) AS found
+  FROM starts s JOIN windows v USING (id) JOIN doc_words t USING (n)),
+near AS (SELECT * FROM heard WHERE found >= size - CASE WHEN size = {width} THEN {missing} ELSE 0 END),
+near_items AS (SELECT n, list_sort(list(DISTINCT item)) AS items FROM (SELECT n, unnest(items) AS item FROM near) GROUP BY n),
+near_places AS (SELECT n, count(*) AS n_places FROM near GROUP BY n),
+judged AS (
+  SELECT d.n, coalesce(p.n_places, 0) AS n_places, coalesce(i.items, []) AS items
+  FROM doc_words d LEFT JOIN near_places p USING (n) LEFT JOIN near_items i USING (n))"""
+
+
+NEAR_PHRASES = f"""WITH numbered AS (SELECT row_number() OVER () AS n, doc_id, text FROM documents), {near_sql('numbered')}
+SELECT d.doc_id, j.n_places, len(j.items)::BIGINT AS n_items, sha256(array_to_string(j.items, ',')) AS items_sha256
+FROM numbered d JOIN judged j USING (n)"""
+
+
 #: The reversed polynomial of CRC-32.
 CRC_POLYNOMIAL = 0xEDB88320
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import katz_lm, merkle, oracle, permutation_index, quality, spelling, toxicity
 from .common import table
-from .decontamination import contamination
+from .decontamination import contamination, near_phrases
 from .html_text import extract
 from .jaccard_join import near_duplicates
 from .license_scan import scan_licenses
@@ -43,6 +43,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def near_benchmark_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proximity matches of op3's index."""
+    found = near_phrases(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_places",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+    )
+
+
 def op4_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return permutation_index.search(vectors, F.col("vec_id") % 50 == 0)
@@ -123,5 +134,5 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity, op11_quality, op12_spelling_variants, op13_merkle_manifest)}
-SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION, "op12_spelling_variants": oracle.SPELLING, "op13_merkle_manifest": oracle.MERKLE}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_mixture, op3_decontamination, near_benchmark_phrases, op4_permutation_index, op5_html_text, op6_substring_dedup, op7_license_scan, op8_katz_lm, op9_jaccard_join, op10_toxicity, op11_quality, op12_spelling_variants, op13_merkle_manifest)}
+SQL = {"op2_mixture": oracle.MIXTURE, "op3_decontamination": oracle.DECONTAMINATION, "near_benchmark_phrases": oracle.NEAR_PHRASES, "op12_spelling_variants": oracle.SPELLING, "op13_merkle_manifest": oracle.MERKLE}
