@@ -168,10 +168,18 @@ class ProximityIndex(PhraseIndex):
         return F.when(size == self.width, F.lit(self.missing)).otherwise(0)
 
     def _probes(self) -> DataFrame:
+        """(window_id, offset, term, needed, others): the terms that propose a
+        place; how many of the window's have to be near; the other terms among
+        the 2 + ``missing`` rarest, of which one has to be near if two are
+        needed."""
         known = self.placed.join(self.frequencies(), "term", "left").fillna(0, ["tf"])
-        rank = F.row_number().over(Window.partitionBy("window_id").orderBy("tf", "term", "offset"))
-        known = known.withColumn("rank", rank).filter(F.col("rank") <= 1 + self._spared(F.col("size")))
-        return known.filter("tf > 0").select("window_id", "offset", "term")
+        per = Window.partitionBy("window_id")
+        rank = F.row_number().over(per.orderBy("tf", "term", "offset"))
+        spared = self._spared(F.col("size"))
+        known = known.withColumn("rank", rank).filter(F.col("rank") <= 2 + spared)
+        others = F.filter(F.collect_list(F.struct("offset", "term")).over(per), lambda o: o["offset"] != F.col("offset"))
+        known = known.withColumn("others", others).filter((F.col("rank") <= 1 + spared) & (F.col("tf") > 0))
+        return known.select("window_id", "offset", "term", (F.col("size") - spared).alias("needed"), "others")
 
     def _postings(self) -> DataFrame:
         """Postings with the words that a window's terms can stand among."""
@@ -185,15 +193,16 @@ class ProximityIndex(PhraseIndex):
     def places(self) -> DataFrame:
         """(doc key, window_id, start, items), each place once."""
         window = _small(self.windows.select("window_id", "window", "items"), self.n_probes)
-        hits = self.postings.join(_small(self.probes, self.n_probes), "term").join(window, "window_id")
+        hits = self.postings.join(_small(self.probes, self.n_probes), "term")
         first = F.col("place") - F.col("offset")
 
         def heard(term: Column, i: Column) -> Column:
             low = F.greatest(first + i - self.slop, F.lit(0))
             return F.array_contains(F.slice("near", low + 1, F.greatest(first + i + self.slop + 1 - low, F.lit(0))), term)
 
+        two = (F.col("needed") < 2) | F.exists("others", lambda o: heard(o["term"], o["offset"]))
         n = F.size(F.filter(F.transform("window", heard), lambda x: x))
-        enough = hits.filter(n >= F.size("window") - self._spared(F.size("window")))
+        enough = hits.filter(two).join(window, "window_id").filter(n >= F.col("needed"))
         found = enough.select(*KEY, "window_id", (F.col("pos") - F.col("offset")).alias("start"), "items")
         return found.dropDuplicates([*KEY, "window_id", "start"])
 
