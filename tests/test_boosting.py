@@ -214,3 +214,70 @@ def test_no_rows_is_an_error(spark):
     df, _ = table(spark, n=10)
     with pytest.raises(ValueError, match="empty training set"):
         B.fit(df.limit(0), FEATURES, [Task(0.5)], BoostParams(rounds=1))
+
+
+def blocks(n_blocks, models, seed=4):
+    """Blocks as stored, with the arrays they were made of."""
+    rng, bins = np.random.default_rng(seed), Bins(tuple(np.arange(w, dtype=float) for w in (63, 63, 24, 7, 2)))
+    out, made = [], []
+    for number in range(n_blocks):
+        n = int(rng.integers(3000, 5000))
+        raw = np.stack([rng.integers(0, len(e), n).astype(float) for e in bins.edges], axis=1)
+        raw[rng.random(raw.shape) < 0.2] = np.nan
+        x, category, fold = bins.place(raw), rng.integers(-3, 9, n), rng.integers(1, 3, n).astype(np.uint8)
+        label, score = rng.normal(size=n), rng.normal(size=(models, n))
+        made.append(B.Block(number, x, category, fold, label > score, label, score))
+        out.append(made[-1].state())
+    return bins, made, [B._states(out[i : i + 2]) for i in range(0, n_blocks, 2)]
+
+
+def test_blocks_of_a_task_are_counted_together(monkeypatch):
+    """One row per node for all blocks, with the counts of every single row;
+    a node is counted once a chunk, however many blocks that has."""
+    tasks, params = [Task(0.1, 1), Task(0.5), Task(0.9)], BoostParams()
+    bins, made, batches = blocks(5, len(tasks))
+    split = {0: B.Split(0, 30, True, None, 1, 2), 1: B.Split(-1, 0, False, np.array([-2, 4, 5]), 3, 4)}
+    growing = {m: (split, {2, 3, 4}) for m in range(len(tasks))}
+    calls, counted = [], B.Counter.bins
+    monkeypatch.setattr(B.Counter, "bins", lambda self, rows, up: calls.append(len(rows)) or counted(self, rows, up))
+    got = {(r["model"], r["node"]): r for b in B._histograms(tasks, growing, bins.first, 1, params)(iter(batches)) for r in b.to_pylist()}
+    assert len(calls) == len(got) == 9
+    assert min(calls) < B.CELLS < max(calls)  # counted by feature, and by pack
+    for (m, node), row in got.items():
+        want = np.zeros((2, bins.first[-1]), np.int64)
+        by_category = {}
+        for b in made:
+            rng = np.random.default_rng([params.seed, 1, b.number])
+            for i, drawn in enumerate(rng.random(len(b.fold)) < params.subsample):
+                if not drawn or b.fold[i] <= tasks[m].fold:
+                    continue
+                at = 2 if b.x[i, 0] > 30 else 3 if b.category[i] in (-2, 4, 5) else 4
+                if at == node:
+                    want[0, b.x[i]] += 1
+                    want[1, b.x[i]] += int(b.above[m, i])
+                    n, p = by_category.get(int(b.category[i]), (0, 0))
+                    by_category[int(b.category[i])] = n + 1, p + int(b.above[m, i])
+        assert (np.frombuffer(row["bins"], np.int64).reshape(2, -1) == want).all()
+        lists = [np.frombuffer(row[c], np.int64).tolist() for c in ("category", "rows", "above")]
+        assert {c: (n, p) for c, n, p in zip(*lists)} == by_category
+
+
+def test_packs_hold_every_feature_within_their_cells():
+    first = np.cumsum([0, 64, 64, 64, 64, 64, 25, 8, 3, 13, 3, 6000])
+    packs, width = B.packs(first), np.diff(first)
+    assert sorted(f for p in packs for f in p) == list(range(len(width)))
+    assert all(np.prod(width[list(p)]) <= B.CELLS for p in packs if len(p) > 1) and (10,) in packs
+
+
+def test_new_scores_keep_the_blocks(spark):
+    tasks = [Task(0.1, 1), Task(0.5)]
+    bins, made, batches = blocks(4, len(tasks))
+    split = {0: B.Split(0, 30, False, None, 1, 2)}
+    step = B._next_scores(tasks, {m: (split, {1: 0.25, 2: -0.5}) for m in range(2)}, bins.first)
+    got = [r for b in step(iter(batches)) for r in b.to_pylist()]
+    assert [r["block"] for r in got] == [b.number for b in made]
+    for r, b in zip(got, made):
+        left = (b.x[:, 0] <= 30) & (b.x[:, 0] != 0)
+        score = b.score + np.where(left, 0.25, -0.5) * np.stack([b.fold > t.fold for t in tasks])
+        want = B.Block(b.number, b.x, b.category, b.fold, b.label > score, b.label, score).state()
+        assert tuple(r[c] for c in ("block", "rows", "x", "category", "fold", "label", "above", "score")) == want
