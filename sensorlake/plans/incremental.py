@@ -11,11 +11,13 @@ month,
 
 A refresh of some months deduplicates their rows alone.  Only ids that a month
 gained or lost (``touched``) can change which row of an id is kept: they are
-looked up in the other months' candidates, by a literal id range that prunes
-files and row groups, reading the id column alone.  A withdrawn row brings
-back the runner-up, a new one displaces a later one.  Months that hold a
-touched id are rebuilt with the replaced ones; the others are not read.  All
-parts of a refresh become visible in one commit.
+looked up once in the other months' candidates, by a literal id range that
+prunes files and row groups.  A withdrawn row brings back the runner-up, a new
+one displaces a later one.  Months that hold a touched id are rebuilt with the
+replaced ones; the others' staged rows are not read.  In a month that was not
+replaced, the staged rows of all other ids stay as they are.  A refresh that
+replaces every stored month has nothing to look up: its candidates alone say
+which row is first.  All parts of a refresh become visible in one commit.
 
 Marts merge the stored parts: bounds and daily totals come from ``daily``, the
 profile reads the staged months of its window.
@@ -24,8 +26,9 @@ profile reads the staged months of its window.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import marts, staging
@@ -35,6 +38,8 @@ from ..sources.versions import Version
 from .warehouse import Warehouse
 
 PART = "part"
+#: More changed ids than this are hashed over the tasks, not sorted.
+MANY = 1_000_000
 CANDIDATES, STAGED, DAILY = "candidates", "staged", "daily"
 ID = "observation_id"
 
@@ -73,6 +78,54 @@ def _same(a: DataFrame, b: DataFrame, *columns: str) -> Column:
     return on
 
 
+def _first_month(candidates: DataFrame) -> DataFrame:
+    """The candidate of each id's first month.  An id has at most one a month,
+    so that no id is large here."""
+    month = month_of(F.col("sensing_date"))
+    first = F.min(month).over(Window.partitionBy(ID))
+    return candidates.withColumn("_first", first).filter(month == F.col("_first")).drop("_first")
+
+
+def _changes(spark: SparkSession, root: str, seen: Version, new: Version, replaced: set[str], scratch: str) -> tuple[list[DataFrame], set[str]]:
+    """The staged rows of the months to rebuild, and these months."""
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    now = read(spark, root, CANDIDATES, new, replaced)
+    before = _ids(read(spark, root, CANDIDATES, seen, replaced), spark)
+    after = _ids(now, spark)
+    both = before.withColumn("was", F.lit(1)).unionByName(after.withColumn("was", F.lit(0)))
+    changed = both.groupBy(ID, "month").agg(F.count("*").alias("times")).filter("times = 1")
+    touched = kept(changed.select(ID).distinct(), "touched")
+    # The candidates of touched ids, wherever they stand.
+    others = months_of(new, CANDIDATES) - replaced
+    low, high, any_null, n = touched.agg(F.min(ID), F.max(ID), F.count_if(F.col(ID).isNull()) > 0, F.count("*")).first()
+
+    def of_touched(rows: DataFrame, how: str) -> DataFrame:
+        return rows.join(touched.hint("shuffle_hash") if n > MANY else touched, _same(rows, touched, ID), how)
+
+    places, moved = [] if now is None else [of_touched(now, "left_semi")], set()
+    if others and (low is not None or any_null):
+        near = F.col(ID).between(low, high) if low is not None else F.lit(False)
+        history = read(spark, root, CANDIDATES, new, others).filter(near | F.col(ID).isNull() if any_null else near)
+        elsewhere = kept(of_touched(history, "left_semi"), "elsewhere")
+        moved = {r[0] for r in elsewhere.select(month_of(F.col("sensing_date"))).distinct().collect()}
+        places.append(elsewhere)
+    parts = [_first_month(reduce(DataFrame.unionByName, places))] if places else []
+    # Other ids: a replaced month may hold corrected rows, the others stay.
+    stood = read(spark, root, STAGED, seen, replaced)
+    if now is not None and stood is not None:
+        rows = now.withColumn("month", month_of(F.col("sensing_date")))
+        ids = of_touched(_ids(stood, spark), "left_anti")
+        parts.append(rows.join(ids, _same(rows, ids, ID, "month"), "left_semi").drop("month"))
+    standing = read(spark, root, STAGED, seen, moved)
+    if standing is not None:
+        parts.append(of_touched(standing, "left_anti"))
+    return parts, replaced | moved
+
+
 def refresh(spark: SparkSession, raw: DataFrame, months: list[str], root: str) -> set[str]:
     """Bring the store up to date after ``months`` were replaced; ``raw`` holds
     all their rows.  Returns the months that were rebuilt."""
@@ -88,42 +141,11 @@ def refresh(spark: SparkSession, raw: DataFrame, months: list[str], root: str) -
     new = Version(seen.number, {p: v for p, v in seen.parts.items() if p not in gone} | written)
 
     scratch = fs.scratch_dir(spark, "incremental")
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{scratch}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
-
-    before = _ids(read(spark, root, CANDIDATES, seen, replaced), spark)
-    after = _ids(read(spark, root, CANDIDATES, new, replaced), spark)
-    both = before.withColumn("was", F.lit(1)).unionByName(after.withColumn("was", F.lit(0)))
-    changed = both.groupBy(ID, "month").agg(F.count("*").alias("times")).filter("times = 1")
-    touched = kept(changed.select(ID).distinct(), "touched")
-    # Where touched ids stand in other months.
-    others = months_of(new, CANDIDATES) - replaced
-    low, high, any_null = touched.agg(F.min(ID), F.max(ID), F.count_if(F.col(ID).isNull()) > 0).first()
-    elsewhere = None
-    if others and (low is not None or any_null):
-        near = F.col(ID).between(low, high) if low is not None else F.lit(False)
-        history = _ids(read(spark, root, CANDIDATES, new, others).filter(near | F.col(ID).isNull() if any_null else near), spark)
-        elsewhere = kept(history.join(touched, _same(history, touched, ID), "left_semi"), "elsewhere")
-    moved = {r[0] for r in elsewhere.select("month").distinct().collect()} if elsewhere is not None else set()
-    rebuilt = replaced | moved
-    # The first month of each touched id.
-    places = after.join(touched, _same(after, touched, ID), "left_semi")
-    places = places if elsewhere is None else places.unionByName(elsewhere)
-    first = places.groupBy(ID).agg(F.min("month").alias("month"))
-
-    parts = []
-    rows = read(spark, root, CANDIDATES, new, rebuilt)
-    if rows is not None:
-        rows = rows.withColumn("month", month_of(F.col("sensing_date")))
-        parts.append(rows.join(first, _same(rows, first, ID, "month"), "left_semi"))
-        stood = _ids(read(spark, root, STAGED, seen, rebuilt), spark)
-        stood = stood.join(touched, _same(stood, touched, ID), "left_anti")
-        parts.append(rows.join(stood, _same(rows, stood, ID, "month"), "left_semi"))
-        staged = _write(parts[0].unionByName(parts[1]).drop("month"), root, STAGED, ("sensing_date", ID))
+    if months_of(new, CANDIDATES) <= replaced:
+        stay, rebuilt = [_first_month(read(spark, root, CANDIDATES, new))] if written else [], replaced
     else:
-        staged = {}
+        stay, rebuilt = _changes(spark, root, seen, new, replaced, scratch)
+    staged = _write(reduce(DataFrame.unionByName, stay), root, STAGED, ("sensing_date", ID)) if stay else {}
     gone |= {f"{kind}.{m}" for m in rebuilt for kind in (STAGED, DAILY)}
     final = {p: v for p, v in seen.parts.items() if p not in gone} | written | staged
     fresh = read(spark, root, STAGED, Version(seen.number, staged))

@@ -97,3 +97,33 @@ def test_profile_reads_the_months_of_its_window(spark):
     files = {f.split("part=staged.")[1][:7] for f in profile.inputFiles() if "part=staged." in f}
     assert files == {"2024_02", "2024_03", "2024_04", "2024_05"}
     assert profile.agg(F.sum("n_observations")).first()[0] == 90
+
+
+def test_replacing_every_stored_month_looks_up_no_ids(spark, monkeypatch):
+    """The candidates alone say which row is first: no id is compared with
+    what was stored."""
+    rng, root = random.Random(5), fs.scratch_dir(spark, "t-inc")
+    joined = []
+    join = type(spark.range(1)).join
+    monkeypatch.setattr(type(spark.range(1)), "join", lambda self, *a, **k: joined.append(a) or join(self, *a, **k))
+    for months in (MONTHS[:3], MONTHS[:4]):
+        data = [reading(rng, m) for m in months for _ in range(20)] + [(None, *reading(rng, m)[1:]) for m in months]
+        inc.refresh(spark, frame(spark, data), months, root)
+        assert not joined
+        assert staged(spark, root) == rows(staging.stage_counts(frame(spark, data)))
+
+
+@pytest.mark.parametrize("many", [1_000_000, 0])
+def test_other_months_candidates_are_read_once(spark, monkeypatch, many):
+    """For the touched ids; other ids of these months keep their staged rows,
+    and rows of replaced months are as corrected."""
+    rng, root = random.Random(6), fs.scratch_dir(spark, "t-inc")
+    monkeypatch.setattr(inc, "MANY", many)
+    raw = {m: [reading(rng, m) for _ in range(30)] + [(None, *reading(rng, m)[1:])] for m in MONTHS}
+    inc.refresh(spark, frame(spark, sum(raw.values(), [])), MONTHS, root)
+    raw["2024_02"] = [(*r[:6], r[6] + 1, r[7]) for r in raw["2024_02"][10:]] + [reading(rng, "2024_02") for _ in range(10)]
+    reads, read = [], inc.read
+    monkeypatch.setattr(inc, "read", lambda s, r, kind, v, months=None: reads.append((kind, months)) or read(s, r, kind, v, months))
+    assert len(inc.refresh(spark, frame(spark, raw["2024_02"]), ["2024_02"], root)) > 1
+    assert len([m for kind, m in reads if kind == inc.CANDIDATES and (m is None or m - {"2024_02"})]) == 1
+    assert staged(spark, root) == rows(staging.stage_counts(frame(spark, sum(raw.values(), []))))
