@@ -2,8 +2,11 @@
 
 import heapq
 import time
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -281,3 +284,67 @@ def test_new_scores_keep_the_blocks(spark):
         score = b.score + np.where(left, 0.25, -0.5) * np.stack([b.fold > t.fold for t in tasks])
         want = B.Block(b.number, b.x, b.category, b.fold, b.label > score, b.label, score).state()
         assert tuple(r[c] for c in ("block", "rows", "x", "category", "fold", "label", "above", "score")) == want
+
+
+def test_the_stored_blocks_come_few_at_a_time(spark, monkeypatch):
+    """Spark's reader holds a row group's rows, each of them a block: a group
+    of all of a task's blocks took an executor's memory."""
+    kept, batch_bytes = [], set()
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    summed, was = B._summed, spark.conf.get(setting)
+    monkeypatch.setattr(B, "delete", lambda _, path: kept.append(path))
+    monkeypatch.setattr(B, "_summed", lambda *a: batch_bytes.add(spark.conf.get(setting)) or summed(*a))
+    df = spark.range(0, 400_000, 1, 4).selectExpr("id % 3 category", "1 fold", "id % 7 label", "id % 11 f0", "id % 5 f1")
+    B.fit(df, FEATURES, [Task(0.5)], BoostParams(rounds=2, leaves=2))
+    for state in (p for p in kept if "/state-" in p):
+        files = [pq.ParquetFile(f).metadata for f in Path(state.removeprefix("file:")).glob("*.parquet")]
+        groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+        assert sum(groups) >= 400_000 / B.BLOCK and max(f.num_rows for f in files) > max(groups)
+        assert max(groups) <= 4
+    assert len([p for p in kept if "/state-" in p]) == 2
+    assert batch_bytes == {str(B.SENT)} and spark.conf.get(setting) == was
+
+
+def test_a_task_sends_what_it_holds(monkeypatch):
+    """Counts and residuals of a task of many rows come in parts that add up."""
+    tasks, params = [Task(0.1, 1), Task(0.5)], BoostParams(sketch=16)
+    bins, made, batches = blocks(12, len(tasks))
+    split = {0: B.Split(0, 30, True, None, 1, 2)}
+    trees = {m: (split, {1, 2}) for m in range(len(tasks))}
+    columns = {m: np.arange(-1, len(bins.edges)) for m in trees}
+
+    def sent(step):
+        return [r for b in step(tasks, trees, bins.first, 1, params)(iter(batches)) for r in b.to_pylist()]
+
+    def merged(rows, key, step):
+        rows = sorted(rows, key=lambda r: (r["model"], r[key]))
+        schema = {"node": B._HISTOGRAM_SCHEMA, "leaf": B._SKETCH_SCHEMA}[key]
+        return [r for b in step(iter([pa.RecordBatch.from_pylist(rows, schema)])) for r in b.to_pylist()]
+
+    monkeypatch.setattr(B, "COUNTED", 5000)
+    monkeypatch.setattr(B, "SCORED", 5000)
+    whole, leaves = sent(B._histograms), sent(B._residuals)
+    assert len(whole) == len(leaves) == 4
+    monkeypatch.setattr(B, "CATEGORIES", 50)
+    monkeypatch.setattr(B, "RESIDUALS", 5000)
+    monkeypatch.setattr(B, "SENT", 1)  # every row a batch
+    parts, sketches = sent(B._histograms), sent(B._residuals)
+    assert len(parts) > 2 * len(whole) and len(sketches) > 2 * len(leaves)
+
+    splits = B._best_splits(tasks, columns, bins.first, params)
+    by_node = {(r["model"], r["node"]): r for r in merged(whole, "node", splits)}
+    assert len(by_node) == 4 and all(r["feature"] > -2 for r in by_node.values())
+    assert {(r["model"], r["node"]): r for r in merged(parts, "node", splits)} == by_node
+
+    weight = lambda rows: sum(np.frombuffer(r["weight"], np.int64).sum() for r in rows)
+    assert weight(sketches) == weight(leaves) == sum(r["rows"] for r in by_node.values())
+    values = {(r["model"], r["leaf"]): r["value"] for r in merged(sketches, "leaf", B._leaf_values(tasks))}
+    every = {at: [] for at in values}
+    for b in made:
+        drawn = np.random.default_rng([params.seed, 1, b.number]).random(len(b.fold)) < params.subsample
+        for m, t in enumerate(tasks):
+            for leaf, side in ((1, b.x[:, 0] <= 30), (2, b.x[:, 0] > 30)):
+                every[m, leaf].append((b.label - b.score[m])[drawn & (b.fold > t.fold) & side])
+    for (m, leaf), value in values.items():
+        rank = (np.concatenate(every[m, leaf]) <= value).mean()
+        assert abs(rank - tasks[m].alpha) <= 1 / (2 * params.sketch) + 0.01
